@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyspark.functions.labels import variable_label
-from surveyspark.functions.reshape import stack_tables, wider
+from surveyspark.functions.reshape import any_of, stack_tables, strip_from_names, wider
 from surveyspark.operators.design import SurveyDesign
 from surveyspark.operators.estimate import TOTAL, Breakdown, Question, estimate_many, with_limits
 from surveyspark.plans.weight import Designs
@@ -147,3 +147,33 @@ def full_report(designs: Designs, specs: Sequence[TableSpec] = REPORT) -> DataFr
         number = F.element_at(F.array(*[F.lit(no) for no, _ in mine]), F.col("tab"))
         parts.append(tables.withColumn("tab", number).withColumnRenamed("tab", "table_no"))
     return stack_tables(parts)
+
+
+def joined_table(design: SurveyDesign, x: str, by: Sequence[Breakdown],
+                 indicator: str = "", unit: str = "") -> DataFrame:
+    """The same table put together by joins: one block per breakdown.
+
+    Each block is pivoted on its own, with ``%_`` in front of the level, and
+    left-joined to the totals on the answer; the mark is stripped at the end.
+    """
+    cells = with_limits(estimate_many(design, [Question(x)], by))
+    total = cells.filter(F.col("breakdown") == TOTAL).select(
+        "answer_no", "answer", "n", F.col("p").alias("%"),
+        F.col("low").alias("%_low"), F.col("upp").alias("%_upp"))
+    patterns = {"%_{}": F.first("p"), "%_low_{}": F.first("low"), "%_upp_{}": F.first("upp")}
+    table, names = total, []
+    for b in by:
+        block = wider(
+            cells.filter(F.col("breakdown") == b.column), ["answer"], "level", b.levels, patterns)
+        names += [p.format(level) for level in b.levels for p in patterns]
+        table = table.join(block, "answer", "left")
+    table = table.select(
+        F.col("answer_no").alias("row_no"), F.col("answer").alias("Answers"), "n",
+        F.col("`%`").alias("Total"), F.col("`%_low`"), F.col("`%_upp`"),
+        *[F.col(f"`{c}`") for c in any_of(table, names)])
+    table = strip_from_names(table, "%_").withColumn("tab", F.lit(1))
+    levels = [level for b in by for level in b.levels]
+    bases = wide_tables(cells.withColumn("tab", F.lit(1)), levels).filter(F.col("row_no") > BASE_ROW)
+    rows = stack_tables([table, bases.select(*any_of(bases, table.columns))])
+    spec = TableSpec(x, "", unit, indicator)
+    return with_header(rows, [spec], [variable_label(design.df, x)]).drop("tab")

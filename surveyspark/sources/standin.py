@@ -153,7 +153,7 @@ def members(
         "_index": F.col("l_orderkey") * 100 + F.col("member_no"),
         "_parent_index": F.col("l_orderkey"),
         "member_no": F.col("member_no"),
-        "R01": F.concat(F.lit("person "), part.cast("string")),
+        "R01": F.concat(F.lit("person "), (F.col("l_orderkey") * 100 + F.col("member_no")).cast("string")),
         "R02": F.when(F.col("l_linestatus") == "F", "Female").otherwise("Male"),
         "R03": F.when(part % 97 != 0,
                       F.col("l_quantity").cast("int") * 2 - 2 + F.col("l_linenumber") % 2).cast("int"),
