@@ -26,6 +26,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 FUNCTIONING = list(demographics.FUNCTIONING)
+MEMBER_COLUMNS = ["R02", "R03", "R03cat", "DISABILITY3", "documents"]
+ADULT_COLUMNS = ["R02", "R03", "R03cat", "R03cat2", "DISABILITY3", "hhadults", "SAF01SDG", "INC01",
+                 "labourForce", "employmentStatus"]
+HOUSEHOLD_COLUMNS = ["hhsizecat", "electricity", "allNationals", "headHHR02", "headHHR03cat",
+                     "hhdisability3"]
 DOCUMENTS = [*demographics.DOCUMENTS_FROM_5, *demographics.DOCUMENTS_BELOW_5]
 
 
@@ -41,7 +46,9 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 # --- shared inputs -----------------------------------------------------------
 
 def derived(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.derive_members(standin.members(spark, sf), PROFILE)
+    """Derived member columns without the raw answers behind them."""
+    members = clean.derive_members(standin.members(spark, sf), PROFILE)
+    return members.drop("R01", *FUNCTIONING, *DOCUMENTS)
 
 
 def member_origin(spark: SparkSession, sf: str) -> DataFrame:
@@ -82,14 +89,15 @@ def aged(s1: DataFrame) -> DataFrame:
 
 def member_design_base(spark: SparkSession, sf: str) -> tuple[SurveyDesign, DataFrame]:
     margin = stage(margins.member_margin(origins(spark, sf), PROFILE), "member-margin")
-    rows = weight.member_rows(aged(members_clean(spark, sf)), standin.countries(spark, sf), PROFILE)
+    s1 = aged(members_clean(spark, sf)).select("_index", "_parent_index", "origin", *MEMBER_COLUMNS)
+    rows = weight.member_rows(s1, standin.countries(spark, sf), PROFILE)
     return weight.member_base_design(stage(rows, "member-rows"), margin), margin
 
 
 def adult_design_base(spark: SparkSession, sf: str) -> tuple[SurveyDesign, DataFrame]:
     margin = stage(margins.adult_margin(origins(spark, sf), PROFILE), "adult-margin")
-    rows = weight.adult_rows(
-        adults(households_clean(spark, sf, "skip")), standin.countries(spark, sf), PROFILE)
+    hh = adults(households_clean(spark, sf, "skip")).select("_index", "origin", *ADULT_COLUMNS)
+    rows = weight.adult_rows(hh, standin.countries(spark, sf), PROFILE)
     return weight.adult_base_design(stage(rows, "adult-rows"), margin), margin
 
 
@@ -571,7 +579,7 @@ def weighted_vs_unweighted(spark, sf):
 @query
 def equal_probability_table(spark, sf):
     hh = adults(households_clean(spark, sf, "skip"))
-    design = equal_probability(stage(decode(hh), "households"))
+    design = equal_probability(stage(decode(hh.select("_index", *HOUSEHOLD_COLUMNS)), "households"))
     cells = with_limits(estimate(design, "hhsizecat", report.HOUSEHOLD_BREAKDOWNS))
     return _cells(cells, "p", "se", "df", "low", "upp")
 
@@ -580,7 +588,8 @@ def equal_probability_table(spark, sf):
 def equal_probability_members(spark, sf):
     members = standin.members(spark, sf, questions=[*FUNCTIONING, *DOCUMENTS], origins=False)
     out = demographics.documents(demographics.disability(demographics.age_bands(members)))
-    design = equal_probability(stage(decode(out), "members"), psu="_parent_index")
+    kept = decode(out.select("_parent_index", "R02", "R03cat", "DISABILITY3", "documents"))
+    design = equal_probability(stage(kept, "members"), psu="_parent_index")
     cells = with_limits(estimate(design, "documents", report.PERSON_BREAKDOWNS))
     return _cells(cells, "p", "se", "df", "low", "upp")
 
@@ -588,7 +597,7 @@ def equal_probability_members(spark, sf):
 @query
 def foreign_households_table(spark, sf):
     hh = adults(households_clean(spark, sf, "skip")).filter(F.col("allNationals") == 0)
-    design = equal_probability(stage(decode(hh), "households"))
+    design = equal_probability(stage(decode(hh.select("_index", *HOUSEHOLD_COLUMNS)), "households"))
     return _cells(with_limits(estimate(design, "electricity")), "p", "se", "df", "low", "upp")
 
 
@@ -641,7 +650,8 @@ def report_designs(spark: SparkSession, sf: str) -> weight.Designs:
     hh = stage(adults(tables.hh), "hh")
     s1 = stage(aged(tables.s1), "s1")
     return weight.build_designs(
-        hh, s1, standin.population(spark, sf), standin.countries(spark, sf), PROFILE)
+        hh, s1, standin.population(spark, sf), standin.countries(spark, sf), PROFILE,
+        columns=report.REPORT_COLUMNS)
 
 
 @query

@@ -7,12 +7,10 @@ on a column drops it. Derivations therefore attach labels as their last step.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from itertools import chain
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def labelled(
@@ -47,6 +45,11 @@ def level_order(df: DataFrame, name: str) -> list[str]:
     return list(df.schema[name].metadata.get("texts", []))
 
 
+def quoted(text: str) -> str:
+    """Text as a SQL string literal."""
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def decode(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Replace codes by their texts in every labelled column.
 
@@ -61,12 +64,8 @@ def decode(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
         if not (wanted and codes):
             out.append(col)
             continue
-        lookup = F.create_map(*[F.lit(v) for v in chain.from_iterable(zip(codes, texts))])
-        code = col.cast("string")
+        code = f"CAST(`{field.name}` AS STRING)"
+        whens = " ".join(f"WHEN {quoted(c)} THEN {quoted(t)}" for c, t in zip(codes, texts))
         meta = {"label": field.metadata.get("label", ""), "texts": texts}
-        out.append(F.coalesce(F.try_element_at(lookup, code), code).alias(field.name, metadata=meta))
+        out.append(F.expr(f"CASE {code} {whens} ELSE {code} END").alias(field.name, metadata=meta))
     return df.select(*out)
-
-
-def is_text(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, T.StringType)

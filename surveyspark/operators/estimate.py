@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveyspark.functions.labels import level_order
+from surveyspark.functions.labels import level_order, quoted
 from surveyspark.functions.stats import logit_limits, mean_limits, t_975
 from surveyspark.operators.design import SurveyDesign
 from surveyspark.operators.linkage import is_small
@@ -73,11 +73,9 @@ def _rows(design: SurveyDesign, questions: Sequence[Question], by: Sequence[Brea
     if design.psu:
         out["_psu"] = F.col(design.psu)
     for i, b in enumerate(by):
-        value = F.col(b.column).cast("string")
-        number = F.lit(0)
-        for level in b.levels:
-            number = F.when(value == level, numbers[b.column, level]).otherwise(number)
-        out[f"_b{i}"] = number
+        whens = " ".join(
+            f"WHEN {quoted(level)} THEN {numbers[b.column, level]}" for level in b.levels)
+        out[f"_b{i}"] = F.expr(f"CASE CAST(`{b.column}` AS STRING) {whens} ELSE 0 END")
     entries = []
     for no, q in enumerate(questions, start=1):
         answer = F.col(q.x).cast("string")

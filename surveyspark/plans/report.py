@@ -72,6 +72,12 @@ REPORT = (
 )
 
 
+# every column the report reads
+REPORT_COLUMNS = tuple(dict.fromkeys(
+    [s.x for s in REPORT] + [b.column for b in HOUSEHOLD_BREAKDOWNS + PERSON_BREAKDOWNS]
+    + ["workingAge"]))
+
+
 def column_names(levels: Sequence[str]) -> list[str]:
     """Value columns of a table: share and limits, in total and per level."""
     names = ["Total", "low", "upp"]

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveyspark.functions.labels import decode
+from surveyspark.functions.reshape import any_of
 from surveyspark.operators import demographics, linkage, margins
 from surveyspark.operators.design import (
     SurveyDesign,
@@ -65,33 +67,47 @@ def member_base_design(rows: DataFrame, margin: DataFrame) -> SurveyDesign:
 
 def adult_design(hh: DataFrame, origins: DataFrame, countries: DataFrame,
                  profile: Profile) -> SurveyDesign:
-    """Post-stratified adult design; rows and margin are written once."""
+    """Post-stratified adult design over a stored household table."""
     margin = stage(margins.adult_margin(origins, profile), "adult-margin")
-    rows = stage(adult_rows(hh, countries, profile), "adult-rows")
+    rows = adult_rows(hh, countries, profile)
     return poststratify(adult_base_design(rows, margin), "originSex_ps", margin)
 
 
 def member_design(s1: DataFrame, origins: DataFrame, countries: DataFrame,
                   profile: Profile) -> SurveyDesign:
-    """Post-stratified member design; rows and margin are written once."""
+    """Post-stratified member design over a stored member table."""
     margin = stage(margins.member_margin(origins, profile), "member-margin")
-    rows = stage(member_rows(s1, countries, profile), "member-rows")
+    rows = member_rows(s1, countries, profile)
     return poststratify(member_base_design(rows, margin), "originAgeSex_ps", margin)
 
 
-def staged(design: SurveyDesign, name: str) -> SurveyDesign:
-    """The design over its written rows, for many tables to read."""
-    return design.replace(df=stage(design.df, name))
+def staged(design: SurveyDesign, name: str, columns: Sequence[str] | None = None) -> SurveyDesign:
+    """The design over its written rows, for many tables to read.
+
+    ``columns`` limits the write to what the tables need beside the design's own.
+    """
+    df = design.df
+    if columns is not None:
+        own = [v for n, v in design.settings().items() if v and n != "fpc_kind"]
+        df = df.select(*any_of(df, dict.fromkeys([*own, *columns])))
+    return design.replace(df=stage(df, name))
 
 
 def build_designs(hh: DataFrame, s1: DataFrame, dem: DataFrame, countries: DataFrame,
-                  profile: Profile) -> Designs:
-    """All designs over clean tables (which should be stored tables)."""
+                  profile: Profile, columns: Sequence[str] | None = None) -> Designs:
+    """All designs over clean tables.
+
+    The tables must be stored ones: each design scans them a few times, with
+    few columns. Post-stratified rows are written once more, because every
+    table would otherwise repeat the weighting.
+    """
     origins = stage(population_by_origin(dem, countries, profile), "origins")
+    members = member_design(s1, origins, countries, profile)
+    adults = adult_design(hh, origins, countries, profile)
     return Designs(
         households=equal_probability(decode(hh)),
         households_with_foreigners=equal_probability(decode(hh.filter("allNationals = 0"))),
         members=equal_probability(decode(s1), psu="_parent_index"),
-        foreign_members=staged(member_design(s1, origins, countries, profile), "foreign-members"),
-        foreign_adults=staged(adult_design(hh, origins, countries, profile), "foreign-adults"),
+        foreign_members=staged(members, "foreign-members", columns),
+        foreign_adults=staged(adults, "foreign-adults", columns),
     )

@@ -13,7 +13,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyspark.functions.nulls import recode
 from surveyspark.operators.linkage import number_within
 from surveyspark.sources.profile import Profile
 
@@ -98,25 +97,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def answer(key: Column, salt: int, codes: str) -> Column:
+def answer(key: str, salt: int, codes: str) -> Column:
     """Pick one of the codes by a multiplicative hash of key and salt."""
     entries = codes.split(",")
-    choices = F.array(*[F.lit(e or None).cast("string") for e in entries])
-    mixed = ((key % 1000003) * 1000 + salt) * F.lit(2654435761) % F.lit(4294967296)
-    return F.element_at(choices, (F.shiftright(mixed, 16) % len(entries) + 1).cast("int"))
+    choices = ", ".join(f"'{e}'" if e else "NULL" for e in entries)
+    mixed = f"(({key} % 1000003) * 1000 + {salt}) * 2654435761 % 4294967296"
+    return F.expr(
+        f"element_at(array({choices}), cast(shiftright({mixed}, 16) % {len(entries)} + 1 AS int))")
 
 
 def households(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per household form (order)."""
-    key = F.col("o_orderkey")
     answers = [
-        answer(key, salt, codes).alias(name)
+        answer("o_orderkey", salt, codes).alias(name)
         for salt, (name, codes) in enumerate(HOUSEHOLD_ANSWERS.items(), start=1)
     ]
     person = F.concat(F.lit("person "), F.col("o_custkey").cast("string"))
     return (
         table(spark, sf_dir, "orders")
-        .select(key.alias("_index"), person.alias("adult_name"), person.alias("fam_name1"), *answers)
+        .select(F.col("o_orderkey").alias("_index"), person.alias("adult_name"), person.alias("fam_name1"), *answers)
         .withColumn("selected_adult", F.col("selected_adult").cast("int"))
         .withColumn("INC01", F.col("INC01").alias(
             "INC01", metadata={"label": "Change in income",
@@ -189,7 +188,7 @@ def members(
     out = items.select(*[c.alias(n) for n, c in keep.items()])
     wanted = MEMBER_ANSWERS if questions is None else set(questions)
     answers = [
-        answer(F.col("_index"), salt, codes).alias(name)
+        answer("_index", salt, codes).alias(name)
         for salt, (name, codes) in enumerate(MEMBER_ANSWERS.items(), start=101)
         if name in wanted
     ]
