@@ -250,7 +250,9 @@ def estimate_many(
             units = units.join(whole, "_tab").withColumn("_seen", F.col("_all")).drop("_all")
     else:
         lookup = _score_lookup(types, cells, scores, len(groups), stat)
-        units = _units_of_clusters(rows, F.broadcast(lookup) if small else lookup, by, df_from)
+        if small or is_small(lookup, SMALL_TABLE):
+            lookup = F.broadcast(lookup)
+        units = _units_of_clusters(rows, lookup, by, df_from)
         if stat == "proportion":
             units = _mirror(units, cells)
         else:
