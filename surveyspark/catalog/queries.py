@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyspark.functions.labels import decode
+from surveyspark.functions.reshape import any_of
 from surveyspark.operators import demographics, household, indicators, linkage, margins, quality
 from surveyspark.operators.design import (
     SurveyDesign,
@@ -646,9 +647,12 @@ def report_designs(spark: SparkSession, sf: str) -> weight.Designs:
     weight, hence ``missing="skip"``.
     """
     tables = clean.clean(
-        standin.households(spark, sf), standin.members(spark, sf), PROFILE, missing="skip")
-    hh = stage(adults(tables.hh), "hh")
-    s1 = stage(aged(tables.s1), "s1")
+        standin.households(spark, sf), standin.members(spark, sf), PROFILE, missing="skip",
+        keep_answers=False)
+    used = ["_index", "_parent_index", "origin", "R03", "hhadults", "allNationals",
+            *report.REPORT_COLUMNS]
+    hh = stage(adults(tables.hh).select(*any_of(tables.hh, used)), "hh")
+    s1 = stage(aged(tables.s1).select(*any_of(tables.s1, used)), "s1")
     return weight.build_designs(
         hh, s1, standin.population(spark, sf), standin.countries(spark, sf), PROFILE,
         columns=report.REPORT_COLUMNS)

@@ -6,7 +6,6 @@ from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
 def column_range(df: DataFrame, first: str, last: str) -> list[str]:
@@ -27,11 +26,6 @@ def only_in_right(left: DataFrame, right: DataFrame) -> list[str]:
     return [n for n in right.columns if n not in have]
 
 
-def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
-    """Rename old -> new."""
-    return df.withColumnsRenamed(dict(names))
-
-
 def strip_from_names(df: DataFrame, text: str) -> DataFrame:
     return df.toDF(*[n.replace(text, "") for n in df.columns])
 
@@ -51,12 +45,8 @@ def wider(
     """
     aggs = [agg.alias(f"v{i}") for i, agg in enumerate(values.values())]
     wide = df.groupBy(*keys).pivot(names_from, list(levels)).agg(*aggs)
-    made = []
-    for level in levels:
-        for i, pattern in enumerate(values):
-            source = f"{level}_v{i}" if len(values) > 1 else level
-            made.append(F.col(f"`{source}`").alias(pattern.format(level)))
-    return wide.select(*keys, *made)
+    # pivoted columns come level by level, and by aggregate within the level
+    return wide.toDF(*keys, *[pattern.format(level) for level in levels for pattern in values])
 
 
 def longer(

@@ -65,7 +65,8 @@ def t_975(df: Column) -> Column:
     Looked up for few degrees of freedom, else the expansion in 1/df around
     the normal quantile, which is exact to about 1e-12 there.
     """
-    table = F.array(*[F.lit(t_quantile_975(d)) for d in range(1, TABLE_SIZE + 1)])
+    values = ", ".join(f"{t_quantile_975(d)!r}D" for d in range(1, TABLE_SIZE + 1))
+    table = F.expr(f"array({values})")
     z, v = Z_975, df.cast("double")
     terms = (
         (z**3 + z) / 4,

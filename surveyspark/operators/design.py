@@ -52,12 +52,17 @@ def equal_probability(df: DataFrame, psu: str | None = None) -> SurveyDesign:
     return SurveyDesign(df.withColumn("weight", F.lit(1.0)), weight="weight", psu=psu)
 
 
+def margin_total(margin: DataFrame) -> Column:
+    """Size of the population, as one scalar."""
+    return margin.select(F.sum("Freq").cast("double")).scalar()
+
+
 def adult_weights(df: DataFrame, margin: DataFrame, adults: str = "hhadults") -> DataFrame:
     """One adult per household drawn at random: weight grows with the adults.
 
     Scaled so that all adults of the sampled households stand for the margin.
     """
-    population = margin.select(F.sum("Freq").cast("double")).scalar()
+    population = margin_total(margin)
     drawn_from = df.select(strict_plain_sum(adults)).scalar()
     chance = ratio(F.lit(1), F.col(adults)) * ratio(drawn_from, population)
     return (
@@ -74,7 +79,7 @@ def strict_plain_sum(column: str) -> Column:
 
 def member_weights(df: DataFrame, margin: DataFrame) -> DataFrame:
     """All members of sampled households: one constant weight."""
-    population = margin.select(F.sum("Freq").cast("double")).scalar()
+    population = margin_total(margin)
     sampled = df.select(F.count(F.lit(1)).cast("double")).scalar()
     return df.withColumns({
         "dweightHHM": ratio(population, sampled),

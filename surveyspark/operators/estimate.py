@@ -158,7 +158,8 @@ def _score_lookup(types: DataFrame, cells: DataFrame, scores: DataFrame, size: i
     """Score constants per table, stratum and answer, as arrays over the groups.
 
     Of two answers only the first is kept: the scores of the other are the
-    same with the opposite sign.
+    same with the opposite sign. The lists collected here have one entry per
+    group of the table.
     """
     def dense(column: str) -> Column:
         return F.expr(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyspark.functions.labels import labelled
-from surveyspark.functions.nulls import cut, if_else_na, in_set, skip_sum, strict_sum
+from surveyspark.functions.nulls import cut, if_else_na, skip_sum, strict_sum
 from surveyspark.sources.profile import Profile
 
 # Household size classes, upper ends included.
@@ -153,7 +153,3 @@ def not_host_or_blank(df: DataFrame, profile: Profile, column: str = "origin") -
     kept = df.filter(F.coalesce(F.col(column) != profile.host, F.lit(True)))
     known = F.col(column).isNotNull()
     return kept.select(*[F.when(known, F.col(f"`{c}`")).alias(c) for c in df.columns])
-
-
-def is_host(column: str, profile: Profile) -> Column:
-    return in_set(column, [profile.host])

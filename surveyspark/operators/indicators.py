@@ -52,6 +52,13 @@ FACILITIES_LABELS = {
     0: "Household does not have access to basic facilities",
 }
 
+# every household question that only feeds the indicators below
+SERVICE_ANSWERS = (
+    "BANK01", "BANK02", "BANK03", "BANK04", "BANK05", "HACC01", "HACC03",
+    "COOK01", "COOK03", "COOK04", "SAF01", "DWA01", "DWA02", "DWA03a", "DWA03b",
+    "TOI01", "TOI05", "LIGHT01", "LIGHT03",
+)
+
 
 def _in_or_out(c: str, inside: tuple[str, ...], outside: tuple[str, ...]) -> Column:
     return F.when(F.col(c).isin(*inside), 1).when(F.col(c).isin(*outside), 0)

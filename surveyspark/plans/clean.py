@@ -75,14 +75,22 @@ def enrich_households(base: DataFrame, members: DataFrame, profile: Profile,
 
 
 def clean(households: DataFrame, members: DataFrame, profile: Profile,
-          origin_pick: str = "count", missing: str = "strict") -> CleanTables:
+          origin_pick: str = "count", missing: str = "strict",
+          keep_answers: bool = True) -> CleanTables:
     """Both clean tables, identifiers and working columns removed.
 
     The derived members and the household base are read by several branches
-    each, so they are written once and read back.
+    each, so they are written once and read back. ``keep_answers=False`` leaves
+    out the raw answers that the derived columns stand for.
     """
-    derived = stage(derive_members(members, profile), "members")
-    base = stage(household_base(households, derived, profile, origin_pick, missing), "households")
+    answers = () if keep_answers else (
+        *demographics.FUNCTIONING, *demographics.DOCUMENTS_FROM_5, *demographics.DOCUMENTS_BELOW_5,
+        *MEMBER_IDENTIFIERS)
+    derived = stage(derive_members(members, profile).drop(*answers), "members")
+    base = household_base(households, derived, profile, origin_pick, missing)
+    if not keep_answers:
+        base = base.drop(*indicators.SERVICE_ANSWERS, *HOUSEHOLD_IDENTIFIERS)
+    base = stage(base, "households")
     hh = enrich_households(base, derived, profile)
     s1 = enrich_members(household.mark_heads(derived, missing), base, profile)
     return CleanTables(

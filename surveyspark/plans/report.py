@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveyspark.functions.labels import variable_label
+from surveyspark.functions.labels import quoted, variable_label
 from surveyspark.functions.reshape import any_of, stack_tables, strip_from_names, wider
 from surveyspark.operators.design import SurveyDesign
 from surveyspark.operators.estimate import TOTAL, Breakdown, Question, estimate_many, with_limits
@@ -86,29 +86,44 @@ def column_names(levels: Sequence[str]) -> list[str]:
     return names
 
 
+def _with_base_rows(cells: DataFrame) -> DataFrame:
+    """Cells as (answer, level) values, and per level the two base values.
+
+    The first cell of a level carries the level's sums, so the cells are read
+    once and not once more for the bases.
+    """
+    level = Window.partitionBy("tab", "level")
+    summed = cells.withColumns({
+        "weighted": F.sum("n").over(level),
+        "unweighted": F.sum("unwn").over(level).cast("double"),
+        "first": F.min("answer_no").over(level),
+    })
+
+    def line(row_no: object, text: str, v: str, low: str, upp: str, n: str) -> str:
+        return (f"struct({row_no} AS row_no, {text} AS Answers, {v} AS v, "
+                f"cast({low} AS double) AS low, cast({upp} AS double) AS upp, {n} AS n)")
+
+    three = ", ".join((
+        line("answer_no", "answer", "p", "low", "upp", "n"),
+        line(BASE_ROW + 1, quoted(WEIGHTED_BASE), "weighted", "NULL", "NULL", "weighted"),
+        line(BASE_ROW + 2, quoted(UNWEIGHTED_BASE), "unweighted", "NULL", "NULL", "unweighted")))
+    lines = F.expr(
+        f"inline(filter(array({three}), r -> r.row_no < {BASE_ROW} OR answer_no = first))")
+    return summed.select("tab", "level", lines)
+
+
 def wide_tables(cells: DataFrame, levels: Sequence[str]) -> DataFrame:
     """Cells of one or more tables as report rows: answers, then two base rows."""
-    shown = [TOTAL, *levels]
-    answers = wider(
-        cells, ["tab", "answer_no", "answer"], "level", shown,
-        {"{}": F.first("p"), "low_{}": F.first("low"), "upp_{}": F.first("upp"),
+    wide = wider(
+        _with_base_rows(cells), ["tab", "row_no", "Answers"], "level", [TOTAL, *levels],
+        {"{}": F.first("v"), "low_{}": F.first("low"), "upp_{}": F.first("upp"),
          "n_{}": F.first("n")})
-    answers = answers.withColumnsRenamed({"low_Total": "low", "upp_Total": "upp", "n_Total": "n"})
-    answers = answers.select(
-        "tab", F.col("answer_no").alias("row_no"), F.col("answer").alias("Answers"), "n",
-        *[F.col(f"`{c}`") for c in column_names(levels)])
-
-    sums = cells.groupBy("tab", "level").agg(
-        F.sum("n").alias("weighted"), F.sum("unwn").cast("double").alias("unweighted"))
-    lines = F.inline(F.array(*[
-        F.struct(F.lit(BASE_ROW + i).alias("row_no"), F.lit(text).alias("Answers"),
-                 F.col(value).alias("value"))
-        for i, (text, value) in enumerate(
-            ((WEIGHTED_BASE, "weighted"), (UNWEIGHTED_BASE, "unweighted")), start=1)]))
-    bases = wider(sums.select("tab", "level", lines), ["tab", "row_no", "Answers"], "level", shown,
-                  {"{}": F.first("value")})
-    bases = bases.fillna(0.0, list(levels)).withColumn("n", F.col(TOTAL))
-    return stack_tables([answers, bases])
+    wide = wide.withColumnsRenamed({"low_Total": "low", "upp_Total": "upp", "n_Total": "n"})
+    is_base = F.col("row_no") > BASE_ROW
+    empty = {v: F.when(is_base & F.col(f"`{v}`").isNull(), 0.0).otherwise(F.col(f"`{v}`"))
+             for v in levels}
+    return wide.withColumns(empty).select(
+        "tab", "row_no", "Answers", "n", *[f"`{c}`" for c in column_names(levels)])
 
 
 def with_header(rows: DataFrame, specs: Sequence[TableSpec], questions: Sequence[str]) -> DataFrame:
@@ -120,7 +135,7 @@ def with_header(rows: DataFrame, specs: Sequence[TableSpec], questions: Sequence
     texts = [
         F.when(F.col("row_no") == 1, head[i]).otherwise("").alias(name)
         for i, name in enumerate(HEADER)]
-    rest = [F.col(f"`{c}`") for c in rows.columns if c not in ("tab", "row_no")]
+    rest = [f"`{c}`" for c in rows.columns if c not in ("tab", "row_no")]
     return rows.select("tab", "row_no", *texts, *rest)
 
 
@@ -149,10 +164,13 @@ def full_report(designs: Designs, specs: Sequence[TableSpec] = REPORT) -> DataFr
     for name in dict.fromkeys(s.design for s in specs):
         mine = [(no, s) for no, s in enumerate(specs, start=1) if s.design == name]
         by = HOUSEHOLD_BREAKDOWNS if name == "households" else PERSON_BREAKDOWNS
-        tables = indicator_tables(getattr(designs, name), [s for _, s in mine], by)
+        cells = estimate_many(
+            getattr(designs, name), [Question(s.x, s.domain) for _, s in mine], by)
         number = F.element_at(F.array(*[F.lit(no) for no, _ in mine]), F.col("tab"))
-        parts.append(tables.withColumn("tab", number).withColumnRenamed("tab", "table_no"))
-    return stack_tables(parts)
+        parts.append(cells.withColumn("tab", number))
+    rows = wide_tables(with_limits(stack_tables(parts)), LEVELS)
+    questions = [variable_label(getattr(designs, s.design).df, s.x) for s in specs]
+    return with_header(rows, specs, questions).withColumnRenamed("tab", "table_no")
 
 
 def joined_table(design: SurveyDesign, x: str, by: Sequence[Breakdown],
@@ -179,7 +197,7 @@ def joined_table(design: SurveyDesign, x: str, by: Sequence[Breakdown],
         *[F.col(f"`{c}`") for c in any_of(table, names)])
     table = strip_from_names(table, "%_").withColumn("tab", F.lit(1))
     levels = [level for b in by for level in b.levels]
-    bases = wide_tables(cells.withColumn("tab", F.lit(1)), levels).filter(F.col("row_no") > BASE_ROW)
+    bases = wide_tables(cells, levels).filter(F.col("row_no") > BASE_ROW)
     rows = stack_tables([table, bases.select(*any_of(bases, table.columns))])
     spec = TableSpec(x, "", unit, indicator)
     return with_header(rows, [spec], [variable_label(design.df, x)]).drop("tab")

@@ -85,11 +85,15 @@ def staged(design: SurveyDesign, name: str, columns: Sequence[str] | None = None
     """The design over its written rows, for many tables to read.
 
     ``columns`` limits the write to what the tables need beside the design's own.
+    Clustered designs are written unit by unit, so that every later pass sums a
+    unit before it shuffles; a rebalance may split an outsized unit over files.
     """
     df = design.df
     if columns is not None:
         own = [v for n, v in design.settings().items() if v and n != "fpc_kind"]
         df = df.select(*any_of(df, dict.fromkeys([*own, *columns])))
+    if design.psu:
+        df = df.hint("rebalance", F.col(design.psu)).sortWithinPartitions(design.psu)
     return design.replace(df=stage(df, name))
 
 

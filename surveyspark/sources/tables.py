@@ -34,9 +34,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     The plan behind it is cut: a lost executor costs a re-read, not a
     recomputation, and later steps prune columns and push filters into Parquet.
+    All tables of a run share a folder named after the application, which can
+    be removed when the run is over.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/surveyspark/{name}-{uuid.uuid4().hex}"
+    run = spark.sparkContext.applicationId
+    path = f"{shared_dir(spark)}/surveyspark/{run}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
