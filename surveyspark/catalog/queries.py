@@ -27,7 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 FUNCTIONING = list(demographics.FUNCTIONING)
-MEMBER_COLUMNS = ["R02", "R03", "R03cat", "DISABILITY3", "documents"]
+MEMBER_COLUMNS = ["R03cat", "DISABILITY3", "documents"]
 ADULT_COLUMNS = ["R02", "R03", "R03cat", "R03cat2", "DISABILITY3", "hhadults", "SAF01SDG", "INC01",
                  "labourForce", "employmentStatus"]
 HOUSEHOLD_COLUMNS = ["hhsizecat", "electricity", "allNationals", "headHHR02", "headHHR03cat",
@@ -73,9 +73,13 @@ def households_clean(spark: SparkSession, sf: str, missing: str = "strict") -> D
     return clean.enrich_households(base, members, PROFILE)
 
 
-def members_clean(spark: SparkSession, sf: str) -> DataFrame:
-    base, members = base_and_members(spark, sf)
-    return clean.enrich_members(members, base, PROFILE)
+def members_with_origin(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Members with imputed origin, for tables that need nothing of the household form."""
+    source = derived(spark, sf) if columns else member_origin(spark, sf)
+    members = stage(source.select(
+        "_index", "_parent_index", "R02", "R03", "REF06", "citizenship", "originAux", *columns), "members")
+    modal = household.household_origin(members, PROFILE).withColumnRenamed("_parent_index", "_index")
+    return demographics.impute_origin(linkage.push_down(members, modal, ["originAux2"]), PROFILE)
 
 
 def adults(hh: DataFrame) -> DataFrame:
@@ -88,9 +92,11 @@ def aged(s1: DataFrame) -> DataFrame:
     return s1.filter(F.col("R03").isNotNull())
 
 
-def member_design_base(spark: SparkSession, sf: str) -> tuple[SurveyDesign, DataFrame]:
+def member_design_base(spark: SparkSession, sf: str, *columns: str) -> tuple[SurveyDesign, DataFrame]:
+    """Member design before post-stratification, with its margin."""
     margin = stage(margins.member_margin(origins(spark, sf), PROFILE), "member-margin")
-    s1 = aged(members_clean(spark, sf)).select("_index", "_parent_index", "origin", *MEMBER_COLUMNS)
+    s1 = aged(members_with_origin(spark, sf, *columns)).select(
+        "_index", "_parent_index", "origin", "R02", "R03", *columns)
     rows = weight.member_rows(s1, standin.countries(spark, sf), PROFILE)
     return weight.member_base_design(stage(rows, "member-rows"), margin), margin
 
@@ -102,8 +108,8 @@ def adult_design_base(spark: SparkSession, sf: str) -> tuple[SurveyDesign, DataF
     return weight.adult_base_design(stage(rows, "adult-rows"), margin), margin
 
 
-def member_design_ps(spark: SparkSession, sf: str) -> SurveyDesign:
-    design, margin = member_design_base(spark, sf)
+def member_design_ps(spark: SparkSession, sf: str, *columns: str) -> SurveyDesign:
+    design, margin = member_design_base(spark, sf, *columns)
     return poststratify(design, "originAgeSex_ps", margin)
 
 
@@ -148,10 +154,7 @@ def household_origin_by_value(spark, sf):
 
 @query
 def origin_imputation(spark, sf):
-    members = stage(member_origin(spark, sf), "members")
-    modal = household.household_origin(members, PROFILE).withColumnRenamed("_parent_index", "_index")
-    linked = linkage.push_down(members, modal, ["originAux2"])
-    return demographics.impute_origin(linked, PROFILE).select(
+    return members_with_origin(spark, sf).select(
         "_index", "citizenship", "originAux", "originAux2", "origin")
 
 
@@ -448,9 +451,7 @@ def join_fanout(spark, sf):
 
 @query
 def poststratum_keys(spark, sf):
-    members = stage(member_origin(spark, sf), "members")
-    modal = household.household_origin(members, PROFILE).withColumnRenamed("_parent_index", "_index")
-    s1 = demographics.impute_origin(linkage.push_down(members, modal, ["originAux2"]), PROFILE)
+    s1 = members_with_origin(spark, sf)
     rows = weight.member_rows(aged(s1), standin.countries(spark, sf), PROFILE)
     keyed = demographics.adult_stratum(rows)
     return keyed.select("_index", "origin_ps", "R03bin", "originSex_ps", "originAgeSex_ps")
@@ -458,7 +459,7 @@ def poststratum_keys(spark, sf):
 
 @query
 def sample_by_stratum(spark, sf):
-    s1 = members_clean(spark, sf)
+    s1 = members_with_origin(spark, sf)
     located = linkage.add_region(s1, standin.countries(spark, sf), "origin")
     binned = demographics.age_group(demographics.collapse_origin(located, PROFILE))
     keyed = demographics.member_stratum(binned)
@@ -517,7 +518,7 @@ def _cells(df: DataFrame, *extra: str) -> DataFrame:
 
 @query
 def weighted_total_se(spark, sf):
-    design = member_design_ps(spark, sf)
+    design = member_design_ps(spark, sf, *MEMBER_COLUMNS)
     cells = estimate(design, "documents", report.PERSON_BREAKDOWNS, stat="total")
     return rounded(_cells(cells, "se"), 4, "se")
 
@@ -533,7 +534,7 @@ def design_totals(spark, sf):
 
 @query
 def weighted_proportion_se(spark, sf):
-    design, _ = member_design_base(spark, sf)
+    design, _ = member_design_base(spark, sf, "DISABILITY3")
     cells = estimate(design, "DISABILITY3", report.PERSON_BREAKDOWNS[:1])
     return _cells(cells, "p", "se")
 
@@ -546,7 +547,8 @@ def adult_proportion_se(spark, sf):
 
 @query
 def weighted_proportion_ci(spark, sf):
-    cells = with_limits(estimate(member_design_ps(spark, sf), "documents", report.PERSON_BREAKDOWNS))
+    design = member_design_ps(spark, sf, *MEMBER_COLUMNS)
+    cells = with_limits(estimate(design, "documents", report.PERSON_BREAKDOWNS))
     return _cells(cells, "p", "se", "df", "low", "upp")
 
 
@@ -574,7 +576,8 @@ def _beside_unweighted(design: SurveyDesign, x: str) -> DataFrame:
 @query
 def weighted_vs_unweighted(spark, sf):
     adult = _beside_unweighted(adult_design_ps(spark, sf), "SAF01SDG")
-    return adult.unionByName(_beside_unweighted(member_design_ps(spark, sf), "documents"))
+    member = member_design_ps(spark, sf, "documents")
+    return adult.unionByName(_beside_unweighted(member, "documents"))
 
 
 @query
@@ -627,7 +630,7 @@ def _report_rounded(df: DataFrame, *keys: str) -> DataFrame:
 @query
 def indicator_table_wide(spark, sf):
     table = report.indicator_table(
-        member_design_ps(spark, sf), "documents", report.PERSON_BREAKDOWNS,
+        member_design_ps(spark, sf, *MEMBER_COLUMNS), "documents", report.PERSON_BREAKDOWNS,
         "Core outcome 1.3", "Household member")
     return _report_rounded(table, "row_no")
 
@@ -635,7 +638,7 @@ def indicator_table_wide(spark, sf):
 @query
 def report_join_form(spark, sf):
     table = report.joined_table(
-        member_design_ps(spark, sf), "documents", report.PERSON_BREAKDOWNS,
+        member_design_ps(spark, sf, *MEMBER_COLUMNS), "documents", report.PERSON_BREAKDOWNS,
         "Core outcome 1.3", "Household member")
     return _report_rounded(table, "row_no")
 
