@@ -25,7 +25,7 @@ def add(name: str, body: str, extra: dict[str, str] | None = None) -> None:
 add("head_of_household", "SELECT _parent_index, _index, householdHead FROM s1_head")
 add("household_rollup", """
 SELECT _parent_index, hhsize, hhNationals, hhadults, hhdisability3, hhsizecat, allNationals FROM rolled""")
-_HEAD = """R02 AS headHHR02, R03 AS headHHR03, R03cat AS headHHR03cat, R03cat2 AS headHHR03cat2,
+_HEAD = """_index AS headHHindex, R02 AS headHHR02, R03 AS headHHR03, R03cat AS headHHR03cat, R03cat2 AS headHHR03cat2,
   citizenship AS headHHcitizenship, REF06 AS headHHREF06"""
 add("head_attributes", f"""
 SELECT r._parent_index, h.* EXCLUDE (hh) FROM rolled r LEFT JOIN (

@@ -25,6 +25,7 @@ HEAD_LABELS = {1: "Head of household", 0: "Not head of household"}
 HOUSEHOLD_DISABILITY_LABELS = {0: "Without disability", 1: "With disability"}
 
 HEAD_ATTRIBUTES = {
+    "_index": "headHHindex",
     "R02": "headHHR02",
     "R03": "headHHR03",
     "R03cat": "headHHR03cat",
@@ -60,14 +61,19 @@ def head_choice(missing: str = "strict") -> Column:
     return F.when(F.count(relation) == F.count(F.lit(1)), head)
 
 
+def head_flag(head: str) -> Column:
+    """1 for the member whose key is ``head``, 0 for others, NULL without a head."""
+    flag = (F.col("_index") == F.col(head)).cast("int")
+    return labelled(flag, "householdHead", HEAD_LABELS, "Head of household")
+
+
 def mark_heads(members: DataFrame, missing: str = "strict") -> DataFrame:
     """Add ``householdHead`` (1/0, NULL where the household has no clear head)."""
     heads = members.groupBy(F.col("_parent_index").alias("_hh")).agg(
         head_choice(missing).alias("_head"))
-    flag = (F.col("_index") == F.col("_head")).cast("int")
     return (
         members.join(heads, F.col("_parent_index") == F.col("_hh"), "left")
-        .withColumn("householdHead", labelled(flag, "householdHead", HEAD_LABELS, "Head of household"))
+        .withColumn("householdHead", head_flag("_head"))
         .drop("_hh", "_head")
     )
 

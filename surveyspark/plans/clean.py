@@ -21,7 +21,7 @@ from surveyspark.sources.tables import stage
 # What is carried between the two tables.
 HOUSEHOLD_TO_MEMBERS = (
     "cookingfuel", "electricity", "basicSanitation", "basicDrinkingWater",
-    "basicFacilities", "originAux2", "hhadults",
+    "basicFacilities", "originAux2", "hhadults", "headHHindex",
 )
 MEMBER_TO_HOUSEHOLD = (
     "R02", "R02_rel", "R03", "R03cat", "R03cat2", "R06", "citizenship", "REF06",
@@ -56,9 +56,10 @@ def household_base(households: DataFrame, members: DataFrame, profile: Profile,
 
 
 def enrich_members(members: DataFrame, base: DataFrame, profile: Profile) -> DataFrame:
-    """Members with household indicators and imputed origin."""
+    """Members with household indicators, head flag and imputed origin, in one join."""
     linked = linkage.push_down(members, base, HOUSEHOLD_TO_MEMBERS)
-    return demographics.impute_origin(linked, profile)
+    marked = linked.withColumn("householdHead", household.head_flag("headHHindex"))
+    return demographics.impute_origin(marked.drop("headHHindex"), profile)
 
 
 def enrich_households(base: DataFrame, members: DataFrame, profile: Profile,
@@ -92,7 +93,7 @@ def clean(households: DataFrame, members: DataFrame, profile: Profile,
         base = base.drop(*indicators.SERVICE_ANSWERS, *HOUSEHOLD_IDENTIFIERS)
     base = stage(base, "households")
     hh = enrich_households(base, derived, profile)
-    s1 = enrich_members(household.mark_heads(derived, missing), base, profile)
+    s1 = enrich_members(derived, base, profile)
     return CleanTables(
         hh=linkage.strip_identifiers(hh, HOUSEHOLD_IDENTIFIERS, HOUSEHOLD_WORK_COLUMNS),
         s1=linkage.strip_identifiers(s1, MEMBER_IDENTIFIERS, MEMBER_WORK_COLUMNS),

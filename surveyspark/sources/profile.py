@@ -35,7 +35,7 @@ MEMBER_IDENTIFIERS = ("R01", "indid2", "name_individual")
 # Working columns that do not leave the cleaning stage.
 HOUSEHOLD_WORK_COLUMNS = (
     "originAux", "originAux2", "atWork", "tempAbs", "agriFish", "agriFishDest",
-    "employed", "unemployed",
+    "employed", "unemployed", "headHHindex",
 )
 MEMBER_WORK_COLUMNS = (
     "R05b", "calculation_002", "AgeMonths", "calculation3", "calculation4", "R04",
