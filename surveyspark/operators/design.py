@@ -52,6 +52,11 @@ def equal_probability(df: DataFrame, psu: str | None = None) -> SurveyDesign:
     return SurveyDesign(df.withColumn("weight", F.lit(1.0)), weight="weight", psu=psu)
 
 
+def strict_total(column: str) -> Column:
+    """Sum of a number column, NULL when one value is missing."""
+    return F.when(F.count(column) == F.count(F.lit(1)), F.sum(column)).cast("double")
+
+
 def margin_total(margin: DataFrame) -> Column:
     """Size of the population, as one scalar."""
     return margin.select(F.sum("Freq").cast("double")).scalar()
@@ -63,7 +68,7 @@ def adult_weights(df: DataFrame, margin: DataFrame, adults: str = "hhadults") ->
     Scaled so that all adults of the sampled households stand for the margin.
     """
     population = margin_total(margin)
-    drawn_from = df.select(strict_plain_sum(adults)).scalar()
+    drawn_from = df.select(strict_total(adults)).scalar()
     chance = ratio(F.lit(1), F.col(adults)) * ratio(drawn_from, population)
     return (
         df.withColumn("selectionprob", chance)
@@ -72,11 +77,6 @@ def adult_weights(df: DataFrame, margin: DataFrame, adults: str = "hhadults") ->
     )
 
 
-def strict_plain_sum(column: str) -> Column:
-    """Sum of a number column, NULL when one value is missing."""
-    return F.when(F.count(column) == F.count(F.lit(1)), F.sum(column)).cast("double")
-
-
 def member_weights(df: DataFrame, margin: DataFrame) -> DataFrame:
     """All members of sampled households: one constant weight."""
     population = margin_total(margin)

@@ -212,14 +212,14 @@ def population(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     scale = F.floor(table(spark, sf_dir, "lineitem").select(F.count(F.lit(1)) / 1000).scalar())
     key = F.col("n_nationkey").cast("long")
-    cells = {c: (50 + (key * 37 + pos * 11) % 100) * scale for pos, c in enumerate(CELLS)}
+    cells = {c: (50 + (key * 37 + pos * 11) % 100) * F.col("scale") for pos, c in enumerate(CELLS)}
     status = F.when(key % 2 == 0, "REF").otherwise("ASY")
     versions = F.explode(F.array(
         F.struct(F.lit(2021).alias("year"), status.alias("populationType")),
         F.struct(F.lit(2020).alias("year"), status.alias("populationType")),
         F.struct(F.lit(2021).alias("year"), F.lit("ROC").alias("populationType")),
     ))
-    wide = nation.select(
+    wide = nation.withColumn("scale", scale).select(
         versions.alias("v"), F.col("n_name").alias("origin_iso3"),
         *[v.cast("long").alias(c) for c, v in cells.items()],
     )
