@@ -2,16 +2,35 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from surveyspark.llm.decontaminate import contaminated
 from surveyspark.llm.jaccard_join import jaccard_join
+from surveyspark.llm.packing import pack_documents
+from surveyspark.llm.sentence_dedup import dedup_sentences
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def on_workers(spark: SparkSession) -> None:
+    """Python workers of the session find this package, wherever they were started."""
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment
+    have = paths.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in have:
+        paths["PYTHONPATH"] = os.pathsep.join([root, *filter(None, have)])
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -19,8 +38,24 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = dedup_sentences(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "text", "n_chars", "n_removed")
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 ORACLE: dict[str, str] = {}

@@ -20,6 +20,8 @@ _powers: dict[str, np.ndarray] = {}
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+PUNCTUATION = np.zeros(256, dtype=bool)
+PUNCTUATION[list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")] = True
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
@@ -72,8 +74,8 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, rows - first
 
 
-def _one_chunk(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Words of a buffer: hashes, starts, ends."""
+def _one_chunk(raw: np.ndarray, rows: np.ndarray, bare: bool) -> tuple[np.ndarray, ...]:
+    """Words of a buffer: hashes, starts, ends; `bare` words lose punctuation at both ends."""
     inside = ~SPACE[raw]
     start, end = inside.copy(), inside.copy()
     start[1:] &= ~inside[:-1]
@@ -82,6 +84,9 @@ def _one_chunk(raw: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, ...]:
     start[edge] = inside[edge]
     end[edge - 1] = inside[edge - 1]
     s, e = np.flatnonzero(start), np.flatnonzero(end) + 1
+    for _ in range(4 if bare else 0):
+        e = e - (PUNCTUATION[raw[e - 1]] & (e - s > 1))
+        s = s + (PUNCTUATION[raw[s]] & (e - s > 1))
     return span_hashes(LOWER[raw], s, e), s, e
 
 
@@ -102,13 +107,14 @@ def _cuts(raw: np.ndarray, rows: np.ndarray, limit: int) -> Iterator[tuple[int,
         at = stop
 
 
-def words(column: pa.Array, limit: int = CHUNK, spans: bool = False) -> tuple[np.ndarray, ...]:
+def words(column: pa.Array, limit: int = CHUNK, spans: bool = False,
+          bare: bool = False) -> tuple[np.ndarray, ...]:
     """Word hashes of all rows and each row's offsets into them (and byte spans)."""
     raw, rows = buffers(strings(column))
     hashes, starts, ends = [], [], []
     for a, b in _cuts(raw, rows, limit):
         inner = rows[(rows > a) & (rows < b)] - a
-        h, s, e = _one_chunk(raw[a:b], inner)
+        h, s, e = _one_chunk(raw[a:b], inner, bare)
         hashes.append(h)
         starts.append(s + a)
         ends.append(e + a)
@@ -136,6 +142,13 @@ def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(total + np.uint64(width))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller pieces, which bounds what a task holds at once."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def as_long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
