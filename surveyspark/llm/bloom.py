@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BITS = 26  # 8 MB
+MAX_BITS = 27  # 16 MB
 
 
 def build(hashes: DataFrame, column: str) -> tuple[int, np.ndarray]:

@@ -24,13 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from surveyspark.llm import bloom
 from surveyspark.llm import words as W
 from surveyspark.llm.components import components
 from surveyspark.llm.scratch import Scratch
 
 SMALL = 20          # sizes that may be light; larger sets have too many subsets
 COMMON = 1 << 18    # most shingles whose place in the order is moved to the end
-BLOCK = 1 << 22     # shingles of a task that are counted together
+BLOCK = 1 << 21     # shingles of a task that are counted together
 ROUNDS = 4          # most leader rounds before the exact last one
 
 
@@ -46,6 +47,7 @@ def set_hash(items: np.ndarray) -> np.uint64:
 
 
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[np.ndarray]:
+    """The shingle set of each row's text, as sorted hashes."""
     hashes, at = W.words(batch.column("text"))
     for i in range(batch.num_rows):
         yield np.unique(W.shingles(hashes[at[i]:at[i + 1]], width))
@@ -61,7 +63,7 @@ def _common(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     """
     def count(batches):
         held, size, seen = [], 0, set()
-        for batch in batches:
+        for batch in W.slices(batches):
             for items in _sets(batch, width):
                 if len(items) and (mark := int(set_hash(items))) not in seen:
                     seen.add(mark)
@@ -119,7 +121,7 @@ def _set_table(docs: DataFrame, width: int, percent: int, common, counts) -> Dat
 
     def rows(batches):
         common, counts = shared.value
-        for batch in batches:
+        for batch in W.slices(batches):
             sigs, sizes, heads = [], [], []
             for items in _sets(batch, width):
                 n = len(items)
@@ -167,11 +169,35 @@ def _subset_keys(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _shared_lists(postings: DataFrame) -> DataFrame:
-    """The postings (key, sig, n) of keys that two different sets have."""
-    keys = (postings.groupBy("key").agg(F.count("*").alias("length"), F.min("sig").alias("lo"),
-                                        F.max("sig").alias("hi"))
-            .filter("lo <> hi").select("key", "length"))
-    return postings.join(keys.hint("shuffle_hash"), "key").dropDuplicates(["key", "sig"])
+    """The postings (key, sig, n) of keys that two different sets have, with the list's length."""
+    postings = postings.dropDuplicates(["key", "sig"])
+    keys = postings.groupBy("key").agg(F.count("*").alias("length")).filter("length > 1")
+    return postings.join(keys, "key")
+
+
+def _repeated_postings(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(key, sig, n) for the prefix shingles that occur twice among all rows.
+
+    The first shuffle moves shingles alone, added up within each task; a filter of those
+    that occur twice keeps the second one to the few postings that can meet.
+    """
+    take = F.when(F.col("n") <= SMALL, F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1)
+    prefix = F.slice("items", F.lit(1), F.coalesce(take, F.size("items").cast("long")).cast("int"))
+    often = scratch.stage(sets.select(F.explode(prefix).alias("key")).groupBy("key").count()
+                          .filter("count > 1").select("key"), "often")
+    shared = sets.sparkSession.sparkContext.broadcast(bloom.build(often, "key"))
+
+    def rows(batches):
+        for batch in batches:
+            lists = batch.column("keys")
+            keys = lists.flatten().to_numpy().view(np.uint64)
+            hit = np.flatnonzero(bloom.passes(*shared.value, keys))
+            row = pa.array(np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())[hit])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(W.as_long(keys[hit])), batch.column("sig").take(row), batch.column("n").take(row)],
+                ["key", "sig", "n"])
+
+    return sets.select(prefix.alias("keys"), "sig", "n").mapInArrow(rows, "key long, sig long, n long")
 
 
 def light_boundary(sizes: dict[int, int], scans: dict[int, int], percent: int) -> int:
@@ -204,42 +230,23 @@ def _promising(pairs: DataFrame, percent: int) -> DataFrame:
             .select("a", "b"))
 
 
-def _bloom(sigs: DataFrame) -> tuple[int, np.ndarray]:
-    """A filter of set hashes: 16 bits a set, 2**26 bits (8 MB) at most."""
-    count = sigs.count()
-    bits = min(26, max(10, (16 * max(count, 1)).bit_length()))
-    found = (sigs.select(F.expr(f"sig & {(1 << bits) - 1}").alias("bit"))
-             .groupBy(F.shiftright("bit", 6).alias("word"))
-             .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("mask")).toArrow())
-    table = np.zeros(1 << (bits - 6), dtype=np.int64)
-    table[found["word"].to_numpy()] = found["mask"].to_numpy()
-    return bits, table.view(np.uint64)
-
-
 def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(sig, items) of the wanted sets, from a second reading of the texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(_bloom(wanted))
+    shared = docs.sparkSession.sparkContext.broadcast(bloom.build(wanted, "sig"))
 
     def rows(batches):
-        bits, table = shared.value
-        seen = set()
-        for batch in batches:
-            sigs, sets = [], []
-            for items in _sets(batch, width):
-                if not len(items):
-                    continue
-                sig = int(set_hash(items))
-                bit = sig & ((1 << bits) - 1)
-                if int(table[bit >> 6]) >> (bit & 63) & 1 and sig not in seen:
-                    if len(seen) < 1 << 20:
-                        seen.add(sig)
-                    sigs.append(sig)
-                    sets.append(items)
-            if sigs:
+        seen: set[int] = set()
+        for batch in W.slices(batches):
+            sets = [items for items in _sets(batch, width) if len(items)]
+            sigs = np.array([set_hash(items) for items in sets], dtype=np.uint64)
+            hit = [i for i in np.flatnonzero(bloom.passes(*shared.value, sigs)) if int(sigs[i]) not in seen]
+            if hit:
+                if len(seen) < 1 << 20:  # copies in one task come once; others are dropped later
+                    seen.update(int(sigs[i]) for i in hit)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.array(sigs, dtype=np.uint64).view(np.int64)),
-                     W.list_column(W.as_long(np.concatenate(sets)), np.array([len(x) for x in sets]))],
-                    ["sig", "items"])
+                    [pa.array(W.as_long(sigs[hit])),
+                     W.list_column(W.as_long(np.concatenate([sets[i] for i in hit])),
+                                   np.array([len(sets[i]) for i in hit]))], ["sig", "items"])
 
     return docs.select("text").mapInArrow(rows, "sig long, items array<long>")
 
@@ -267,10 +274,7 @@ def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85,
     common, counts = _common(docs, width)
     sets = scratch.stage(_set_table(docs, width, percent, common, counts), "sets")
     filled = sets.filter("n > 0")
-    take = F.when(F.col("n") <= SMALL, F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1)
-    prefix = F.slice("items", F.lit(1), F.coalesce(take, F.size("items").cast("long")).cast("int"))
-    lists = scratch.stage(
-        _shared_lists(filled.select("sig", "n", F.explode(prefix).alias("key"))), "lists")
+    lists = scratch.stage(_shared_lists(_repeated_postings(filled, percent, scratch)), "lists")
 
     small = filled.filter(F.col("n") <= SMALL).dropDuplicates(["sig"])
     sizes = {r[0]: r[1] for r in small.groupBy("n").count().collect()}
@@ -280,10 +284,9 @@ def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85,
     entries = scratch.stage(
         lists.filter(F.col("n") >= need(light + 1, percent)).select("key", "sig", "n", F.lit(True).alias("scan"))
         .union(subsets.select("key", "sig", "n", F.lit(False).alias("scan"))), "entries")
-    whole = scratch.stage(_whole_sets(docs, entries.select("sig").distinct(), width), "whole")
-    scratch.drop("lists")
+    scratch.drop("lists", "often")
 
-    edges, groups, rows = None, None, entries.count()
+    groups, rows = None, entries.count()
     for turn in range(ROUNDS + 1):
         if groups is None:
             now = entries.withColumn("part", F.col("sig"))
@@ -309,15 +312,19 @@ def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85,
         pairs = one.join(other, ["key", "scan"]).filter(
             (F.col("a") < F.col("b") if last else F.lit(True)) & (F.col("ap") != F.col("bp"))
             & _similar("an", "bn", percent) & (~F.col("scan") | (F.greatest("an", "bn") > light)))
-        found = _links(_promising(pairs, percent), whole, percent)
+        pairs = scratch.stage(_promising(pairs, percent), f"pairs{turn}")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+        whole = scratch.stage(_whole_sets(docs, wanted, width), f"whole{turn}")
+        found = _links(pairs, whole, percent)
         if groups is not None:  # links between components known so far join those
             found = found.union(groups.select("node", "component"))
         groups = scratch.stage(components(found, scratch, f"round{turn}"), f"groups{turn}")
+        scratch.drop(f"pairs{turn}", f"whole{turn}")
         if last:
             break
     if groups is None:
         groups = spark.createDataFrame([], "node long, component long")
-    scratch.drop("entries", "whole")
+    scratch.drop("entries")
     return sets.select("doc_id", "sig", "n"), groups
 
 
