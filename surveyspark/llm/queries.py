@@ -9,14 +9,28 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from surveyspark.llm.chat import format_conversations, read_back
 from surveyspark.llm.decontaminate import contaminated
+from surveyspark.llm.fingerprint import fingerprint_documents
+from surveyspark.llm.gru_lm import score_documents
+from surveyspark.llm.html_text import extract_text
 from surveyspark.llm.jaccard_join import jaccard_join
+from surveyspark.llm.language import identify_language
 from surveyspark.llm.packing import pack_documents
 from surveyspark.llm.sentence_dedup import dedup_sentences
+from surveyspark.llm.url_filter import judge_urls, labelled_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: The rules that URLs are judged by (host, path, verdict).
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -38,10 +52,35 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"))
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)],
+                                  "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return read_back(format_conversations(turns.unionByName(extra)))
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(_table(spark, sf_dir, "pages"), rules, labelled_urls(spark))
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(_table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = dedup_sentences(_table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "text", "n_chars", "n_removed")
@@ -51,11 +90,15 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
-    "op3_best_fit_packing": op3_best_fit_packing,
-    "op8_substring_dedup": op8_substring_dedup,
-    "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    query.__name__: query
+    for query in (op1_ngram_jaccard_join, op2_document_fingerprints, op3_best_fit_packing, op4_chat_formatting,
+                  op5_url_filters, op6_html_extraction, op7_language_id, op8_substring_dedup,
+                  op9_benchmark_decontamination, op10_lm_scoring)
 }
 
 ORACLE: dict[str, str] = {}
