@@ -136,7 +136,8 @@ def repeated_sentences(docs: DataFrame, min_words: int = 25, scratch: Scratch |
     often = scratch.stage(_runs(docs, min_words).groupBy("h").count().filter("count > 1").select("h"), "often")
     places = _runs(docs, min_words, bloom.build(often, "h")).join(often.hint("shuffle_hash"), "h")
     places = scratch.stage(places, "places")
-    first = places.groupBy("h").agg(F.min(F.struct("doc", "mark", "first")).alias("kept"))
+    # written, so that the join has a shuffle on both sides and a hot hash can be split
+    first = scratch.stage(places.groupBy("h").agg(F.min(F.struct("doc", "mark", "first")).alias("kept")), "first")
     other = (places.join(first, "h")
              .filter(~F.struct("doc", "mark", "first").eqNullSafe(F.col("kept"))))
     return (other.select("doc", "mark", "first", "last").distinct().groupBy("doc", "mark")
