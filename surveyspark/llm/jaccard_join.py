@@ -168,11 +168,16 @@ def _subset_keys(sets: DataFrame, percent: int) -> DataFrame:
     return sets.select("sig", "n", "items").mapInArrow(rows, "key long, sig long, n long")
 
 
-def _shared_lists(postings: DataFrame) -> DataFrame:
-    """The postings (key, sig, n) of keys that two different sets have, with the list's length."""
-    postings = postings.dropDuplicates(["key", "sig"])
-    keys = postings.groupBy("key").agg(F.count("*").alias("length")).filter("length > 1")
-    return postings.join(keys, "key")
+def _shared_lists(postings: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The postings (key, sig, n) of keys that two different sets have, with the list's length.
+
+    Both sides of the join are written before: it then has a shuffle on each side, and a
+    key of very many sets can be split.
+    """
+    distinct = scratch.stage(postings.dropDuplicates(["key", "sig"]), f"{name}-postings")
+    keys = scratch.stage(distinct.groupBy("key").agg(F.count("*").alias("length")).filter("length > 1"),
+                         f"{name}-keys")
+    return distinct.join(keys, "key")
 
 
 def _repeated_postings(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -274,17 +279,17 @@ def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85,
     common, counts = _common(docs, width)
     sets = scratch.stage(_set_table(docs, width, percent, common, counts), "sets")
     filled = sets.filter("n > 0")
-    lists = scratch.stage(_shared_lists(_repeated_postings(filled, percent, scratch)), "lists")
+    lists = scratch.stage(_shared_lists(_repeated_postings(filled, percent, scratch), scratch, "scan"), "lists")
 
     small = filled.filter(F.col("n") <= SMALL).dropDuplicates(["sig"])
     sizes = {r[0]: r[1] for r in small.groupBy("n").count().collect()}
     scans = {r[0]: r[1] for r in lists.filter(F.col("n") <= SMALL).groupBy("n").agg(F.sum("length")).collect()}
     light = light_boundary(sizes, scans, percent)
-    subsets = _shared_lists(_subset_keys(small.filter(F.col("n").between(1, light)), percent))
+    subsets = _shared_lists(_subset_keys(small.filter(F.col("n").between(1, light)), percent), scratch, "subset")
     entries = scratch.stage(
         lists.filter(F.col("n") >= need(light + 1, percent)).select("key", "sig", "n", F.lit(True).alias("scan"))
         .union(subsets.select("key", "sig", "n", F.lit(False).alias("scan"))), "entries")
-    scratch.drop("lists", "often")
+    scratch.drop("lists", "often", "scan-postings", "scan-keys", "subset-postings", "subset-keys")
 
     groups, rows = None, entries.count()
     for turn in range(ROUNDS + 1):
