@@ -19,10 +19,12 @@ import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 OPEN, MIDDLE, CLOSE = "### ", ": ", "</turn>\n"
 _IN_TEXT = re.compile(r"\\|### |</turn>")
@@ -161,15 +163,13 @@ def format_conversations(conversations: DataFrame, budget: Budget = Budget()) ->
             [pa.array(conv, id_type), pa.array(k, pa.int64()), pa.array(text, pa.string()),
              pa.array(new_at, pa.int64()), pa.array(mask, span)], ["conv_id", "window", "text", "new_at", "mask"])
 
-    id_type = pa.string() if kind == "string" else pa.int64()
+    id_type = to_arrow_type(conversations.schema["conv_id"].dataType)
     return rows.mapInArrow(write, f"conv_id {kind}, window long, text string, new_at long, "
                                   "mask array<struct<start:int,end:int>>")
 
 
 def _grouped(rows: Iterator[tuple]) -> Iterator[tuple]:
     """Runs of rows with the same first value, each as an iterator (a null is a value)."""
-    from itertools import groupby
-
     return groupby(rows, key=lambda r: r[0])
 
 
@@ -181,7 +181,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     loss text from the mask.
     """
     kind = formatted.schema["conv_id"].dataType.simpleString()
-    id_type = pa.string() if kind == "string" else pa.int64()
+    id_type = to_arrow_type(formatted.schema["conv_id"].dataType)
 
     def flat(batches):
         for batch in batches:

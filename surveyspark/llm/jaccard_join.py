@@ -30,8 +30,8 @@ from surveyspark.llm.components import components
 from surveyspark.llm.scratch import Scratch
 
 SMALL = 20          # sizes that may be light; larger sets have too many subsets
-COMMON = 1 << 18    # most shingles whose place in the order is moved to the end
-BLOCK = 1 << 21     # shingles of a task that are counted together
+COMMON = 1 << 20    # most shingles whose place in the order is moved to the end
+BLOCK = 1 << 22     # shingles of a task that are counted together
 ROUNDS = 4          # most leader rounds before the exact last one
 
 
@@ -56,8 +56,7 @@ def _sets(batch: pa.RecordBatch, width: int) -> Iterator[np.ndarray]:
 def _common(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The shingles that most documents share, sorted by hash, and their counts.
 
-    Counted per block of a task, where a shingle has to occur three times, over all
-    documents. The counts only decide the order of shingles: any order gives the same
+    Counted per block of a task, where a shingle has to occur twice, over all documents. The counts only decide the order of shingles: any order gives the same
     links, this one keeps widespread passages out of the inverted lists. At most COMMON
     shingles come back.
     """
@@ -77,13 +76,13 @@ def _common(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     def flush(held):
         if held:
             values, n = np.unique(np.concatenate(held), return_counts=True)
-            keep = n >= 3
+            keep = n >= 2
             if keep.any():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(W.as_long(values[keep])), pa.array(n[keep].astype(np.int64))], ["h", "n"])
 
     counts = (docs.select("text").mapInArrow(count, "h long, n long")
-              .groupBy("h").agg(F.sum("n").alias("n")).filter("n >= 24"))
+              .groupBy("h").agg(F.sum("n").alias("n")).filter("n >= 6"))
     counts = counts.withColumn("level", F.floor(F.log2("n") * 4))
     counts = counts.persist()
     levels = counts.groupBy("level").count().collect()  # a row for each quarter power of two
@@ -284,6 +283,8 @@ def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85,
     small = filled.filter(F.col("n") <= SMALL).dropDuplicates(["sig"])
     sizes = {r[0]: r[1] for r in small.groupBy("n").count().collect()}
     scans = {r[0]: r[1] for r in lists.filter(F.col("n") <= SMALL).groupBy("n").agg(F.sum("length")).collect()}
+    # a scanned set writes its list entries, too
+    scans = {n: scans.get(n, 0) + m * (n - need(n, percent) + 1) for n, m in sizes.items()}
     light = light_boundary(sizes, scans, percent)
     subsets = _shared_lists(_subset_keys(small.filter(F.col("n").between(1, light)), percent), scratch, "subset")
     entries = scratch.stage(
@@ -291,7 +292,7 @@ def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85,
         .union(subsets.select("key", "sig", "n", F.lit(False).alias("scan"))), "entries")
     scratch.drop("lists", "often", "scan-postings", "scan-keys", "subset-postings", "subset-keys")
 
-    groups, rows = None, entries.count()
+    groups, rows, before = None, entries.count(), None
     for turn in range(ROUNDS + 1):
         if groups is None:
             now = entries.withColumn("part", F.col("sig"))
@@ -306,7 +307,9 @@ def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85,
         if not left:
             break
         now = now.join(open_keys.select("key", "scan"), ["key", "scan"], "left_semi")
-        last = left <= 2 * rows or turn == ROUNDS
+        # leaders are tried while they settle much; texts that merely share a passage they do not
+        last = left <= rows or turn == ROUNDS or (before is not None and left > 0.7 * before)
+        before = left
         one = now.select("key", "scan", F.col("sig").alias("a"), F.col("n").alias("an"), F.col("part").alias("ap"))
         if not last:
             turn_hash = F.xxhash64("ap", F.lit(turn))
@@ -353,11 +356,9 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFram
 def one_of_each_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """`docs` without near copies: the least doc_id of each component stays, whole.
 
-    Documents without words and rows with a null doc_id all stay; of repeated rows of the
-    doc_id that stays one is kept if their texts are equal.
+    Documents without words and rows with a null doc_id all stay. Rows that share a doc_id
+    are one document: they stay together, or go when one of them is not the least.
     """
     joined = jaccard_join(docs.select("doc_id", "text"), width, percent)
     gone = joined.filter("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
-    names = docs.columns
-    kept = docs.join(gone, "doc_id", "left_anti").select(*names)
-    return kept
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -12,14 +12,17 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveyspark.llm import words as W
 
 TRIGRAMS, WORDS = 4096, 4096   # hashed features of each kind
 STRETCH = 1 << 21              # bytes counted at once
 TRAIN_DOCS = 2400              # most labelled documents that a model is fitted on
+LETTER = regex.compile(r"\p{L}")
 MARGIN_SCALE = 4.0             # from SVM margins to scores
 
 #: Families of written languages by ISO 639-1 code.
@@ -169,35 +172,31 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
     return Model(x, sample["lang"].to_pylist())
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """`docs` with lang_pred and score.
+def identify(docs: DataFrame, model: Model | None, lang_name: str = "lang_pred",
+             score_name: str = "score") -> DataFrame:
+    """`docs` with the predicted language and its score, in place of columns so named.
 
     A text that is null or has no letter gets `und` and 0, and so does every text where
     there is no model. All columns and rows are kept.
     """
-    names = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    names = [c for c in docs.columns if c not in (lang_name, score_name)]
     docs = docs.select(*names)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches):
-        import regex
-
-        letter = regex.compile(r"\p{L}")
         for batch in W.slices(batches, 256):
             text = batch.column("text")
-            ok = np.array([bool(v and letter.search(v)) for v in text.to_pylist()], dtype=bool)
+            ok = np.array([bool(v and LETTER.search(v)) for v in text.to_pylist()], dtype=bool)
             lang, score = ["und"] * len(text), np.zeros(len(text))
             if shared.value is not None and ok.any():
                 found, score[ok] = shared.value.predict(features(text.filter(pa.array(ok))))
                 for i, v in zip(np.flatnonzero(ok), found):
                     lang[i] = v
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(lang), pa.array(score)], [*names, "lang_pred", "score"])
-
-    from pyspark.sql import types as T
+                [*batch.columns, pa.array(lang), pa.array(score)], [*names, lang_name, score_name])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(lang_name, T.StringType()),
+                           T.StructField(score_name, T.DoubleType())])
     return docs.mapInArrow(rows, schema)
 
 
@@ -211,5 +210,5 @@ def identify_language(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFram
 def known_languages(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """`docs` without texts of no language; lang becomes the predicted one."""
     model = fit(docs.select("doc_id", "text", "lang"), train_docs)
-    found = identify(docs, model).filter("lang_pred <> 'und'")
-    return found.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    found = identify(docs, model, "__lang", "__score").filter("__lang <> 'und'")
+    return found.withColumn("lang", F.col("__lang")).select(*docs.columns)
