@@ -70,7 +70,7 @@ FROM s1_origin s JOIN s1_head h ON s._index = h._index""")
 add("natural_join", """
 SELECT _index, _parent_index, R03, CASE WHEN age_rank = 1 THEN 1 END AS oldestHHM FROM head_counts""")
 add("checked_join", """
-SELECT l_orderkey * 100 + member_no AS _index, l_orderkey AS _parent_index,
+SELECT l_orderkey * 1000000000 + member_no AS _index, l_orderkey AS _parent_index,
   count(*) OVER (PARTITION BY l_orderkey) AS hhsize FROM items""")
 add("deidentified", """
 SELECT * EXCLUDE (adult_name, fam_name1, selected_adult), cast(selected_adult AS int) AS selected_adult
@@ -83,9 +83,9 @@ SELECT _index, {texts('R03cat', _BANDS)} AS R03cat, {texts('R03cat2', _BROAD)} A
   {texts('DISABILITY4', dm.DISABILITY_LABELS)} AS DISABILITY4,
   {texts('documents', dm.DOCUMENT_LABELS)} AS documents FROM s1_demo""")
 add("submissions_flatten", """
-SELECT pid * 10000 + member_no AS _index, pid AS _parent_index, cast(member_no AS int) AS member_no, R02_rel, R03
-FROM (SELECT l_orderkey * 1000 + (member_no - 1) // 20 AS pid, (member_no - 1) % 20 + 1 AS member_no,
-  cast(l_linenumber AS varchar) AS R02_rel, cast(l_quantity AS int) AS R03 FROM items)""")
+SELECT l_orderkey * 1000000000 + member_no AS _index, l_orderkey AS _parent_index,
+  cast(member_no AS int) AS member_no, cast(l_linenumber AS varchar) AS R02_rel, cast(l_quantity AS int) AS R03
+FROM items""")
 
 # --- indicators --------------------------------------------------------------
 
@@ -178,6 +178,8 @@ SELECT _parent_index, R02, R03, count(*) AS n FROM s1_keys
 GROUP BY _parent_index, R02, R03 HAVING count(*) > 1""")
 add("poststratum_keys", """
 SELECT _index, origin_ps, R03bin, origin_ps || '_' || R02 AS originSex_ps, originAgeSex_ps FROM s1_strata""")
+add("members_left_out", """
+SELECT origin, count(*) AS n FROM s1_origin WHERE R03 IS NULL AND origin <> 'NATION_8' GROUP BY origin""")
 add("sample_by_stratum", """
 SELECT originAgeSex_ps, count(*) AS n FROM (
   SELECT CASE WHEN origin IS NOT NULL THEN origin_ps || '_' || CASE WHEN R03 < 18 THEN 'Child'
@@ -252,8 +254,7 @@ WHERE pick = 1""",
 SELECT h.*, x.*, (h.hhsize = coalesce(known, 0))::int AS allNationals_skip
 FROM hh_clean h LEFT JOIN head_skip x ON h._index = x.hh
 LEFT JOIN (SELECT _parent_index AS p, count(*) FILTER (citizenship = 'NATION_8') AS known
-  FROM s1_demo GROUP BY 1) k ON h._index = k.p
-WHERE R03 >= 18""",
+  FROM s1_demo GROUP BY 1) k ON h._index = k.p""",
 }
 _HOUSEHOLD_ROWS = f"""
 SELECT {{tab}} AS tab, _index AS psu, 1.0::double AS w, NULL AS h, 0::double AS f, {{x}} AS x,

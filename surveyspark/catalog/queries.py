@@ -82,28 +82,18 @@ def members_with_origin(spark: SparkSession, sf: str, *columns: str) -> DataFram
     return demographics.impute_origin(linkage.push_down(members, modal, ["originAux2"]), PROFILE)
 
 
-def adults(hh: DataFrame) -> DataFrame:
-    """Respondents that are adults (the form asks adults only)."""
-    return hh.filter(F.col("R03") >= PROFILE.working_age)
-
-
-def aged(s1: DataFrame) -> DataFrame:
-    """Members with an age: a missing one has no margin."""
-    return s1.filter(F.col("R03").isNotNull())
-
-
 def member_design_base(spark: SparkSession, sf: str, *columns: str) -> tuple[SurveyDesign, DataFrame]:
     """Member design before post-stratification, with its margin."""
     margin = stage(margins.member_margin(origins(spark, sf), PROFILE), "member-margin")
-    s1 = aged(members_with_origin(spark, sf, *columns)).select(
+    s1 = members_with_origin(spark, sf, *columns).select(
         "_index", "_parent_index", "origin", "R02", "R03", *columns)
-    rows = weight.member_rows(s1, standin.countries(spark, sf), PROFILE)
+    rows = weight.member_rows(s1, standin.countries(spark, sf), PROFILE, missing_age="leave_out")
     return weight.member_base_design(stage(rows, "member-rows"), margin), margin
 
 
 def adult_design_base(spark: SparkSession, sf: str) -> tuple[SurveyDesign, DataFrame]:
     margin = stage(margins.adult_margin(origins(spark, sf), PROFILE), "adult-margin")
-    hh = adults(households_clean(spark, sf, "skip")).select("_index", "origin", *ADULT_COLUMNS)
+    hh = households_clean(spark, sf, "skip").select("_index", "origin", *ADULT_COLUMNS)
     rows = weight.adult_rows(hh, standin.countries(spark, sf), PROFILE)
     return weight.adult_base_design(stage(rows, "adult-rows"), margin), margin
 
@@ -258,15 +248,14 @@ def decoded_labels(spark, sf):
 
 
 def submissions(spark: SparkSession, sf: str) -> DataFrame:
-    """Nested submissions as JSON text: one record per household and slice of 20 members."""
+    """Nested submissions as JSON text: one record per household, as the form lands it."""
     items = standin.numbered_items(spark, sf).select(
         "l_orderkey", "l_linenumber", "l_quantity", "member_no")
-    slice_no = F.floor((F.col("member_no") - 1) / 20)
     entry = F.struct("member_no", F.col("l_linenumber").alias("R02_rel"), F.col("l_quantity").alias("R03"))
-    grouped = items.groupBy("l_orderkey", slice_no.alias("slice")).agg(
+    grouped = items.groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(entry)).alias("S1A"))
     record = F.struct(
-        (F.col("l_orderkey") * 1000 + F.col("slice")).alias("_id"),
+        F.col("l_orderkey").alias("_id"),
         F.transform("S1A", lambda e: F.struct(
             e["R02_rel"].cast("string").alias("R02_rel"), e["R03"].cast("int").alias("R03"))
         ).alias("S1A"))
@@ -301,7 +290,7 @@ def labour_force(spark, sf):
 
 def _forms_query(name: str, step: Callable[[DataFrame], DataFrame], *columns: str) -> None:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return step(standin.households(spark, sf)).select("_index", *columns)
+        return step(standin.households(spark, sf, respondent=False)).select("_index", *columns)
     run.__name__ = name
     QUERIES[name] = run
 
@@ -417,7 +406,7 @@ def crosstab(spark, sf):
 
 @query
 def prop_table(spark, sf):
-    out = quality.proportions(indicators.safety(standin.households(spark, sf)), "SAF01SDG")
+    out = quality.proportions(indicators.safety(standin.households(spark, sf, respondent=False)), "SAF01SDG")
     return rounded(out, 9, "perc")
 
 
@@ -437,7 +426,7 @@ def duplicate_keys(spark, sf):
 @query
 def column_summary(spark, sf):
     members = standin.members(spark, sf, questions=(), origins=False)
-    water = indicators.drinking_water(standin.households(spark, sf))
+    water = indicators.drinking_water(standin.households(spark, sf, respondent=False))
     return rounded(
         quality.column_summary(members, ["R03", "member_no"]).unionByName(
             quality.column_summary(water, ["DWA03"])), 9, "mean")
@@ -452,11 +441,18 @@ def join_fanout(spark, sf):
 @query
 def poststratum_keys(spark, sf):
     s1 = members_with_origin(spark, sf)
-    rows = weight.member_rows(aged(s1), standin.countries(spark, sf), PROFILE)
+    rows = weight.member_rows(s1, standin.countries(spark, sf), PROFILE, missing_age="leave_out")
     keyed = demographics.adult_stratum(rows)
     return keyed.select("_index", "origin_ps", "R03bin", "originSex_ps", "originAgeSex_ps")
 
 
+@query
+def members_left_out(spark, sf):
+    """Foreign members without an age, which no post-stratum takes, by origin."""
+    gaps = weight.foreign_without_age(members_with_origin(spark, sf), PROFILE)
+    return gaps.groupBy("origin").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def sample_by_stratum(spark, sf):
     s1 = members_with_origin(spark, sf)
@@ -582,7 +578,7 @@ def weighted_vs_unweighted(spark, sf):
 
 @query
 def equal_probability_table(spark, sf):
-    hh = adults(households_clean(spark, sf, "skip"))
+    hh = households_clean(spark, sf, "skip")
     design = equal_probability(stage(decode(hh.select("_index", *HOUSEHOLD_COLUMNS)), "households"))
     cells = with_limits(estimate(design, "hhsizecat", report.HOUSEHOLD_BREAKDOWNS))
     return _cells(cells, "p", "se", "df", "low", "upp")
@@ -600,7 +596,7 @@ def equal_probability_members(spark, sf):
 
 @query
 def foreign_households_table(spark, sf):
-    hh = adults(households_clean(spark, sf, "skip")).filter(F.col("allNationals") == 0)
+    hh = households_clean(spark, sf, "skip").filter(F.col("allNationals") == 0)
     design = equal_probability(stage(decode(hh.select("_index", *HOUSEHOLD_COLUMNS)), "households"))
     return _cells(with_limits(estimate(design, "electricity")), "p", "se", "df", "low", "upp")
 
@@ -654,11 +650,11 @@ def report_designs(spark: SparkSession, sf: str) -> weight.Designs:
         keep_answers=False)
     used = ["_index", "_parent_index", "origin", "R03", "hhadults", "allNationals",
             *report.REPORT_COLUMNS]
-    hh = stage(adults(tables.hh).select(*any_of(tables.hh, used)), "hh")
-    s1 = stage(aged(tables.s1).select(*any_of(tables.s1, used)), "s1")
+    hh = stage(tables.hh.select(*any_of(tables.hh, used)), "hh")
+    s1 = stage(tables.s1.select(*any_of(tables.s1, used)), "s1")
     return weight.build_designs(
         hh, s1, standin.population(spark, sf), standin.countries(spark, sf), PROFILE,
-        columns=report.REPORT_COLUMNS)
+        columns=report.REPORT_COLUMNS, missing_age="leave_out")
 
 
 @query

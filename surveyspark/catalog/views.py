@@ -28,8 +28,10 @@ _SOME = " + ".join(f"coalesce({d} IN ('2','3','4'), false)::int" for d in _DIS)
 _SEVERE = " + ".join(f"coalesce({d} IN ('3','4'), false)::int" for d in _DIS)
 _REFUSED = " AND ".join(f"coalesce({d} IN ('98','99'), false)" for d in _DIS)
 _UNABLE = " OR ".join(f"{d} = '4'" for d in _DIS)
-_DOC5 = " OR ".join(f"REG01{c} = '1'" for c in "abhidef")
-_DOC04 = " OR ".join(f"REG04{c} = '1'" for c in "afgce")
+# The document questions, from age 5 on and below.
+_DOC5 = " OR ".join(f"{q} = '1'" for q in (
+    "REG01a", "REG01b", "REG01d", "REG01e", "REG01f", "REG01h", "REG01i"))
+_DOC04 = " OR ".join(f"{q} = '1'" for q in ("REG04a", "REG04c", "REG04e", "REG04f", "REG04g"))
 
 FINE = ["0-4", "5-11", "12-17", "18-24", "25-49", "50-59", "60+"]
 BROAD = ["0-4", "5-11", "12-17", "18-59", "60+"]
@@ -48,7 +50,7 @@ def _collapse(origin: str) -> str:
 
 
 VIEWS = {
-    "hh_raw": f"""
+    "hh_drawn": f"""
 SELECT o_orderkey AS _index, 'person ' || o_custkey AS adult_name, 'person ' || o_custkey AS fam_name1,
   {_HH_ANSWERS}
 FROM orders""",
@@ -56,9 +58,17 @@ FROM orders""",
 SELECT *, cast(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey,
     l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS int) AS member_no
 FROM lineitem""",
+    "adult_items": """
+SELECT l_orderkey, member_no FROM items
+WHERE l_partkey % 97 <> 0 AND cast(l_quantity AS int) * 2 - 2 + l_linenumber % 2 >= 18""",
+    "hh_raw": """
+SELECT * REPLACE ((SELECT cast(coalesce(min(member_no) FILTER (member_no >= cast(h.selected_adult AS int)),
+    min(member_no)) AS varchar) FROM adult_items a
+  WHERE a.l_orderkey = h._index AND h.selected_adult IS NOT NULL) AS selected_adult)
+FROM hh_drawn h""",
     "s1_keys": """
-SELECT l_orderkey * 100 + member_no AS _index, l_orderkey AS _parent_index, member_no,
-  'person ' || (l_orderkey * 100 + member_no) AS R01,
+SELECT l_orderkey * 1000000000 + member_no AS _index, l_orderkey AS _parent_index, member_no,
+  'person ' || (l_orderkey * 1000000000 + member_no) AS R01,
   CASE WHEN l_linestatus = 'F' THEN 'Female' ELSE 'Male' END AS R02,
   CASE WHEN l_partkey % 97 <> 0 THEN cast(l_quantity AS int) * 2 - 2 + l_linenumber % 2 END AS R03,
   CASE WHEN l_partkey % 193 = 0 THEN NULL WHEN l_linenumber = 1 THEN '1' ELSE '2' END AS R02_rel,
@@ -132,7 +142,7 @@ SELECT *,
   CASE WHEN BANK01 = '2' AND BANK04 = '2' AND BANK05 = '2'
       AND (BANK02 = '2' OR coalesce(BANK03, '2') = '2') THEN 0
     WHEN BANK01 = '1' OR BANK04 = '1' OR BANK05 = '1' OR (BANK02 = '1' AND BANK03 = '1') THEN 1 END AS banking,
-  CASE WHEN HACC03 = '1' THEN 0 WHEN HACC03 || HACC01 = '21' THEN 1 END AS healthaccess,
+  CASE WHEN HACC03 = '1' THEN 0 WHEN HACC03 = '2' AND HACC01 = '1' THEN 1 END AS healthaccess,
   CASE WHEN COOK01 <> '1' THEN NULL
     WHEN COOK03 IN ('1','2','3','4','5') THEN 1 WHEN COOK03 IN ('7','8','9','10') THEN 0
     WHEN COOK03 IN ('6','96') THEN (coalesce(COOK04, '') IN ('1','2','3','22'))::int END AS cookingfuel,
@@ -232,7 +242,7 @@ SELECT *, origin_ps || '_' || R02 AS originSex_ps FROM (
   SELECT *, {_collapse('origin')} AS origin_ps
   FROM (SELECT h.*, coalesce(hcr_region, 'Unknown') AS originHcrRegion
     FROM hh_clean h LEFT JOIN countries ON h.origin = iso3)
-  WHERE R03 >= 18 AND origin <> 'NATION_8')""",
+  WHERE origin <> 'NATION_8')""",
     "member_base": """
 SELECT *, (SELECT sum(Freq) FROM margin_member)::double / count(*) OVER () AS dweight,
   count(*) OVER () / (SELECT sum(Freq) FROM margin_member)::double AS fpc

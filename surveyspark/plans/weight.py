@@ -44,8 +44,27 @@ def adult_rows(hh: DataFrame, countries: DataFrame, profile: Profile) -> DataFra
     return keyed.filter(F.col("origin") != profile.host)
 
 
-def member_rows(s1: DataFrame, countries: DataFrame, profile: Profile) -> DataFrame:
-    """Foreign members with their post-stratum, answers decoded to text."""
+def foreign_without_age(s1: DataFrame, profile: Profile) -> DataFrame:
+    """Foreign members whose age is missing: they belong to no post-stratum."""
+    return s1.filter(F.col("R03").isNull() & (F.col("origin") != profile.host))
+
+
+def member_rows(s1: DataFrame, countries: DataFrame, profile: Profile,
+                missing_age: str = "fail") -> DataFrame:
+    """Foreign members with their post-stratum, answers decoded to text.
+
+    A missing age has no margin. The job fails on one, as the survey has to say what
+    becomes of it; ``missing_age="leave_out"`` leaves those members out
+    (``foreign_without_age`` lists them).
+    """
+    if missing_age not in ("fail", "leave_out"):
+        raise ValueError(f"missing_age: {missing_age}")
+    if missing_age == "leave_out":
+        s1 = s1.filter(F.col("R03").isNotNull())
+    else:
+        gap = F.col("R03").isNull() & (F.col("origin") != profile.host)
+        s1 = s1.filter(F.when(gap, F.raise_error(F.lit("foreign member without age")).cast("boolean"))
+                       .otherwise(F.lit(True)))
     located = linkage.add_region(s1, countries, "origin")
     binned = demographics.age_group(demographics.collapse_origin(located, profile))
     keyed = demographics.member_stratum(decode(binned))
@@ -74,10 +93,10 @@ def adult_design(hh: DataFrame, origins: DataFrame, countries: DataFrame,
 
 
 def member_design(s1: DataFrame, origins: DataFrame, countries: DataFrame,
-                  profile: Profile) -> SurveyDesign:
+                  profile: Profile, missing_age: str = "fail") -> SurveyDesign:
     """Post-stratified member design over a stored member table."""
     margin = stage(margins.member_margin(origins, profile), "member-margin")
-    rows = member_rows(s1, countries, profile)
+    rows = member_rows(s1, countries, profile, missing_age)
     return poststratify(member_base_design(rows, margin), "originAgeSex_ps", margin)
 
 
@@ -98,7 +117,8 @@ def staged(design: SurveyDesign, name: str, columns: Sequence[str] | None = None
 
 
 def build_designs(hh: DataFrame, s1: DataFrame, dem: DataFrame, countries: DataFrame,
-                  profile: Profile, columns: Sequence[str] | None = None) -> Designs:
+                  profile: Profile, columns: Sequence[str] | None = None,
+                  missing_age: str = "fail") -> Designs:
     """All designs over clean tables.
 
     The tables must be stored ones: each design scans them a few times, with
@@ -106,7 +126,7 @@ def build_designs(hh: DataFrame, s1: DataFrame, dem: DataFrame, countries: DataF
     table would otherwise repeat the weighting.
     """
     origins = stage(population_by_origin(dem, countries, profile), "origins")
-    members = member_design(s1, origins, countries, profile)
+    members = member_design(s1, origins, countries, profile, missing_age)
     adults = adult_design(hh, origins, countries, profile)
     return Designs(
         households=equal_probability(decode(hh)),

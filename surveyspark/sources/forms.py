@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-INDEX_STRIDE = 10_000
+#: most entries of one repeat group; far above what a single record can hold
+INDEX_STRIDE = 1_000_000_000
 
 
 def read_submissions(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

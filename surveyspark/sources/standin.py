@@ -25,6 +25,9 @@ PROFILE = Profile(
     other_outside="OtherB",
 )
 
+#: a member's key is the household's times this plus the position
+MEMBER_STRIDE = 1_000_000_000
+
 # Answer codes per household question, in question order. The
 # position gives the salt; an empty last entry stands for a missing answer.
 HOUSEHOLD_ANSWERS = {
@@ -106,23 +109,51 @@ def answer(key: str, salt: int, codes: str) -> Column:
         f"element_at(array({choices}), cast(shiftright({mixed}, 16) % {len(entries)} + 1 AS int))")
 
 
-def households(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per household form (order)."""
+def adult_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per household the first adult at or after members 1, 2 and 3."""
+    adult = numbered_items(spark, sf_dir).filter(member_age() >= PROFILE.working_age)
+    return adult.groupBy(F.col("l_orderkey").alias("_hh")).agg(*[
+        F.min(F.when(F.col("member_no") >= k, F.col("member_no"))).alias(f"_adult{k}") for k in (1, 2, 3)])
+
+
+def households(spark: SparkSession, sf_dir: str, respondent: bool = True) -> DataFrame:
+    """One row per household form (order).
+
+    The respondent is an adult: the first one from the drawn number on, or else the
+    household's first. ``respondent=False`` leaves the drawn number as it is, which
+    spares reading the members.
+    """
     answers = [
         answer("o_orderkey", salt, codes).alias(name)
         for salt, (name, codes) in enumerate(HOUSEHOLD_ANSWERS.items(), start=1)
     ]
     person = F.concat(F.lit("person "), F.col("o_custkey").cast("string"))
-    return (
+    forms = (
         table(spark, sf_dir, "orders")
         .select(F.col("o_orderkey").alias("_index"), person.alias("adult_name"), person.alias("fam_name1"), *answers)
         .withColumn("selected_adult", F.col("selected_adult").cast("int"))
+    )
+    if respondent:
+        drawn = F.col("selected_adult")
+        adult = (F.when(drawn == 1, F.col("_adult1")).when(drawn == 2, F.coalesce("_adult2", "_adult1"))
+                 .when(drawn == 3, F.coalesce("_adult3", "_adult1")))
+        numbers = adult_numbers(spark, sf_dir)
+        forms = (forms.join(numbers, F.col("_index") == F.col("_hh"), "left")
+                 .withColumn("selected_adult", adult).drop(*numbers.columns))
+    return (
+        forms
         .withColumn("INC01", F.col("INC01").alias(
             "INC01", metadata={"label": "Change in income",
                                "codes": list(INCOME_LABELS), "texts": list(INCOME_LABELS.values())}))
     )
 
 
+def member_age() -> Column:
+    """Age in years, missing for some."""
+    return F.when(F.col("l_partkey") % 97 != 0,
+                  F.col("l_quantity").cast("int") * 2 - 2 + F.col("l_linenumber") % 2).cast("int")
+
+
 def numbered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their position inside the order (1, 2, ...)."""
     items = table(spark, sf_dir, "lineitem")
@@ -149,13 +180,12 @@ def members(
     items = numbered_items(spark, sf_dir)
     part = F.col("l_partkey")
     keep = {
-        "_index": F.col("l_orderkey") * 100 + F.col("member_no"),
+        "_index": F.col("l_orderkey") * MEMBER_STRIDE + F.col("member_no"),
         "_parent_index": F.col("l_orderkey"),
         "member_no": F.col("member_no"),
-        "R01": F.concat(F.lit("person "), (F.col("l_orderkey") * 100 + F.col("member_no")).cast("string")),
+        "R01": F.concat(F.lit("person "), (F.col("l_orderkey") * MEMBER_STRIDE + F.col("member_no")).cast("string")),
         "R02": F.when(F.col("l_linestatus") == "F", "Female").otherwise("Male"),
-        "R03": F.when(part % 97 != 0,
-                      F.col("l_quantity").cast("int") * 2 - 2 + F.col("l_linenumber") % 2).cast("int"),
+        "R03": member_age(),
         "R02_rel": F.when(part % 193 == 0, None).when(F.col("l_linenumber") == 1, "1").otherwise("2"),
     }
     if origins:
