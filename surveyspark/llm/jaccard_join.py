@@ -70,16 +70,20 @@ def _common(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
                     size += len(items)
                 if size >= BLOCK:
                     yield from flush(held)
-                    held, size, seen = [], 0, set()
+                    size, seen = 0, set()
         yield from flush(held)
 
     def flush(held):
         if held:
-            values, n = np.unique(np.concatenate(held), return_counts=True)
-            keep = n >= 2
-            if keep.any():
+            flat = np.concatenate(held)
+            held.clear()
+            flat.sort()
+            same = flat[1:] == flat[:-1]
+            first = np.flatnonzero(same & np.append(True, ~same[:-1]))  # runs of two or more
+            if len(first):
+                last = np.flatnonzero(same & np.append(~same[1:], True)) + 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(W.as_long(values[keep])), pa.array(n[keep].astype(np.int64))], ["h", "n"])
+                    [pa.array(W.as_long(flat[first])), pa.array((last - first + 1).astype(np.int64))], ["h", "n"])
 
     counts = (docs.select("text").mapInArrow(count, "h long, n long")
               .groupBy("h").agg(F.sum("n").alias("n")).filter("n >= 6"))

@@ -20,8 +20,8 @@ from pyspark.sql import types as T
 from surveyspark.llm import words as W
 
 TRIGRAMS, WORDS = 4096, 4096   # hashed features of each kind
-STRETCH = 1 << 21              # bytes counted at once
-TRAIN_DOCS = 2400              # most labelled documents that a model is fitted on
+STRETCH = 1 << 18              # bytes counted at once
+TRAIN_DOCS = 1600              # most labelled documents that a model is fitted on
 LETTER = regex.compile(r"\p{L}")
 MARGIN_SCALE = 4.0             # from SVM margins to scores
 

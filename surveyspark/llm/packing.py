@@ -26,7 +26,7 @@ from surveyspark.llm.scratch import Scratch
 from surveyspark.llm.tokens import Encoder
 
 SHARD, FAN, FULL = 20_000, 16, 0.98
-ROWS = 512  # texts encoded at once
+ROWS = 256  # texts encoded at once
 
 
 def cut(length: int, size: int) -> list[tuple[int, int]]:

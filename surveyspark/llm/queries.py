@@ -35,7 +35,8 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def on_workers(spark: SparkSession) -> None:
-    """Python workers of the session find this package, wherever they were started."""
+    """Python workers of the session find this package, and get long texts in small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     root = str(Path(__file__).resolve().parents[2])
     paths = spark.sparkContext.environment
     have = paths.get("PYTHONPATH", "").split(os.pathsep)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from surveyspark.llm import words as W
 
 KNOWN = 0x250           # code points below have a fixed class here
-KEEP = 3 << 19          # pre-tokens a worker remembers before it starts anew
+KEEP = 1 << 19          # pre-tokens a worker remembers before it starts anew
 _LETTER, _NUMBER, _SPACE, _OTHER = range(4)
 _CLASS = np.array([
     _SPACE if c in (9, 10, 11, 12, 13, 32, 0x85, 0xA0) else
