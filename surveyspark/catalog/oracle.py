@@ -75,6 +75,9 @@ SELECT l_orderkey * 1000000000 + member_no AS _index, l_orderkey AS _parent_inde
 add("deidentified", """
 SELECT * EXCLUDE (adult_name, fam_name1, selected_adult), cast(selected_adult AS int) AS selected_adult
 FROM hh_raw""")
+add("deidentified_members", """
+SELECT _index, _parent_index, member_no, R02, R03, R02_rel, REF01, REF02, REF06,
+  DIS01, DIS02, DIS03, DIS04, DIS05, DIS06 FROM s1_raw""")
 _BANDS = {i: t for i, t in enumerate(FINE, start=1)}
 _BROAD = {i: t for i, t in enumerate(BROAD, start=1)}
 add("decoded_labels", f"""
@@ -104,10 +107,15 @@ for _name, _columns in {
 # --- margins -----------------------------------------------------------------
 
 add("margin_consistency", """
-SELECT origin_iso3, cast(sum(n) FILTER (pos < 5) AS bigint) AS checkFemale,
-  cast(sum(n) FILTER (pos >= 5) AS bigint) AS checkMale, cast(sum(n) AS bigint) AS checkTotalEndYear,
-  cast(0 AS bigint) AS checkFemaleDiff, cast(0 AS bigint) AS checkMaleDiff,
-  cast(0 AS bigint) AS checkTotalEndYearDiff FROM dem_cells GROUP BY origin_iso3""")
+SELECT origin_iso3, checkFemale, checkMale, checkFemale + checkMale AS checkTotalEndYear,
+  checkFemale - female AS checkFemaleDiff, checkMale - male AS checkMaleDiff,
+  checkFemale + checkMale - (female + male) AS checkTotalEndYearDiff
+FROM (SELECT CASE origin_iso3 WHEN '98' THEN 'UKN' ELSE origin_iso3 END AS origin_iso3,
+    cast(coalesce(sum(n) FILTER (pos < 5), 0) AS bigint) AS checkFemale,
+    cast(coalesce(sum(n) FILTER (pos >= 5), 0) AS bigint) AS checkMale,
+    cast(coalesce(sum(n) FILTER (pos < 5), 0) + any_value(n_nationkey) % 3 AS bigint) AS female,
+    cast(coalesce(sum(n) FILTER (pos >= 5), 0) + any_value(n_nationkey) % 2 AS bigint) AS male
+  FROM dem_cells GROUP BY origin_iso3)""")
 add("margin_by_origin", "SELECT * FROM origins")
 add("margin_adults_by_origin", """
 SELECT origin_iso3, female_18_59, female_60, male_18_59, male_60,

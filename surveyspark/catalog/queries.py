@@ -19,7 +19,12 @@ from surveyspark.operators.design import (
 from surveyspark.operators.estimate import Breakdown, design_total, estimate, with_limits
 from surveyspark.plans import clean, report, weight
 from surveyspark.sources import forms, standin
-from surveyspark.sources.profile import HOUSEHOLD_IDENTIFIERS, HOUSEHOLD_WORK_COLUMNS
+from surveyspark.sources.profile import (
+    HOUSEHOLD_IDENTIFIERS,
+    HOUSEHOLD_WORK_COLUMNS,
+    MEMBER_IDENTIFIERS,
+    MEMBER_WORK_COLUMNS,
+)
 from surveyspark.sources.standin import PROFILE
 from surveyspark.sources.tables import stage
 
@@ -240,6 +245,12 @@ def deidentified(spark, sf):
         standin.households(spark, sf), HOUSEHOLD_IDENTIFIERS, HOUSEHOLD_WORK_COLUMNS)
 
 
+@query
+def deidentified_members(spark, sf):
+    members = standin.members(spark, sf, questions=FUNCTIONING)
+    return linkage.strip_identifiers(members, MEMBER_IDENTIFIERS, MEMBER_WORK_COLUMNS)
+
+
 @query
 def decoded_labels(spark, sf):
     members = standin.members(spark, sf, questions=[*FUNCTIONING, *DOCUMENTS], origins=False)
@@ -375,7 +386,7 @@ def age_share_within_origin(spark, sf):
 @query
 def origin_distribution(spark, sf):
     base, members = base_and_members(spark, sf)
-    base = stage(base, "households")
+    base = stage(base.drop(*HOUSEHOLD_IDENTIFIERS), "households")
     hh = clean.enrich_households(base, members, PROFILE)
     s1 = clean.enrich_members(members, base, PROFILE)
     tables = [

@@ -209,12 +209,13 @@ SELECT *, CASE WHEN outcome = 'paid' THEN 0
     AND coalesce(UNEM09 = '1' AND UNEM10 = '1', false))) IS TRUE END::int AS labourForce
 FROM hh_work3""",
     "dem_cells": """
-SELECT n_name AS origin_iso3, n_nationkey, pos,
-  (50 + (n_nationkey * 37 + pos * 11) % 100) * (SELECT cast(floor(count(*) / 1000) AS bigint) FROM lineitem) AS n
-FROM nation, range(10) AS cells(pos)""",
+SELECT code AS origin_iso3, k AS n_nationkey, pos, CASE WHEN (k + pos) % 11 <> 0 THEN
+  (50 + (k * 37 + pos * 11) % 100) * (SELECT cast(floor(count(*) / 1000) AS bigint) FROM lineitem) END AS n
+FROM (SELECT n_nationkey AS k, n_name AS code FROM nation UNION ALL SELECT count(*), '98' FROM nation),
+  range(10) AS cells(pos)""",
     "origins": """
 SELECT origin_iso3, """ + ",\n  ".join(
-        f"cast(sum(n) FILTER (pos = {p}) AS bigint) AS {c}" for p, c in enumerate((
+        f"cast(coalesce(sum(n) FILTER (pos = {p}), 0) AS bigint) AS {c}" for p, c in enumerate((
             "female_0_4", "female_5_11", "female_12_17", "female_18_59", "female_60",
             "male_0_4", "male_5_11", "male_12_17", "male_18_59", "male_60"))) + """,
   cast(sum(n) AS bigint) AS totalEndYear, coalesce(any_value(hcr_region), 'Unknown') AS originHcrRegion

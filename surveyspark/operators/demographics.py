@@ -134,8 +134,10 @@ def collapse_origin(df: DataFrame, profile: Profile, origin: str = "origin",
         .when(region != profile.named_region, profile.other_outside))
 
 
-def age_group(df: DataFrame, age: str = "R03", name: str = "R03bin") -> DataFrame:
-    return df.withColumn(name, F.when(F.col(age) < 18, "Child").when(F.col(age) >= 18, "Adult"))
+def age_group(df: DataFrame, age: str = "R03", name: str = "R03bin",
+              adult_from: int = Profile.working_age) -> DataFrame:
+    return df.withColumn(
+        name, F.when(F.col(age) < adult_from, "Child").when(F.col(age) >= adult_from, "Adult"))
 
 
 def adult_stratum(df: DataFrame, sex: str = "R02") -> DataFrame:

@@ -76,16 +76,19 @@ def fan_out(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def checked_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join that fails at run time when a right-hand key is not unique.
 
-    The right side is reduced to one row per key with a count beside it, which
-    is the same shuffle the join needs; a count above one raises.
+    A missing key matches a missing key. Columns keep their labels.
     """
-    payload = [c for c in right.columns if c not in keys]
-    once = right.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in payload])
-    checked = once.filter(
-        F.when(F.col("_n") > 1, F.raise_error(F.lit("join key is not unique")).cast("boolean"))
-        .otherwise(F.lit(True)))
-    return left.join(checked.drop("_n"), list(keys), "left")
+    renamed = unique_on(right, keys).withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = null_safe(left, renamed, {k: f"_r_{k}" for k in keys})
+    return left.join(renamed, on, "left").drop(*[f"_r_{k}" for k in keys])
+
+
+def unique_on(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows as they are; the job fails when two share a key (missing is a value)."""
+    counted = df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    return counted.filter(
+        F.when(F.col("_n") > 1, F.raise_error(F.lit(f"repeated key: {', '.join(keys)}")).cast("boolean"))
+        .otherwise(F.lit(True))).drop("_n")
 
 
 def merge_rosters(
@@ -96,10 +99,11 @@ def merge_rosters(
     """Left-join the second roster part, adding only columns the first lacks.
 
     ``keys`` maps columns of part A to columns of part B. Missing key parts
-    match missing key parts, as they would in a pasted text key.
+    match missing key parts, as they would in a pasted text key. A repeated key
+    in part B fails the job, as its rows would multiply members.
     """
     new = only_in_right(part_a, part_b)
-    b = part_b.select(
+    b = unique_on(part_b, list(keys.values())).select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys.values())], *new)
     on = reduce(
         lambda x, y: x & y,

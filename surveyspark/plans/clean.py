@@ -81,16 +81,18 @@ def clean(households: DataFrame, members: DataFrame, profile: Profile,
     """Both clean tables, identifiers and working columns removed.
 
     The derived members and the household base are read by several branches
-    each, so they are written once and read back. ``keep_answers=False`` leaves
-    out the raw answers that the derived columns stand for.
+    each, so they are written once and read back, without any identifier: names
+    reach no file. ``keep_answers=False`` leaves out the raw answers that the
+    derived columns stand for.
     """
     answers = () if keep_answers else (
-        *demographics.FUNCTIONING, *demographics.DOCUMENTS_FROM_5, *demographics.DOCUMENTS_BELOW_5,
-        *MEMBER_IDENTIFIERS)
+        *demographics.FUNCTIONING, *demographics.DOCUMENTS_FROM_5, *demographics.DOCUMENTS_BELOW_5)
+    members = members.drop(*MEMBER_IDENTIFIERS)
+    households = households.drop(*HOUSEHOLD_IDENTIFIERS)
     derived = stage(derive_members(members, profile).drop(*answers), "members")
     base = household_base(households, derived, profile, origin_pick, missing)
     if not keep_answers:
-        base = base.drop(*indicators.SERVICE_ANSWERS, *HOUSEHOLD_IDENTIFIERS)
+        base = base.drop(*indicators.SERVICE_ANSWERS)
     base = stage(base, "households")
     hh = enrich_households(base, derived, profile)
     s1 = enrich_members(derived, base, profile)

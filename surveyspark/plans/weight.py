@@ -66,7 +66,8 @@ def member_rows(s1: DataFrame, countries: DataFrame, profile: Profile,
         s1 = s1.filter(F.when(gap, F.raise_error(F.lit("foreign member without age")).cast("boolean"))
                        .otherwise(F.lit(True)))
     located = linkage.add_region(s1, countries, "origin")
-    binned = demographics.age_group(demographics.collapse_origin(located, profile))
+    binned = demographics.age_group(
+        demographics.collapse_origin(located, profile), adult_from=profile.working_age)
     keyed = demographics.member_stratum(decode(binned))
     return keyed.filter(F.col("origin") != profile.host)
 

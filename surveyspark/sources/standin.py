@@ -237,12 +237,16 @@ def population(spark: SparkSession, sf_dir: str) -> DataFrame:
     """External population counts, one row per origin, year and status.
 
     Year 2021 with status REF or ASY holds the counts in use; the other rows
-    are there for the filter to remove.
+    are there for the filter to remove. Some cells are missing, one origin is
+    unknown, and the published totals do not always agree with the cells.
     """
-    nation = table(spark, sf_dir, "nation")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    unknown = nation.agg(F.count(F.lit(1)).alias("n_nationkey"), F.lit(PROFILE.unknown_origin).alias("n_name"))
+    nation = nation.union(unknown)
     scale = F.floor(table(spark, sf_dir, "lineitem").select(F.count(F.lit(1)) / 1000).scalar())
     key = F.col("n_nationkey").cast("long")
-    cells = {c: (50 + (key * 37 + pos * 11) % 100) * F.col("scale") for pos, c in enumerate(CELLS)}
+    cells = {c: F.when((key + pos) % 11 != 0, (50 + (key * 37 + pos * 11) % 100) * F.col("scale"))
+             for pos, c in enumerate(CELLS)}
     status = F.when(key % 2 == 0, "REF").otherwise("ASY")
     versions = F.explode(F.array(
         F.struct(F.lit(2021).alias("year"), status.alias("populationType")),
@@ -250,11 +254,11 @@ def population(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit(2021).alias("year"), F.lit("ROC").alias("populationType")),
     ))
     wide = nation.withColumn("scale", scale).select(
-        versions.alias("v"), F.col("n_name").alias("origin_iso3"),
+        versions.alias("v"), key.alias("key"), F.col("n_name").alias("origin_iso3"),
         *[v.cast("long").alias(c) for c, v in cells.items()],
     )
-    female = sum((F.col(c) for c in CELLS[:5]), F.lit(0))
-    male = sum((F.col(c) for c in CELLS[5:]), F.lit(0))
+    female = sum((F.coalesce(c, F.lit(0)) for c in CELLS[:5]), F.col("key") % 3)
+    male = sum((F.coalesce(c, F.lit(0)) for c in CELLS[5:]), F.col("key") % 2)
     return wide.select(
         F.col("v.year").alias("year"), F.lit(PROFILE.host).alias("asylum_iso3"),
         F.col("origin_iso3").alias("origin"), "origin_iso3",

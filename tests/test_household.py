@@ -97,7 +97,7 @@ def test_joins(spark):
     once = K.checked_left_join(left, right.select("k", "v"), ["k"])
     assert {r.k: r.v for r in once.collect()} == {1: 10, 2: 20}
     twice = right.select("k", "v").union(right.select("k", "v"))
-    with pytest.raises(Exception, match="not unique"):
+    with pytest.raises(Exception, match="repeated key"):
         K.checked_left_join(left, twice, ["k"]).collect()
     assert K.fan_out(twice, ["k"]).count() == 2
 
@@ -115,6 +115,19 @@ def test_merge_rosters_on_name_and_age(spark):
     b = spark.createDataFrame([(1, "ann", None, "1")], "_parent_index int, nm string, ag int, rel string")
     out = K.merge_rosters(a, b, {"_parent_index": "_parent_index", "R01": "nm", "R03": "ag"})
     assert out.first().rel == "1"
+    with pytest.raises(Exception, match="repeated key"):
+        K.merge_rosters(a, b.union(b), {"_parent_index": "_parent_index", "R01": "nm", "R03": "ag"}).collect()
+
+
+def test_checked_join_matches_missing_keys_and_keeps_labels(spark):
+    left = spark.createDataFrame([(1,), (None,)], "k int")
+    right = spark.createDataFrame([(None, 10), (1, 20)], "k int, v int")
+    right = right.withMetadata("v", {"label": "Value"})
+    out = K.checked_left_join(left, right, ["k"])
+    assert {r.k: r.v for r in out.collect()} == {1: 20, None: 10}
+    assert out.columns == ["k", "v"] and out.schema["v"].metadata == {"label": "Value"}
+    with pytest.raises(Exception, match="repeated key"):
+        K.checked_left_join(left, right.filter("k is null").union(right.filter("k is null")), ["k"]).collect()
 
 
 def test_identifiers_are_stripped(spark):
