@@ -116,6 +116,17 @@ FROM (SELECT CASE origin_iso3 WHEN '98' THEN 'UKN' ELSE origin_iso3 END AS origi
     cast(coalesce(sum(n) FILTER (pos < 5), 0) + any_value(n_nationkey) % 3 AS bigint) AS female,
     cast(coalesce(sum(n) FILTER (pos >= 5), 0) + any_value(n_nationkey) % 2 AS bigint) AS male
   FROM dem_cells GROUP BY origin_iso3)""")
+add("respondent_origin_shares", """
+SELECT origin, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 9) AS perc
+FROM hh_clean WHERE origin <> 'NATION_8' GROUP BY origin""")
+add("adult_sample_by_stratum", "SELECT originSex_ps, count(*) AS n FROM hh_strata GROUP BY originSex_ps")
+add("eligible_age_range", "SELECT min(R03) AS youngest, max(R03) AS oldest FROM hh_linked")
+add("labour_crosstabs", """
+SELECT 'labourForce x unemployed' AS "table", labourForce AS a, employmentStatus AS b, count(*) AS n
+FROM hh_clean GROUP BY 2, 3
+UNION ALL
+SELECT 'employed x unemployed', CASE WHEN outcome = 'paid' THEN 1 WHEN employmentStatus = 1 THEN 0 END,
+  employmentStatus, count(*) FROM hh_clean GROUP BY 2, 3""")
 add("margin_by_origin", "SELECT * FROM origins")
 add("margin_adults_by_origin", """
 SELECT origin_iso3, female_18_59, female_60, male_18_59, male_60,

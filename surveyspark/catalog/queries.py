@@ -361,7 +361,31 @@ def margin_member(spark, sf):
 
 @query
 def population_distribution(spark, sf):
-    return rounded(margins.origin_shares(origins(spark, sf)), 9, "perc")
+    shares = rounded(margins.origin_shares(origins(spark, sf)), 9, "perc")
+    return shares.orderBy(F.col("n").desc(), "origin_iso3")
+
+
+@query
+def respondent_origin_shares(spark, sf):
+    """Foreign respondents by origin with their shares."""
+    hh = households_clean(spark, sf).select("origin").filter(F.col("origin") != PROFILE.host)
+    return rounded(quality.distribution(hh, "origin"), 9, "perc").orderBy(F.col("n").desc(), "origin")
+
+
+@query
+def adult_sample_by_stratum(spark, sf):
+    """Foreign respondents by post-stratum."""
+    hh = households_clean(spark, sf, "skip").select("_index", "origin", "R02")
+    rows = weight.adult_rows(hh, standin.countries(spark, sf), PROFILE)
+    return quality.frequency(rows, "originSex_ps").orderBy(F.col("n").desc(), "originSex_ps")
+
+
+@query
+def eligible_age_range(spark, sf):
+    """Youngest and oldest respondent."""
+    members = standin.members(spark, sf, questions=(), origins=False)
+    linked = linkage.link_respondent(standin.households(spark, sf), members, ["R03"])
+    return linked.agg(F.min("R03").alias("youngest"), F.max("R03").alias("oldest"))
 
 
 @query
@@ -415,6 +439,19 @@ def crosstab(spark, sf):
     return quality.crosstab(out, "labourForce", "employed")
 
 
+@query
+def labour_crosstabs(spark, sf):
+    """Labour force by unemployed, and employed by unemployed, in one long table."""
+    members = standin.members(spark, sf, questions=(), origins=False)
+    linked = linkage.link_respondent(standin.households(spark, sf), members, ["R03"])
+    out = indicators.labour_force(indicators.working_age(linked, PROFILE))
+    pairs = (("labourForce", "unemployed"), ("employed", "unemployed"))
+    tables = [quality.crosstab(out, a, b).select(
+        F.lit(f"{a} x {b}").alias("table"), F.col(a).cast("int").alias("a"), F.col(b).cast("int").alias("b"), "n")
+        for a, b in pairs]
+    return tables[0].unionByName(tables[1]).orderBy("table", "a", "b")
+
+
 @query
 def prop_table(spark, sf):
     out = quality.proportions(indicators.safety(standin.households(spark, sf, respondent=False)), "SAF01SDG")
