@@ -7,10 +7,10 @@ one order of all shingles, two similar sets share a shingle among the first
 n - ceil(t * n) + 1 of each. Where light ends is the size at which the subsets to write
 would cost more than the list entries to scan, from counts over all sets.
 
-Links are never listed for whole groups. A list is first compared with one leader per
-round; what that links becomes one component, and only pairs of different components
-remain to be compared. The last round compares all of those, so no link between
-components is lost.
+Links are never listed for whole groups. A list is first compared with a few leaders per
+round, drawn from its largest component; what they link becomes one component, and only
+pairs of different components remain to be compared. The last round compares all of
+those, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ SMALL = 20          # sizes that may be light; larger sets have too many subsets
 COMMON = 1 << 20    # most shingles whose place in the order is moved to the end
 BLOCK = 1 << 22     # shingles of a task that are counted together
 ROUNDS = 4          # most leader rounds before the exact last one
+LEADERS = 4         # sets of a list that the others are compared with in a round
 
 
 def need(n: int, percent: int) -> int:
@@ -184,7 +185,7 @@ def _shared_lists(postings: DataFrame, scratch: Scratch, name: str) -> DataFrame
 
 
 def _repeated_postings(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """(key, sig, n) for the prefix shingles that occur twice among all rows.
+    """(key, sig, n, pos) for the prefix shingles that occur twice among all rows.
 
     The first shuffle moves shingles alone, added up within each task; a filter of those
     that occur twice keeps the second one to the few postings that can meet.
@@ -200,12 +201,14 @@ def _repeated_postings(sets: DataFrame, percent: int, scratch: Scratch) -> DataF
             lists = batch.column("keys")
             keys = lists.flatten().to_numpy().view(np.uint64)
             hit = np.flatnonzero(bloom.passes(*shared.value, keys))
-            row = pa.array(np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())[hit])
+            sizes = lists.value_lengths().to_numpy()
+            row = pa.array(np.repeat(np.arange(batch.num_rows), sizes)[hit])
+            place = (np.arange(len(keys)) - np.repeat(np.cumsum(sizes) - sizes, sizes))[hit] + 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(W.as_long(keys[hit])), batch.column("sig").take(row), batch.column("n").take(row)],
-                ["key", "sig", "n"])
+                [pa.array(W.as_long(keys[hit])), batch.column("sig").take(row), batch.column("n").take(row),
+                 pa.array(place.astype(np.int64))], ["key", "sig", "n", "pos"])
 
-    return sets.select(prefix.alias("keys"), "sig", "n").mapInArrow(rows, "key long, sig long, n long")
+    return sets.select(prefix.alias("keys"), "sig", "n").mapInArrow(rows, "key long, sig long, n long, pos long")
 
 
 def light_boundary(sizes: dict[int, int], scans: dict[int, int], percent: int) -> int:
@@ -222,6 +225,16 @@ def _similar(a: str, b: str, percent: int) -> F.Column:
     return F.least(F.col(a), F.col(b)) * 100 >= F.greatest(F.col(a), F.col(b)) * percent
 
 
+def _in_place(percent: int) -> F.Column:
+    """Whether a shared shingle's places in both orders leave room for the overlap of a link.
+
+    At most as many shingles are shared up to it as the nearer place counts, and after it
+    as the shorter rest holds; true for every shared shingle of a link.
+    """
+    wanted = F.ceil((F.col("an") + F.col("bn")) * percent / F.lit(100 + percent))
+    return F.least("apos", "bpos") + F.least(F.col("an") - F.col("apos"), F.col("bn") - F.col("bpos")) >= wanted
+
+
 def _promising(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, an, bn, one row for each shared key) whose shared keys allow a link.
 
@@ -292,8 +305,9 @@ def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85,
     light = light_boundary(sizes, scans, percent)
     subsets = _shared_lists(_subset_keys(small.filter(F.col("n").between(1, light)), percent), scratch, "subset")
     entries = scratch.stage(
-        lists.filter(F.col("n") >= need(light + 1, percent)).select("key", "sig", "n", F.lit(True).alias("scan"))
-        .union(subsets.select("key", "sig", "n", F.lit(False).alias("scan"))), "entries")
+        lists.filter(F.col("n") >= need(light + 1, percent)).select("key", "sig", "n", "pos", F.lit(True).alias("scan"))
+        .union(subsets.select("key", "sig", "n", F.lit(0).cast("long").alias("pos"), F.lit(False).alias("scan"))),
+        "entries")
     scratch.drop("lists", "often", "scan-postings", "scan-keys", "subset-postings", "subset-keys")
 
     groups, rows, before = None, entries.count(), None
@@ -307,23 +321,36 @@ def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85,
         open_keys = (parts.groupBy("key", "scan")
                      .agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("own"),
                           F.count("*").alias("parts")).filter("parts > 1"))
-        left = open_keys.agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2)).first()[0] or 0
+        # pairs of different components, and those of them that a leader round would spare
+        pairs_left = (F.col("m") * F.col("m") - F.col("own")) / 2
+        left, spared = open_keys.agg(
+            F.sum(pairs_left), F.sum(F.greatest(F.lit(0), pairs_left - LEADERS * F.col("m")))).first()
         if not left:
             break
         now = now.join(open_keys.select("key", "scan"), ["key", "scan"], "left_semi")
         # leaders are tried while they settle much; texts that merely share a passage they do not
-        last = left <= rows or turn == ROUNDS or (before is not None and left > 0.7 * before)
-        before = left
-        one = now.select("key", "scan", F.col("sig").alias("a"), F.col("n").alias("an"), F.col("part").alias("ap"))
+        last = spared <= rows / 4 or turn == ROUNDS or (before is not None and spared > 0.7 * before)
+        before = spared
+        one = now.select("key", "scan", F.col("sig").alias("a"), F.col("n").alias("an"), F.col("part").alias("ap"),
+                         F.col("pos").alias("apos"))
         if not last:
-            turn_hash = F.xxhash64("ap", F.lit(turn))
-            one = (one.groupBy("key", "scan").agg(
-                F.min_by("a", turn_hash).alias("a"), F.min_by("an", turn_hash).alias("an"),
-                F.min_by("ap", turn_hash).alias("ap")))
-        other = now.select("key", "scan", F.col("sig").alias("b"), F.col("n").alias("bn"), F.col("part").alias("bp"))
+            sized = one.join(parts.select("key", "scan", F.col("part").alias("ap"), "m"), ["key", "scan", "ap"])
+            drawn = [F.min_by(F.struct("a", "an", "ap", "apos"),
+                              F.struct(-F.col("m"), F.xxhash64("a", F.lit(turn * LEADERS + j))))
+                     for j in range(LEADERS)]
+            one = (sized.groupBy("key", "scan").agg(F.array_distinct(F.array(*drawn)).alias("leaders"))
+                   .select("key", "scan", F.explode("leaders").alias("leader")).select("key", "scan", "leader.*"))
+        other = now.select("key", "scan", F.col("sig").alias("b"), F.col("n").alias("bn"), F.col("part").alias("bp"),
+                           F.col("pos").alias("bpos"))
         pairs = one.join(other, ["key", "scan"]).filter(
             (F.col("a") < F.col("b") if last else F.lit(True)) & (F.col("ap") != F.col("bp"))
-            & _similar("an", "bn", percent) & (~F.col("scan") | (F.greatest("an", "bn") > light)))
+            & _similar("an", "bn", percent)
+            & (~F.col("scan") | ((F.greatest("an", "bn") > light) & _in_place(percent))))
+        if not last:  # two leaders of a list are one pair
+            pairs = pairs.withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b"),
+                                       "an": F.when(F.col("a") < F.col("b"), F.col("an")).otherwise(F.col("bn")),
+                                       "bn": F.when(F.col("a") < F.col("b"), F.col("bn")).otherwise(F.col("an"))})
+            pairs = pairs.dropDuplicates(["key", "scan", "a", "b"])
         pairs = scratch.stage(_promising(pairs, percent), f"pairs{turn}")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
         whole = scratch.stage(_whole_sets(docs, wanted, width), f"whole{turn}")
