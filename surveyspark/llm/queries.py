@@ -102,4 +102,32 @@ QUERIES: dict[str, Query] = {
                   op9_benchmark_decontamination, op10_lm_scoring)
 }
 
-ORACLE: dict[str, str] = {}
+#: The letters that op1 lower-cases.
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: All pairs that share a shingle, for tables of the size that SQL is compared on.
+ORACLE: dict[str, str] = {
+    "op1_ngram_jaccard_join": f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(CASE
+      WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM split)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS overlap FROM shingle x JOIN shingle y
+    ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM shared JOIN size x ON a = x.doc_id JOIN size y ON b = y.doc_id
+  WHERE 100 * overlap >= 85 * (x.n + y.n - overlap)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, step.b FROM reach
+    JOIN (SELECT a, b FROM link UNION ALL SELECT b, a FROM link) step ON reach.b = step.a)
+SELECT d.doc_id, cast(coalesce(n, 0) AS bigint) AS n_shingles, component_id
+FROM documents d LEFT JOIN size USING (doc_id)
+JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) ON d.doc_id = a""",
+}
