@@ -126,6 +126,19 @@ def test_every_verbatim_and_changed_item_is_found_and_nothing_else(leak_case):
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows if i < 200}
 
 
+@pytest.mark.parametrize("step", [7, 10])
+def test_changed_copies_in_a_third_of_the_documents_are_found(spark, documents, prose, step):
+    """Words that are frequent only because of the copies still show them."""
+    bench = spark.createDataFrame([(k, prose(900 + k, 20 + 3 * k)) for k in range(12)], "item_id long, text string")
+    for k in (3, 8):
+        words = prose(900 + k, 20 + 3 * k).split()
+        changed = " ".join("zz" if j % step == 4 else w for j, w in enumerate(words))
+        rows = [(i, prose(i, 120)) for i in range(60)]
+        rows += [(100 + i, f"{prose(200 + i, 30 + i)} {changed} {prose(300 + i, 60)}") for i in range(30)]
+        got = {(r.doc_id, r.item_id) for r in contaminated(documents(rows), bench).collect()}
+        assert got == {(100 + i, k) for i in range(30)}
+
+
 def test_candidate_search_recall_against_brute_force(leak_case):
     """Every pair whose words have a long common subsequence anywhere is among the leaks."""
     docs, bench, rows, items = leak_case
