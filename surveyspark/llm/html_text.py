@@ -36,6 +36,8 @@ DOUBTFUL_NAMES = frozenset(
     "header banner notice alert promo related recommended share sharing social popup modal overlay widget "
     "toolbar masthead teaser outbrain aside skip".split())
 KEEP = frozenset("html body article main".split())
+#: whole class names and ids that a wrapper around the page's text does not have
+READERS = frozenset("comment comments commentlist replies respond disqus".split())
 #: an open element that a start tag ends, and how far up it is looked for
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
          "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -45,12 +47,13 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "inside", "names", "role", "hidden", "points", "chars", "linked")
+    __slots__ = ("tag", "parent", "inside", "names", "readers", "role", "hidden", "points", "chars", "linked")
 
     def __init__(self, tag: str, parent: "Node | None", attrs: dict):
         self.tag, self.parent, self.inside = tag, parent, []
         text = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
         self.names = frozenset(_WORDS.split(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", text).lower())) if text != " " else ()
+        self.readers = not READERS.isdisjoint(text.lower().split())
         self.role = (attrs.get("role") or "").lower()
         style = (attrs.get("style") or "").replace(" ", "").lower()
         self.hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in style
@@ -144,8 +147,28 @@ def _measure(root: Node) -> None:
                 item.parent.linked += item.linked
 
 
+def _holders(root: Node) -> tuple[set[int], set[int]]:
+    """Nodes around the largest article and main element by unlinked text, and those inside."""
+    around, inside = set(), set()
+    found = [x for x, opening in _walk(root) if opening and not isinstance(x, str)
+             and x.tag in ("article", "main") and CUT_NAMES.isdisjoint(x.names) and x.chars > x.linked]
+    for tag in ("article", "main"):
+        best = max((x for x in found if x.tag == tag), key=lambda x: x.chars - x.linked, default=None)
+        if best is not None:
+            inside.update(id(x) for x, opening in _walk(best) if opening and not isinstance(x, str))
+            while best is not None:
+                around.add(id(best))
+                best = best.parent
+    return around, inside
+
+
 def _prune(root: Node) -> None:
-    """Cuts everything that is not part of a page's text."""
+    """Cuts everything that is not part of a page's text.
+
+    A name cuts no container around the page's article or main element, and none with half
+    of the page's text, unless the article is elsewhere or the name is that of comments.
+    """
+    around, inside = _holders(root)
     stack = [root]
     while stack:
         node = stack.pop()
@@ -155,7 +178,8 @@ def _prune(root: Node) -> None:
                 if x.tag in CUT or x.hidden or x.role in CUT_ROLES:
                     continue
                 if x.tag not in KEEP and x.names:
-                    if not CUT_NAMES.isdisjoint(x.names):
+                    if not CUT_NAMES.isdisjoint(x.names) and id(x) not in around and (
+                            x.readers or x.chars * 2 < root.chars or (inside and id(x) not in inside)):
                         continue
                     if not DOUBTFUL_NAMES.isdisjoint(x.names) and x.chars * 2 < root.chars:
                         continue

@@ -155,3 +155,21 @@ def test_conversations_of_a_table(spark):
         assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
         assert r.formatted_chars >= len(said)
     assert read_back(format_conversations(df.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "layout no-sidebar", "post comments-open", "page ad-free"])
+def test_wrappers_named_after_what_they_hold_or_lack(name):
+    menu = "<ul>" + "<li><a href='/'>Somewhere else on this site</a></li>" * 40 + "</ul>"
+    text = f"<p>{LONG}</p><p>{LONG}</p>"
+    side = f'<div class="sidebar"><p>{LONG}</p></div>'
+    want = f"{LONG.strip()} {LONG.strip()}"
+    assert main_text(f'<body><div class="{name}"><article>{text}</article>{side}</div></body>') == want
+    assert main_text(f'<body>{menu}<div class="{name}"><main><div class="{name}"><article>{text}</article></div></main></div></body>') == want
+    assert main_text(f'<body><div class="{name}"><div>{text}</div></div><div class="ad"><p>{LONG}</p></div></body>') == want
+
+
+def test_long_comments_are_no_wrapper():
+    text, talk = f"<p>{LONG}</p>", f"<p>{LONG}</p>" * 5
+    for body in (f"<article>{text}</article>", f"<div>{text}</div>"):
+        assert main_text(f'<body>{body}<div class="comments">{talk}</div></body>') == LONG.strip()
+    assert main_text(f'<body><article>{text}</article><div class="comments-area">{talk}</div></body>') == LONG.strip()
