@@ -8,8 +8,8 @@ shortlist word's within its class, come from the recurrent state; another word's
 its class from the counts, add-one smoothed with one place for all unseen words.
 
 Training is truncated back-propagation over windows of WINDOW tokens, the state carried
-from window to window, on a share of the training documents in each task; after every
-round the tasks' parameters are averaged, weighted by tokens. Scoring carries the state
+from window to window, in tasks; every training document is learned from in one of the
+rounds. After a round the tasks' parameters are averaged, weighted by tokens. Scoring carries the state
 through the whole of every text.
 """
 
@@ -38,9 +38,7 @@ CLASSES = SHORTLIST // CLASS + SHAPES
 
 @dataclass(frozen=True)
 class Settings:
-    share: float = 0.02       # of the training documents in each round ...
-    least: int = 600          # ... but at least about so many documents
-    rounds: int = 3
+    rounds: int = 3           # which share the training documents among them
     rate: float = 0.03        # of the first round; it halves each round
     train_batch: int = 64
 
@@ -313,15 +311,13 @@ class Trainer:
 def train(docs: DataFrame, vocabulary: Vocabulary, s: Settings) -> dict[str, np.ndarray]:
     """Parameters after s.rounds rounds of training in the tasks and averaging.
 
-    Each round takes another share of the training documents, by a hash of the doc_id and
-    text, so that what is trained on grows with the corpus.
+    Each round takes other training documents, by a hash of the doc_id and text; together
+    the rounds take all of them, at any size.
     """
     p = new_parameters(vocabulary)
     sc = docs.sparkSession.sparkContext
     learned = docs.filter(~held_out()).select("doc_id", "text")
-    chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000))
-    total = learned.count()
-    share = min(1.0 / s.rounds, max(s.share, s.least / max(total, 1)))
+    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(s.rounds))
     known = sc.broadcast(vocabulary)
     for k in range(s.rounds):
         shared = sc.broadcast(p)
@@ -354,8 +350,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, s: Settings) -> dict[str, np.
             flat = sum(np.frombuffer(v, np.float32).astype(np.float64) for v in pdf["p"])
             return pd.DataFrame({"n": [pdf["n"].sum()], "p": [flat.astype(np.float32).tobytes()]})
 
-        part = learned.filter((chance >= int(k * share * 1e6)) & (chance < int((k + 1) * share * 1e6)))
-        found = part.select("text").mapInArrow(rows, "n double, p binary")
+        found = learned.filter(turn == k).select("text").mapInArrow(rows, "n double, p binary")
         groups = max(1, math.isqrt(found.rdd.getNumPartitions()))
         sums = (found.groupBy(F.pmod(F.xxhash64("p"), F.lit(groups)).alias("g"))
                 .applyInPandas(add, "n double, p binary").collect())

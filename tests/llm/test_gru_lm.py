@@ -110,3 +110,19 @@ def test_model_learns_what_follows_what(documents):
     assert len(held) > 60
     gain = sum(r.score - r.base_score for r in held) / sum(r.n_tokens for r in held)
     assert gain > 0.1  # of the 0.3 there are to gain for each word
+
+
+def test_every_training_document_is_learned_from(documents, monkeypatch):
+    docs = documents([(k, f"a{k % 7} b{k}") for k in range(4000)])
+    kind, seen = type(docs), []
+    plain = kind.mapInArrow
+
+    def spy(self, func, schema, *more, **named):
+        if schema == "n double, p binary":
+            seen.append(self.count())
+        return plain(self, func, schema, *more, **named)
+
+    monkeypatch.setattr(kind, "mapInArrow", spy)
+    G.score_documents(docs)
+    learned = sum(zlib.crc32(str(k).encode()) % 7 != 2 for k in range(4000))
+    assert sum(seen) == learned and min(seen) > 0.3 * learned
