@@ -8,12 +8,13 @@ unit length. The machines are fitted on a bounded sample of labelled documents.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,19 +143,25 @@ def held_out() -> F.Column:
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
     """A model from at most about `train_docs` labelled documents that are not held out.
 
-    The sample takes as many documents of each language, by a hash of doc_id; it is
-    bounded, and only it comes to the driver, as feature rows. None without labels.
+    The sample takes as many documents of each language, those with the smallest hashes of
+    doc_id, and at least one; it is bounded, and only it comes to the driver, as feature
+    rows. None without labels.
     """
     known = docs.filter(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull()
                         & F.col("text").rlike("\\p{L}"))
     counts = {r[0]: r[1] for r in known.groupBy("lang").count().collect()}
     if not counts:
         return None
-    share = train_docs / len(counts)
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    wanted = F.lit(False)
-    for lang, n in sorted(counts.items()):
-        wanted = wanted | ((F.col("lang") == lang) & (chance < int(min(1.0, share / n) * 1_000_000)))
+    quota = max(1, train_docs // len(counts))
+    wide = quota + 8 * math.sqrt(quota) + 40  # rows expected under a limit, so that its quota is always there
+    limits = docs.sparkSession.createDataFrame(
+        [(lang, int(wide / n * 2.0 ** 63) if wide < n else 2 ** 63 - 1) for lang, n in sorted(counts.items())],
+        "lang string, __limit long")
+    chance = F.xxhash64("doc_id").bitwiseAND(F.lit(2 ** 63 - 1))
+    first = Window.partitionBy("lang").orderBy("__chance", F.xxhash64("text"))
+    few = (known.select("doc_id", "lang", "text", chance.alias("__chance"))
+           .join(F.broadcast(limits), "lang").filter("__chance <= __limit")
+           .withColumn("__place", F.row_number().over(first)).filter(F.col("__place") <= quota))
 
     def rows(batches):
         for batch in W.slices(batches, 256):
@@ -164,7 +171,7 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
                  pa.array([r.tobytes() for r in x], pa.binary())], ["doc_id", "lang", "x"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sample = (known.filter(wanted).select("doc_id", "lang", "text")
+    sample = (few.select("doc_id", "lang", "text")
               .mapInArrow(rows, f"doc_id {kind}, lang string, x binary").toArrow().sort_by("doc_id"))
     if not sample.num_rows:
         return None

@@ -8,7 +8,7 @@ import pytest
 
 from surveyspark.llm import words as W
 from surveyspark.llm.decontaminate import Benchmark, common_subsequence, contaminated, passage_sums, starts, without_leaks
-from surveyspark.llm.language import FAMILIES, Model, family_of, features, identify_language, known_languages
+from surveyspark.llm.language import FAMILIES, Model, family_of, features, fit, identify_language, known_languages
 from surveyspark.llm.sentence_dedup import dedup_sentences
 
 
@@ -230,3 +230,10 @@ def test_hierarchy_of_machines():
     assert sum(a == b for a, b in zip(model.predict(x)[0], langs)) >= 115
     alone = Model(x[:30], ["en"] * 30)
     assert alone.predict(x[:2])[0] == ["en", "en"]
+
+
+def test_no_language_is_too_large_or_too_rare_to_be_learned(spark):
+    docs = spark.range(1_500_000).selectExpr("id doc_id", "if(id % 150000 = 7, 'wo ist der hund', 'where is it') text",
+                                             "if(id % 150000 = 7, 'de', 'en') lang")
+    model = fit(docs, 2)
+    assert model.langs == ["de", "en"]
