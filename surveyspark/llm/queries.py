@@ -11,11 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from surveyspark.llm.chat import format_conversations, read_back
 from surveyspark.llm.decontaminate import contaminated
+from surveyspark.llm.divergence import divergences
 from surveyspark.llm.fingerprint import fingerprint_documents
 from surveyspark.llm.gru_lm import score_documents
 from surveyspark.llm.html_text import extract_text
 from surveyspark.llm.jaccard_join import jaccard_join
 from surveyspark.llm.language import identify_language
+from surveyspark.llm.merkle import verified_manifest
+from surveyspark.llm.oracle import divergence_sql, merkle_sql
 from surveyspark.llm.packing import pack_documents
 from surveyspark.llm.sentence_dedup import dedup_sentences
 from surveyspark.llm.url_filter import judge_urls, labelled_urls
@@ -95,11 +98,20 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified_manifest(_table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergences(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (op1_ngram_jaccard_join, op2_document_fingerprints, op3_best_fit_packing, op4_chat_formatting,
                   op5_url_filters, op6_html_extraction, op7_language_id, op8_substring_dedup,
-                  op9_benchmark_decontamination, op10_lm_scoring)
+                  op9_benchmark_decontamination, op10_lm_scoring, op11_merkle_manifest,
+                  op12_source_divergence)
 }
 
 #: The letters that op1 lower-cases.
@@ -130,4 +142,6 @@ reach AS (
 SELECT d.doc_id, cast(coalesce(n, 0) AS bigint) AS n_shingles, component_id
 FROM documents d LEFT JOIN size USING (doc_id)
 JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) ON d.doc_id = a""",
+    "op11_merkle_manifest": merkle_sql(),
+    "op12_source_divergence": divergence_sql(),
 }
