@@ -20,6 +20,7 @@ from surveyspark.llm.language import identify_language
 from surveyspark.llm.merkle import verified_manifest
 from surveyspark.llm.oracle import divergence_sql, merkle_sql
 from surveyspark.llm.packing import pack_documents
+from surveyspark.llm.personal import personal_data
 from surveyspark.llm.sentence_dedup import dedup_sentences
 from surveyspark.llm.url_filter import judge_urls, labelled_urls
 
@@ -106,12 +107,16 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergences(_table(spark, sf_dir, "documents"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (op1_ngram_jaccard_join, op2_document_fingerprints, op3_best_fit_packing, op4_chat_formatting,
                   op5_url_filters, op6_html_extraction, op7_language_id, op8_substring_dedup,
                   op9_benchmark_decontamination, op10_lm_scoring, op11_merkle_manifest,
-                  op12_source_divergence)
+                  op12_source_divergence, op13_personal_data)
 }
 
 #: The letters that op1 lower-cases.

@@ -7,10 +7,10 @@ def test_queries_are_registered():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    for n in range(1, 13):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert names["pipeline"] is corpus_pipeline.run
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{n}" for n in range(1, 13)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 def test_stages_keep_clean_documents_and_act_on_planted_cases(spark, tmp_path, prose):
