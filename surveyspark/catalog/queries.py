@@ -564,7 +564,7 @@ def _cells(df: DataFrame, *extra: str) -> DataFrame:
 def weighted_total_se(spark, sf):
     design = member_design_ps(spark, sf, *MEMBER_COLUMNS)
     cells = estimate(design, "documents", report.PERSON_BREAKDOWNS, stat="total")
-    return rounded(_cells(cells, "se"), 4, "se")
+    return rounded(cells.select("breakdown", "level", "answer", "n", "unwn", "se"), 4, "n", "se")
 
 
 @query

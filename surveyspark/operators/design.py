@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveyspark.functions.nulls import ratio
-from surveyspark.operators.linkage import is_small
+from surveyspark.sources.stages import stage
 
 
 @dataclass(frozen=True)
@@ -108,12 +108,10 @@ def poststratify(design: SurveyDesign, key: str, margin: DataFrame,
                  name: str = "weight_ps") -> SurveyDesign:
     """Scale weights so that every post-stratum adds up to its margin count.
 
-    The factors have one row per margin row; they are broadcast when the
-    margin is counted to be small, else joined by shuffle.
+    The factors have one row per margin row. They are written, so the planner
+    knows their bytes and broadcasts them below its threshold, else shuffles.
     """
-    factors = post_strata_factors(design.df, design.weight, key, margin)
-    if is_small(margin):
-        factors = F.broadcast(factors)
+    factors = stage(post_strata_factors(design.df, design.weight, key, margin), "factors")
     df = design.df.join(factors, key).withColumn(
         name, F.col(design.weight) * F.col("_factor")).drop("_factor")
     return design.replace(df=df, weight=name, stratum=key)

@@ -9,9 +9,9 @@ its rows, however many tables there are:
    the number of interviews, and all estimates follow from it. It is written
    once and read back.
 2. In clustered designs every row adds its score to its sampling unit, one
-   column per group. Scores depend on the type only and come from a small
-   lookup, so this is one join and one grouping by unit. Partial sums are
-   formed before the shuffle, hence a unit of any size is safe. Where each row
+   column per group. Scores depend on the type only and come from a written
+   lookup, so this is one join, whose strategy the planner picks by the lookup's
+   bytes, and one grouping by unit. Partial sums are formed before the shuffle, hence a unit of any size is safe. Where each row
    is its own unit, the sums of squares follow from the type table as well.
 
 The score of a row is its linearised contribution ``(hit - p) / W`` to a cell,
@@ -30,10 +30,8 @@ from pyspark.sql import functions as F
 from surveyspark.functions.labels import level_order, quoted
 from surveyspark.functions.stats import logit_limits, mean_limits, t_975
 from surveyspark.operators.design import SurveyDesign
-from surveyspark.operators.linkage import is_small
-from surveyspark.sources.tables import stage
+from surveyspark.sources.stages import stage
 
-SMALL_TABLE = 50_000
 TOTAL = "Total"
 
 
@@ -236,9 +234,6 @@ def estimate_many(
     """
     rows = _rows(design, questions, by)
     types = stage(type_table(rows, by), "types")
-    small = is_small(types, SMALL_TABLE)
-    if small:
-        types = types.coalesce(1)
     grouped = _by_group(types, by)
     cells = _cells(grouped, stat)
     scores = _stratum_scores(grouped, cells, types, design.stratum is not None)
@@ -250,9 +245,7 @@ def estimate_many(
             whole = whole.groupBy("_tab").agg(F.max("_all").alias("_all"))
             units = units.join(whole, "_tab").withColumn("_seen", F.col("_all")).drop("_all")
     else:
-        lookup = _score_lookup(types, cells, scores, len(groups), stat)
-        if small or is_small(lookup, SMALL_TABLE):
-            lookup = F.broadcast(lookup)
+        lookup = stage(_score_lookup(types, cells, scores, len(groups), stat), "scores")
         units = _units_of_clusters(rows, lookup, by, df_from)
         if stat == "proportion":
             units = _mirror(units, cells)

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from surveyspark.functions.nulls import unite
 from surveyspark.functions.reshape import only_in_right
 
-BROADCAST_ROWS = 50_000
-
 
 def number_within(
     df: DataFrame, parent: str, order: Sequence[str], band: Column, name: str
@@ -39,20 +37,6 @@ def number_within(
     )
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the table has at most ``max_rows`` rows; counts no further."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the table is counted to be small.
-
-    A larger table is returned unhinted, so the join is shuffled (and
-    skew-split by adaptive execution).
-    """
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
 def null_safe(left: DataFrame, right: DataFrame, keys: Mapping[str, str]) -> Column:
     """Join condition under which a missing key matches a missing key."""
     return reduce(
@@ -148,12 +132,15 @@ def push_down(members: DataFrame, households: DataFrame, columns: Sequence[str])
 
 
 def add_region(df: DataFrame, countries: DataFrame, origin: str, unknown: str = "Unknown") -> DataFrame:
-    """Region of a country code; codes without a region read ``Unknown``."""
+    """Region of a country code; codes without a region read ``Unknown``.
+
+    The planner broadcasts the lookup if its bytes are below the session's threshold.
+    """
     lookup = countries.select(
         F.col("iso3").cast("string").alias("_iso3"),
         F.col("hcr_region").cast("string").alias("_region"))
     return (
-        df.join(broadcast_if_small(lookup), F.col(origin) == F.col("_iso3"), "left")
+        df.join(lookup, F.col(origin) == F.col("_iso3"), "left")
         .withColumn("originHcrRegion", F.coalesce("_region", F.lit(unknown)))
         .drop("_iso3", "_region")
     )

@@ -1,48 +1,17 @@
-"""Saved tables: stage boundaries, survey designs on disk, report files."""
+"""Saved tables: survey designs on disk, report files."""
 
 from __future__ import annotations
 
 import json
-import tempfile
-import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from surveyspark.operators.design import SurveyDesign
+from surveyspark.sources.stages import drop_stages, shared_dir, stage
 
-_CHECKPOINT = "spark.checkpoint.dir"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors see, as the session names it.
-
-    Only a local session without the setting gets a folder of its own.
-    """
-    folder = spark.conf.get(_CHECKPOINT, None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_CHECKPOINT} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="surveyspark-")
-    spark.conf.set(_CHECKPOINT, folder)
-    return folder
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a table that several later steps read, and read it back.
-
-    The plan behind it is cut: a lost executor costs a re-read, not a
-    recomputation, and later steps prune columns and push filters into Parquet.
-    All tables of a run share a folder named after the application, which can
-    be removed when the run is over.
-    """
-    spark = df.sparkSession
-    run = spark.sparkContext.applicationId
-    path = f"{shared_dir(spark)}/surveyspark/{run}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
+__all__ = ["drop_stages", "load_design", "load_table", "save_designs", "save_report", "save_tables",
+           "shared_dir", "stage"]
 
 def save_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
     for name, df in tables.items():

@@ -126,11 +126,23 @@ def test_many_tables_equal_single_ones(spark):
     check(got_cells(both.filter("tab = 2")), got_cells(estimate(design, "x3", BY)))
 
 
-def test_large_type_table_takes_the_distributed_path(spark, monkeypatch):
-    from surveyspark.operators import estimate as module
+def test_a_lookup_over_the_broadcast_threshold_is_shuffled(spark):
     design, pdf, weight, f = design_of(spark, sample(), True, True, None)
-    monkeypatch.setattr(module, "SMALL_TABLE", 1)
-    check(got_cells(estimate(design, "x3", BY)), brute(pdf, "x3", "psu", weight, "h"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cells = estimate(design, "x3", BY)
+        assert "Broadcast" not in cells._jdf.queryExecution().executedPlan().toString()
+        check(got_cells(cells), brute(pdf, "x3", "psu", weight, "h"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_question_without_answers_beside_others(spark):
+    design, _, _, _ = design_of(spark, sample(), True, True, None)
+    both = estimate_many(design, [Question("x3", "false"), Question("x")], BY)
+    assert both.filter("tab = 1").count() == 0
+    check(got_cells(both.filter("tab = 2")), got_cells(estimate(design, "x", BY)))
 
 
 def test_shares_add_up_and_calibration_holds(spark):
