@@ -67,6 +67,17 @@ add("member_enriched", """
 SELECT s._index, s._parent_index, householdHead, cookingfuel, electricity, basicSanitation,
   basicDrinkingWater, basicFacilities, originAux2, hhadults, origin
 FROM s1_origin s JOIN s1_head h ON s._index = h._index""")
+add("households_from_submissions", f"""
+SELECT h._index, hhsize, hhadults, hhdisability3, hhsizecat, allNationals,
+  headHHR02, headHHR03, headHHR03cat, headHHcitizenship,
+  R02, R03, citizenship, documents, DISABILITY3, origin,
+  workingAge, labourForce, employmentStatus, basicFacilities
+FROM hh_clean h LEFT JOIN (SELECT _parent_index AS hh, {_HEAD} FROM s1_head WHERE householdHead = 1) x
+  ON h._index = x.hh""")
+add("members_from_submissions", """
+SELECT s._parent_index, s.member_no, householdHead, cookingfuel, electricity, basicSanitation,
+  basicDrinkingWater, basicFacilities, hhadults, origin
+FROM s1_origin s JOIN s1_head h ON s._index = h._index""")
 add("natural_join", """
 SELECT _index, _parent_index, R03, CASE WHEN age_rank = 1 THEN 1 END AS oldestHHM FROM head_counts""")
 add("checked_join", """
@@ -86,7 +97,7 @@ SELECT _index, {texts('R03cat', _BANDS)} AS R03cat, {texts('R03cat2', _BROAD)} A
   {texts('DISABILITY4', dm.DISABILITY_LABELS)} AS DISABILITY4,
   {texts('documents', dm.DOCUMENT_LABELS)} AS documents FROM s1_demo""")
 add("submissions_flatten", """
-SELECT l_orderkey * 1000000000 + member_no AS _index, l_orderkey AS _parent_index,
+SELECT l_orderkey AS _parent_index,
   cast(member_no AS int) AS member_no, cast(l_linenumber AS varchar) AS R02_rel, cast(l_quantity AS int) AS R03
 FROM items""")
 

@@ -18,6 +18,7 @@ from surveyspark.operators.design import (
 )
 from surveyspark.operators.estimate import Breakdown, design_total, estimate, with_limits
 from surveyspark.plans import clean, report, weight
+from surveyspark.plans.submissions import clean_from_submissions
 from surveyspark.sources import forms, standin
 from surveyspark.sources.profile import (
     HOUSEHOLD_IDENTIFIERS,
@@ -283,6 +284,36 @@ def submissions_flatten(spark, sf):
     return forms.flatten(parsed, ["S1A"])["S1A"]
 
 
+def whole_submissions(spark: SparkSession, sf: str) -> DataFrame:
+    """Every household's form with its members nested, as a form server would hand them out."""
+    members = standin.members(spark, sf).drop("_index")
+    names = [c for c in members.columns if c not in ("_parent_index", "member_no")]
+    entry = F.struct("member_no", F.struct(*names).alias("answers"))
+    rosters = members.groupBy(F.col("_parent_index").alias("_hh")).agg(
+        F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["answers"]).alias("S1A"))
+    forms_ = standin.households(spark, sf)
+    return (forms_.join(rosters, F.col("_index") == F.col("_hh"), "left").drop("_hh")
+            .withColumnRenamed("_index", "_id"))
+
+
+@query
+def households_from_submissions(spark, sf):
+    hh = clean_from_submissions(whole_submissions(spark, sf), PROFILE).hh
+    return hh.select(
+        "_index", "hhsize", "hhadults", "hhdisability3", "hhsizecat", "allNationals",
+        "headHHR02", "headHHR03", "headHHR03cat", "headHHcitizenship",
+        "R02", "R03", "citizenship", "documents", "DISABILITY3", "origin",
+        "workingAge", "labourForce", "employmentStatus", "basicFacilities")
+
+
+@query
+def members_from_submissions(spark, sf):
+    s1 = clean_from_submissions(whole_submissions(spark, sf), PROFILE).s1
+    return s1.select(
+        "_parent_index", "member_no", "householdHead", "cookingfuel", "electricity",
+        "basicSanitation", "basicDrinkingWater", "basicFacilities", "hhadults", "origin")
+
+
 # --- indicators --------------------------------------------------------------
 
 @query

@@ -1,7 +1,13 @@
-"""Member demographics: age bands, citizenship, origin, functioning, documents."""
+"""Member demographics: age bands, citizenship, origin, functioning, documents.
+
+The rules of a member's derived answers take a function that gives an answer by name.
+They serve member rows (``F.col``) and the entries of a nested roster alike.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,31 +38,54 @@ DOCUMENT_LABELS = {
 }
 
 
+# Value labels and variable labels of the derived answers.
+MEMBER_LABELS = {
+    "R03cat": (FINE_LABELS, "Fine age brackets"),
+    "R03cat2": (BROAD_LABELS, "Broad age brackets (18-59)"),
+    **{f"DISABILITY{k}": (DISABILITY_LABELS, f"Washington Group disability identifier {k}") for k in range(1, 5)},
+    "documents": (DOCUMENT_LABELS, "Valid identity documents or credentials"),
+}
+
+Get = Callable[[str], Column]
+
+
+def with_labels(c: Column, name: str, answer: str | None = None) -> Column:
+    """The column under a name, with the labels of the derived answer it holds, if that has any."""
+    texts = MEMBER_LABELS.get(answer or name)
+    return labelled(c, name, *texts) if texts else c.alias(name)
+
+
+def age_band_rules(get: Get, age: str = "R03") -> dict[str, Column]:
+    fine = cut(get(age), FINE_BOUNDS, list(FINE_LABELS))
+    broad = cut(get(age), BROAD_BOUNDS, list(BROAD_LABELS))
+    return {
+        "R03cat": with_labels(fine, "R03cat"),
+        "R03cat2": with_labels(broad, "R03cat2"),
+    }
+
+
 def age_bands(df: DataFrame, age: str = "R03") -> DataFrame:
-    fine = cut(age, FINE_BOUNDS, list(FINE_LABELS))
-    broad = cut(age, BROAD_BOUNDS, list(BROAD_LABELS))
-    return df.withColumns({
-        "R03cat": labelled(fine, "R03cat", FINE_LABELS, "Fine age brackets"),
-        "R03cat2": labelled(broad, "R03cat2", BROAD_LABELS, "Broad age brackets (18-59)"),
-    })
+    return df.withColumns(age_band_rules(F.col, age))
 
 
-def citizenship(df: DataFrame, profile: Profile) -> DataFrame:
+def citizenship_rules(get: Get, profile: Profile) -> dict[str, Column]:
     """Primary citizenship, and the origin it implies when it is known."""
-    status = F.col("REF01")
+    status = get("REF01")
     held = (
         F.when(status == "1", profile.host)
-        .when(status.isin("2", "98"), F.col("REF02").cast("string"))
+        .when(status.isin("2", "98"), get("REF02").cast("string"))
         .when(status == "99", "99")
     )
     unknown = profile.unknown_codes
     uninformative = [*unknown, profile.host]
-    from_citizenship = F.when(~in_set("citizenship", unknown), F.col("citizenship"))
+    from_citizenship = F.when(~in_set(held, unknown), held)
     from_birth = F.when(
-        in_set("citizenship", unknown) & ~in_set("REF06", uninformative),
-        F.col("REF06").cast("string"))
-    return df.withColumn("citizenship", held).withColumn(
-        "originAux", F.coalesce(from_citizenship, from_birth))
+        in_set(held, unknown) & ~in_set(get("REF06"), uninformative), get("REF06").cast("string"))
+    return {"citizenship": held, "originAux": F.coalesce(from_citizenship, from_birth)}
+
+
+def citizenship(df: DataFrame, profile: Profile) -> DataFrame:
+    return df.withColumns(citizenship_rules(F.col, profile))
 
 
 def functioning_flags(df: DataFrame) -> DataFrame:
@@ -68,19 +97,16 @@ def functioning_flags(df: DataFrame) -> DataFrame:
     return df.withColumns(flags)
 
 
-def disability(df: DataFrame) -> DataFrame:
+def disability_rules(get: Get) -> dict[str, Column]:
     """Counts of affected domains and the four disability identifiers.
 
     Identifiers 1 to 3 read a missing answer as "not affected"; identifier 4
     compares directly and so stays missing where the answers do not decide it.
     """
-    df = df.withColumns({
-        "disSum234": count_in(FUNCTIONING, SOME_DIFFICULTY),
-        "disSum34": count_in(FUNCTIONING, SEVERE_DIFFICULTY),
-    })
-    some, severe = F.col("disSum234"), F.col("disSum34")
-    undisclosed = all_in(FUNCTIONING, NO_ANSWER)
-    unable = any_equal(FUNCTIONING, CANNOT_DO)
+    answers = [get(q) for q in FUNCTIONING]
+    some, severe = count_in(answers, SOME_DIFFICULTY), count_in(answers, SEVERE_DIFFICULTY)
+    undisclosed = all_in(answers, NO_ANSWER)
+    unable = any_equal(answers, CANNOT_DO)
 
     def counted(hit: Column) -> Column:
         return F.when(hit, 1).when(undisclosed, 98).otherwise(0)
@@ -91,22 +117,24 @@ def disability(df: DataFrame) -> DataFrame:
         "DISABILITY3": counted(severe >= 1),
         "DISABILITY4": F.when(undisclosed, 98).otherwise(unable.cast("int")),
     }
-    return df.withColumns({
-        name: labelled(rule, name, DISABILITY_LABELS,
-                       f"Washington Group disability identifier {name[-1]}")
-        for name, rule in rules.items()
-    })
+    return {"disSum234": some, "disSum34": severe, **{
+        name: with_labels(rule, name) for name, rule in rules.items()}}
 
 
-def documents(df: DataFrame, age: str = "R03") -> DataFrame:
+def disability(df: DataFrame) -> DataFrame:
+    return df.withColumns(disability_rules(F.col))
+
+
+def document_rules(get: Get, age: str = "R03") -> dict[str, Column]:
     """Any valid identity document, by the question set of the age group."""
-    older = any_equal(DOCUMENTS_FROM_5, "1").cast("int")
-    younger = any_equal(DOCUMENTS_BELOW_5, "1").cast("int")
-    df = df.withColumns({"doc5plus": older, "doc04": younger})
-    rule = F.when(F.col(age) < 5, F.col("doc04")).when(F.col(age) >= 5, F.col("doc5plus"))
-    return df.withColumn(
-        "documents",
-        labelled(rule, "documents", DOCUMENT_LABELS, "Valid identity documents or credentials"))
+    older = any_equal([get(q) for q in DOCUMENTS_FROM_5], "1").cast("int")
+    younger = any_equal([get(q) for q in DOCUMENTS_BELOW_5], "1").cast("int")
+    rule = F.when(get(age) < 5, younger).when(get(age) >= 5, older)
+    return {"doc5plus": older, "doc04": younger, "documents": with_labels(rule, "documents")}
+
+
+def documents(df: DataFrame, age: str = "R03") -> DataFrame:
+    return df.withColumns(document_rules(F.col, age))
 
 
 def impute_origin(df: DataFrame, profile: Profile) -> DataFrame:

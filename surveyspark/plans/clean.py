@@ -66,7 +66,11 @@ def enrich_households(base: DataFrame, members: DataFrame, profile: Profile,
                       columns: Sequence[str] = MEMBER_TO_HOUSEHOLD) -> DataFrame:
     """Households with the respondent's attributes, labour force and origin."""
     have = [c for c in columns if c in members.columns]
-    linked = linkage.link_respondent(base, members, have)
+    return with_respondent(linkage.link_respondent(base, members, have), profile)
+
+
+def with_respondent(linked: DataFrame, profile: Profile) -> DataFrame:
+    """Labour force and origin of households beside their respondent's answers."""
     labour = indicators.labour_force(indicators.working_age(linked, profile))
     with_origin = demographics.impute_origin(labour, profile)
     # without a respondent the household's origin must not stand in

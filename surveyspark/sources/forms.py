@@ -8,9 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: most entries of one repeat group; far above what a single record can hold
-INDEX_STRIDE = 1_000_000_000
-
 
 def read_submissions(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Landed JSON export, one submission per line, with a declared schema."""
@@ -25,19 +22,12 @@ def main_table(submissions: DataFrame, groups: Sequence[str], key: str = "_id")
 def repeat_table(submissions: DataFrame, group: str, key: str = "_id") -> DataFrame:
     """One row per entry of a repeat group, linked to its submission.
 
-    ``_parent_index`` is the submission key, ``_index`` that key times a
-    stride plus the position; a longer group raises.
+    An entry's key has two columns: ``_parent_index``, the submission's key as it is,
+    and ``member_no``, the position in the group. No key is computed, so none overflows.
     """
-    fits = F.when(
-        F.size(group) >= INDEX_STRIDE,
-        F.raise_error(F.lit("repeat group longer than the index stride")).cast("boolean"),
-    ).otherwise(F.lit(True))
-    entries = submissions.filter(fits).select(
+    entries = submissions.select(
         F.col(key).alias("_parent_index"), F.posexplode(group).alias("_pos", "_entry"))
-    place = F.col("_pos") + 1
-    return entries.select(
-        (F.col("_parent_index") * INDEX_STRIDE + place).alias("_index"),
-        "_parent_index", place.alias("member_no"), "_entry.*")
+    return entries.select("_parent_index", (F.col("_pos") + 1).alias("member_no"), "_entry.*")
 
 
 def flatten(submissions: DataFrame, groups: Sequence[str], key: str = "_id") -> dict[str, DataFrame]:
