@@ -91,11 +91,14 @@ SELECT _index, _parent_index, member_no, R02, R03, R02_rel, REF01, REF02, REF06,
   DIS01, DIS02, DIS03, DIS04, DIS05, DIS06 FROM s1_raw""")
 _BANDS = {i: t for i, t in enumerate(FINE, start=1)}
 _BROAD = {i: t for i, t in enumerate(BROAD, start=1)}
+_NONE = "CASE {0} WHEN '77' THEN 'Stateless' WHEN '98' THEN 'Don''t know' WHEN '99' THEN 'No answer' ELSE {0} END"
 add("decoded_labels", f"""
 SELECT _index, {texts('R03cat', _BANDS)} AS R03cat, {texts('R03cat2', _BROAD)} AS R03cat2,
   {texts('DISABILITY1', dm.DISABILITY_LABELS)} AS DISABILITY1,
   {texts('DISABILITY4', dm.DISABILITY_LABELS)} AS DISABILITY4,
-  {texts('documents', dm.DOCUMENT_LABELS)} AS documents FROM s1_demo""")
+  {texts('documents', dm.DOCUMENT_LABELS)} AS documents,
+  coalesce(c.name, {_NONE.format('citizenship')}) AS citizenship, coalesce(o.name, {_NONE.format('origin')}) AS origin
+FROM s1_origin LEFT JOIN countries c ON citizenship = c.iso3 LEFT JOIN countries o ON origin = o.iso3""")
 add("submissions_flatten", """
 SELECT l_orderkey AS _parent_index,
   cast(member_no AS int) AS member_no, cast(l_linenumber AS varchar) AS R02_rel, cast(l_quantity AS int) AS R03
@@ -203,6 +206,25 @@ _SUMMARY = """SELECT '{0}' AS variable, count(*) AS n_rows, count(*) - count({0}
 add("column_summary", " UNION ALL ".join([
     _SUMMARY.format("R03", "s1_keys"), _SUMMARY.format("member_no", "s1_keys"),
     _SUMMARY.format("DWA03", "hh_ind")]))
+_AMOUNTS = """SELECT '{0}' AS variable, count(*) AS n_rows, count(*) - count({0}) AS n_missing, min({0})::double AS min,
+  round(quantile_cont({0}::double, 0.25), 6) AS q1, round(quantile_cont({0}::double, 0.5), 6) AS median,
+  round(quantile_cont({0}::double, 0.75), 6) AS q3, max({0})::double AS max, round(avg({0}::double), 6) AS mean FROM {1}"""
+add("quantity_summary", " UNION ALL ".join([
+    _AMOUNTS.format("l_extendedprice", "lineitem"), _AMOUNTS.format("l_quantity", "lineitem"),
+    _AMOUNTS.format("o_totalprice", "orders")]))
+_SHARED = ", ".join(
+    f"round(sum(w) FILTER ({hit}) / any_value({name}_all), 6) AS {column}" for hit, name, column in (
+        ("true", "t", '"Total"'), ("age = 'Child'", "c", '"Child"'), ("age = 'Adult'", "a", '"Adult"'),
+        ("age = 'Unknown'", "u", "unknown_age"), ("DISABILITY3 = 98", "d", "unknown_disability")))
+add("table_with_shared_levels", f"""
+SELECT documents + 1 AS row_no, {texts('documents', dm.DOCUMENT_LABELS)} AS "Answers", round(sum(w), 4) AS n, {_SHARED}
+FROM (SELECT *, sum(w) OVER () AS t_all, sum(w) FILTER (age = 'Child') OVER () AS c_all,
+    sum(w) FILTER (age = 'Adult') OVER () AS a_all, sum(w) FILTER (age = 'Unknown') OVER () AS u_all,
+    sum(w) FILTER (DISABILITY3 = 98) OVER () AS d_all
+  FROM (SELECT documents, weight_ps AS w, DISABILITY3,
+      CASE WHEN R03 < 18 THEN 'Child' WHEN R03 >= 60 THEN 'Unknown' ELSE 'Adult' END AS age
+    FROM member_ps WHERE documents IS NOT NULL))
+GROUP BY documents""")
 add("join_fanout", """
 SELECT _parent_index, R02, R03, count(*) AS n FROM s1_keys
 GROUP BY _parent_index, R02, R03 HAVING count(*) > 1""")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyspark.functions.labels import decode
+from surveyspark.functions.labels import decode, decode_from
 from surveyspark.functions.reshape import any_of
 from surveyspark.operators import demographics, household, indicators, linkage, margins, quality
 from surveyspark.operators.design import (
@@ -254,9 +254,10 @@ def deidentified_members(spark, sf):
 
 @query
 def decoded_labels(spark, sf):
-    members = standin.members(spark, sf, questions=[*FUNCTIONING, *DOCUMENTS], origins=False)
-    out = demographics.documents(demographics.disability(demographics.age_bands(members)))
-    return decode(out).select("_index", "R03cat", "R03cat2", "DISABILITY1", "DISABILITY4", "documents")
+    shown = ["R03cat", "R03cat2", "DISABILITY1", "DISABILITY4", "documents"]
+    out = decode(members_with_origin(spark, sf, *shown)).select("_index", *shown, "citizenship", "origin")
+    return decode_from(out, ["citizenship", "origin"], standin.countries(spark, sf), "iso3", "name",
+                       demographics.NO_COUNTRY_LABELS)
 
 
 def submissions(spark: SparkSession, sf: str) -> DataFrame:
@@ -365,7 +366,7 @@ def margin_by_origin(spark, sf):
 @query
 def margin_adults_by_origin(spark, sf):
     dem = margins.in_scope(standin.population(spark, sf), PROFILE)
-    return margins.cells_by_origin(dem, PROFILE, margins.ADULT_CELLS)
+    return margins.cells_by_origin(dem, PROFILE, margins.ADULT_CELLS).orderBy(F.col("totalEndYear").desc(), "origin_iso3")
 
 
 @query
@@ -377,7 +378,7 @@ def margin_adult_shares(spark, sf):
 @query
 def margin_member_shares(spark, sf):
     out = margins.member_counts(origins(spark, sf)).drop(*margins.CELLS)
-    return rounded(out, 9, *[c for c in out.columns if c.startswith("perc")])
+    return rounded(out, 9, *[c for c in out.columns if c.startswith("perc")]).orderBy(F.col("n").desc(), "origin_iso3")
 
 
 @query
@@ -428,7 +429,7 @@ def origin_sex_wide(spark, sf):
 @query
 def sex_share_within_origin(spark, sf):
     out = margins.respondents_by_origin_sex(households_clean(spark, sf), PROFILE)
-    return rounded(out, 9, "percFemale", "percMale")
+    return rounded(out, 9, "percFemale", "percMale").orderBy(F.col("n").desc(), "origin")
 
 
 @query
@@ -451,7 +452,7 @@ def origin_distribution(spark, sf):
         for source, df, column in (
             ("respondents", hh, "origin"), ("members", s1, "origin"), ("households", base, "allNationals"))
     ]
-    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+    return tables[0].unionByName(tables[1]).unionByName(tables[2]).orderBy("source", F.col("n").desc(), "value")
 
 
 # --- tables and checks -------------------------------------------------------
@@ -511,6 +512,31 @@ def column_summary(spark, sf):
             quality.column_summary(water, ["DWA03"])), 9, "mean")
 
 
+@query
+def quantity_summary(spark, sf):
+    """Five-number summary of amounts, of which nearly every one is a value of its own."""
+    amounts = standin.table(spark, sf, "lineitem").select("l_extendedprice", "l_quantity")
+    orders = standin.table(spark, sf, "orders").select("o_totalprice")
+    return rounded(quality.column_summary(amounts, ["l_extendedprice", "l_quantity"]).unionByName(
+        quality.column_summary(orders, ["o_totalprice"])), 6, "mean", "q1", "median", "q3")
+
+
+@query
+def table_with_shared_levels(spark, sf):
+    """Documents by disability and by age known, two breakdowns that both have a level "Unknown"."""
+    design = member_design_ps(spark, sf, *MEMBER_COLUMNS)
+    known = F.when(F.col("R03cat").isin("0-4", "5-11", "12-17"), "Child").when(
+        F.col("R03cat") == "60+", "Unknown").otherwise("Adult")
+    design = design.with_columns({"ageKnown": known})
+    by = [Breakdown("DISABILITY3", (*report.DISABILITY_LEVELS, "Unknown")),
+          Breakdown("ageKnown", ("Child", "Adult", "Unknown"))]
+    table = report.indicator_table(design, "documents", by, "Core outcome 1.3", "Household member")
+    shown = table.select("row_no", "Answers", "n", "Total", "Child", "Adult", F.col("Unknown (ageKnown)").alias("unknown_age"),
+                         F.col("Unknown (DISABILITY3)").alias("unknown_disability"))
+    return rounded(shown.filter(F.col("row_no") < report.BASE_ROW), 4, "n").transform(
+        lambda df: rounded(df, 6, "Total", "Child", "Adult", "unknown_age", "unknown_disability"))
+
+
 @query
 def join_fanout(spark, sf):
     members = standin.members(spark, sf, questions=(), origins=False)
@@ -539,7 +565,7 @@ def sample_by_stratum(spark, sf):
     binned = demographics.age_group(demographics.collapse_origin(located, PROFILE))
     keyed = demographics.member_stratum(binned)
     kept = household.not_host_or_blank(keyed, PROFILE)
-    return quality.frequency(kept, "originAgeSex_ps")
+    return quality.frequency(kept, "originAgeSex_ps").orderBy(F.col("n").desc(), "originAgeSex_ps")
 
 
 # --- designs and estimates ---------------------------------------------------

@@ -20,7 +20,7 @@ def _answer(key: str, salt: int, codes: str, name: str) -> str:
 
 _HH_ANSWERS = ",\n  ".join(
     _answer("o_orderkey", i, c, n) for i, (n, c) in enumerate(HOUSEHOLD_ANSWERS.items(), start=1))
-_S1_ANSWERS = ",\n  ".join(
+_S1_GIVEN = ",\n  ".join(
     _answer("_index", i, c, n) for i, (n, c) in enumerate(MEMBER_ANSWERS.items(), start=101))
 
 _DIS = [f"DIS0{i}" for i in range(1, 7)]
@@ -72,17 +72,19 @@ SELECT l_orderkey * 1000000000 + member_no AS _index, l_orderkey AS _parent_inde
   CASE WHEN l_linestatus = 'F' THEN 'Female' ELSE 'Male' END AS R02,
   CASE WHEN l_partkey % 97 <> 0 THEN cast(l_quantity AS int) * 2 - 2 + l_linenumber % 2 END AS R03,
   CASE WHEN l_partkey % 193 = 0 THEN NULL WHEN l_linenumber = 1 THEN '1' ELSE '2' END AS R02_rel,
-  CASE WHEN sn.n_name = 'NATION_8' THEN '1' WHEN l_partkey % 41 = 0 THEN '99'
+  l_partkey % 211 = 0 AS silent,
+  CASE WHEN l_orderkey % 307 = 0 THEN '99' WHEN sn.n_name = 'NATION_8' THEN '1' WHEN l_partkey % 41 = 0 THEN '99'
     WHEN l_partkey % 43 = 0 THEN '98' ELSE '2' END AS REF01,
   CASE WHEN l_partkey % 47 = 0 THEN '77' ELSE sn.n_name END AS REF02,
-  CASE WHEN l_partkey % 53 = 0 THEN '98' WHEN l_partkey % 59 = 0 THEN NULL ELSE cn.n_name END AS REF06
+  CASE WHEN l_orderkey % 307 = 0 THEN NULL WHEN l_partkey % 53 = 0 THEN '98' WHEN l_partkey % 59 = 0 THEN NULL ELSE cn.n_name END AS REF06
 FROM items LEFT JOIN orders ON l_orderkey = o_orderkey
 LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation cn ON c_nationkey = cn.n_nationkey
 LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation sn ON s_nationkey = sn.n_nationkey""",
     "s1_raw": f"""
-SELECT *,
-  {_S1_ANSWERS}
-FROM s1_keys""",
+SELECT * EXCLUDE (silent) REPLACE ({", ".join(f"CASE WHEN silent THEN '98' ELSE {d} END AS {d}" for d in _DIS)})
+FROM (SELECT *,
+  {_S1_GIVEN}
+FROM s1_keys)""",
     "s1_flags": f"""
 SELECT *, ({_SOME}) AS disSum234, ({_SEVERE}) AS disSum34, ({_REFUSED}) AS refused,
   ({_UNABLE}) AS unable, ({_DOC5})::int AS doc5plus, ({_DOC04})::int AS doc04,
@@ -179,7 +181,7 @@ SELECT s.*, cookingfuel, electricity, basicSanitation, basicDrinkingWater, basic
   coalesce(originAux, originAux2, CASE WHEN REF06 = 'NATION_8' THEN citizenship ELSE REF06 END) AS origin
 FROM s1_demo s LEFT JOIN hh_base b ON s._parent_index = b._index""",
     "countries": """
-SELECT n_name AS iso3, r_name AS hcr_region FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""",
+SELECT n_name AS iso3, r_name AS hcr_region, 'Country ' || n_nationkey AS name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""",
     "hh_linked": """
 SELECT b.*, s._index AS respondent, s.R02, s.R03, s.R02_rel, s.R03cat, s.R03cat2, s.citizenship,
   s.REF06, s.documents, s.DISABILITY3, s.origin,

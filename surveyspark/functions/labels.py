@@ -69,3 +69,24 @@ def decode(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
         meta = {"label": field.metadata.get("label", ""), "texts": texts}
         out.append(F.expr(f"CASE {code} {whens} ELSE {code} END").alias(field.name, metadata=meta))
     return df.select(*out)
+
+
+def decode_from(df: DataFrame, names: Sequence[str], table: DataFrame, code: str, text: str,
+                extra: Mapping[str, str] | None = None) -> DataFrame:
+    """Replace codes by texts of a label table, for columns with too many codes to spell out.
+
+    ``extra`` adds texts of codes that stand for no entry. A code without a text is kept as
+    it is; of several texts of a code the first in order counts. Each column is one join,
+    which the planner broadcasts when the table's bytes allow. Labels of the columns stay.
+    """
+    lookup = table.groupBy(F.col(code).cast("string").alias("_code")).agg(F.min(text).alias("_text"))
+    out = df
+    for name in names:
+        value = F.col(f"`{name}`").cast("string")
+        fixed = F.lit(None).cast("string")
+        for c, t in (extra or {}).items():
+            fixed = F.when(value == c, t).otherwise(fixed)
+        meta = {"label": df.schema[name].metadata.get("label", "")}
+        out = (out.join(lookup, value == F.col("_code"), "left")
+               .withColumn(name, F.coalesce("_text", fixed, value).alias(name, metadata=meta)).drop("_code", "_text"))
+    return out.select(*[f"`{c}`" for c in df.columns])

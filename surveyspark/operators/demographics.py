@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from surveyspark.functions.labels import labelled
+from surveyspark.functions.labels import labelled, variable_label
 from surveyspark.functions.nulls import all_in, any_equal, count_in, cut, in_set, unite
 from surveyspark.sources.profile import Profile
 
@@ -21,6 +21,9 @@ FINE_LABELS = {1: "0-4", 2: "5-11", 3: "12-17", 4: "18-24", 5: "25-49", 6: "50-5
 BROAD_BOUNDS = (-1, 4, 11, 17, 59)
 BROAD_LABELS = {1: "0-4", 2: "5-11", 3: "12-17", 4: "18-59", 5: "60+"}
 
+# Texts of the codes that stand for no country.
+NO_COUNTRY_LABELS = {"77": "Stateless", "98": "Don't know", "99": "No answer"}
+
 # The six functioning questions and their answer codes.
 FUNCTIONING = ("DIS01", "DIS02", "DIS03", "DIS04", "DIS05", "DIS06")
 SOME_DIFFICULTY = ("2", "3", "4")
@@ -85,7 +88,9 @@ def citizenship_rules(get: Get, profile: Profile) -> dict[str, Column]:
 
 
 def citizenship(df: DataFrame, profile: Profile) -> DataFrame:
-    return df.withColumns(citizenship_rules(F.col, profile))
+    rules = citizenship_rules(F.col, profile)
+    label = variable_label(df, "REF02") or "Country of citizenship"
+    return df.withColumns({**rules, "citizenship": labelled(rules["citizenship"], "citizenship", None, label)})
 
 
 def functioning_flags(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from surveyspark.functions.nulls import ratio
 from surveyspark.functions.reshape import stack_tables
+from surveyspark.sources.stages import stage
 
 
 def share_of_total(counted: DataFrame, value: str, name: str = "perc") -> DataFrame:
@@ -52,24 +53,52 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_duplicated"))
 
 
+#: fixed values: the points of a five-number summary
+POINTS = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
+
+
 def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows, missing values, five-number summary and mean of number columns.
 
-    Values are counted first, so the quantile state holds one entry per
-    distinct value (ages, sizes, counts) and not one per row.
+    Exact, for any number of distinct values: counts of values are sorted over all
+    tasks by range and written; the sums of the ranges tell which of them hold the
+    wanted ranks, and only those are numbered. A point between two ranks is
+    interpolated. A column without a value has only its counts.
     """
-    out = []
-    for c in columns:
-        counted = df.groupBy(F.col(c).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        known = F.when(F.col("v").isNotNull(), F.col("n"))
-        marks = F.percentile("v", F.array(*[F.lit(q) for q in (0.0, 0.25, 0.5, 0.75, 1.0)]), F.col("n"))
-        row = counted.agg(
-            F.sum("n").alias("n_rows"),
-            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("n_missing"),
-            marks.alias("q"),
-            ratio(F.sum(F.col("v") * F.col("n")), F.sum(known)).alias("mean"))
-        out.append(row.select(
-            F.lit(c).alias("variable"), "n_rows", "n_missing",
-            *[F.col("q")[i].alias(name) for i, name in enumerate(("min", "q1", "median", "q3", "max"))],
-            "mean"))
-    return stack_tables(out)
+    counted = stack_tables([
+        df.groupBy(F.col(c).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(no).alias("no"), "v", "n") for no, c in enumerate(columns)])
+    ranges = stage(
+        counted.repartitionByRange("no", "v").sortWithinPartitions("no", "v")
+        .withColumn("part", F.spark_partition_id()), "values")
+    totals = ranges.groupBy("no").agg(
+        F.sum("n").alias("n_rows"), F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("n_missing"),
+        F.sum(F.col("v") * F.col("n")).alias("_sum"))
+    values = ranges.filter("v is not null")
+
+    parts = values.groupBy("no", "part").agg(F.sum("n").alias("size"))
+    before = Window.partitionBy("no").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    known = F.col("n_rows") - F.col("n_missing")
+    place = F.explode(F.array(*[F.struct(F.lit(name).alias("point"), (q * (known - 1)).alias("at"))
+                                for name, q in POINTS.items()]))
+    points = totals.filter(known > 0).select("no", place.alias("p")).select(
+        "no", "p.point", "p.at", F.explode(F.array_distinct(F.array(
+            F.floor("p.at"), F.ceil("p.at")))).alias("rank"))
+    held = points.join(parts, "no").filter("start <= rank and rank < start + size")
+
+    inside = Window.partitionBy("no", "part").orderBy("v")
+    needed = values.join(held.select("no", "part", "start").distinct(), ["no", "part"])
+    numbered = needed.withColumn("end", F.col("start") + F.sum("n").over(inside)).withColumn(
+        "begin", F.col("end") - F.col("n"))
+    found = held.drop("start", "size").join(numbered.drop("start"), ["no", "part"]).filter(
+        "begin <= rank and rank < end")
+    share = F.when(F.floor("at") == F.ceil("at"), 1.0).when(
+        F.col("rank") == F.floor("at"), F.ceil("at") - F.col("at")).otherwise(F.col("at") - F.floor("at"))
+    marks = found.groupBy("no", "point").agg(F.sum(F.col("v") * share).alias("mark"))
+    wide = marks.groupBy("no").agg(*[
+        F.max(F.when(F.col("point") == name, F.col("mark"))).alias(name) for name in POINTS])
+    names = F.array(*[F.lit(c) for c in columns])
+    return totals.join(wide, "no", "left").select(
+        F.element_at(names, F.col("no") + 1).alias("variable"), "n_rows", "n_missing", *POINTS,
+        ratio(F.col("_sum"), known).alias("mean"))

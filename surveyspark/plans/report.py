@@ -78,6 +78,24 @@ REPORT_COLUMNS = tuple(dict.fromkeys(
     + ["workingAge"]))
 
 
+def level_columns(by: Sequence[Breakdown]) -> dict[tuple[str, str], str]:
+    """Column of every level; a text that several breakdowns share is told apart by the breakdown."""
+    texts = [level for b in by for level in b.levels]
+    return {(b.column, level): level if texts.count(level) == 1 else f"{level} ({b.column})"
+            for b in by for level in b.levels}
+
+
+def with_level_columns(cells: DataFrame, by: Sequence[Breakdown]) -> DataFrame:
+    """Cells whose ``level`` is the column they go to."""
+    shared = {key: name for key, name in level_columns(by).items() if name != key[1]}
+    if not shared:
+        return cells
+    renamed = F.col("level")
+    for (column, level), name in shared.items():
+        renamed = F.when((F.col("breakdown") == column) & (F.col("level") == level), name).otherwise(renamed)
+    return cells.withColumn("level", renamed)
+
+
 def column_names(levels: Sequence[str]) -> list[str]:
     """Value columns of a table: share and limits, in total and per level."""
     names = ["Total", "low", "upp"]
@@ -143,7 +161,8 @@ def indicator_tables(design: SurveyDesign, specs: Sequence[TableSpec],
                      by: Sequence[Breakdown]) -> DataFrame:
     """All tables of one design; ``tab`` numbers them, ``row_no`` their rows."""
     cells = with_limits(estimate_many(design, [Question(s.x, s.domain) for s in specs], by))
-    levels = [level for b in by for level in b.levels]
+    cells = with_level_columns(cells, by)
+    levels = list(level_columns(by).values())
     questions = [variable_label(design.df, s.x) for s in specs]
     return with_header(wide_tables(cells, levels), specs, questions)
 
@@ -180,7 +199,8 @@ def joined_table(design: SurveyDesign, x: str, by: Sequence[Breakdown],
     Each block is pivoted on its own, with ``%_`` in front of the level, and
     left-joined to the totals on the answer; the mark is stripped at the end.
     """
-    cells = with_limits(estimate_many(design, [Question(x)], by))
+    cells = with_level_columns(with_limits(estimate_many(design, [Question(x)], by)), by)
+    columns = level_columns(by)
     total = cells.filter(F.col("breakdown") == TOTAL).select(
         "answer_no", "answer", "n", F.col("p").alias("%"),
         F.col("low").alias("%_low"), F.col("upp").alias("%_upp"))
@@ -188,15 +208,16 @@ def joined_table(design: SurveyDesign, x: str, by: Sequence[Breakdown],
     table, names = total, []
     for b in by:
         block = wider(
-            cells.filter(F.col("breakdown") == b.column), ["answer"], "level", b.levels, patterns)
-        names += [p.format(level) for level in b.levels for p in patterns]
+            cells.filter(F.col("breakdown") == b.column), ["answer"], "level",
+            [columns[b.column, level] for level in b.levels], patterns)
+        names += [p.format(columns[b.column, level]) for level in b.levels for p in patterns]
         table = table.join(block, "answer", "left")
     table = table.select(
         F.col("answer_no").alias("row_no"), F.col("answer").alias("Answers"), "n",
         F.col("`%`").alias("Total"), F.col("`%_low`"), F.col("`%_upp`"),
         *[F.col(f"`{c}`") for c in any_of(table, names)])
     table = strip_from_names(table, "%_").withColumn("tab", F.lit(1))
-    levels = [level for b in by for level in b.levels]
+    levels = list(columns.values())
     bases = wide_tables(cells, levels).filter(F.col("row_no") > BASE_ROW)
     rows = stack_tables([table, bases.select(*any_of(bases, table.columns))])
     spec = TableSpec(x, "", unit, indicator)

@@ -209,28 +209,31 @@ def members(
         )
         born = F.col("buyer_nation")
         held = F.col("seller_nation")
+        unknown = F.col("l_orderkey") % 307 == 0  # nobody of the household says where they are from
         keep["REF01"] = (
-            F.when(held == PROFILE.host, "1").when(part % 41 == 0, "99")
+            F.when(unknown, "99").when(held == PROFILE.host, "1").when(part % 41 == 0, "99")
             .when(part % 43 == 0, "98").otherwise("2")
         )
         keep["REF02"] = F.when(part % 47 == 0, "77").otherwise(held)
-        keep["REF06"] = F.when(part % 53 == 0, "98").when(part % 59 == 0, None).otherwise(born)
-    out = items.select(*[c.alias(n) for n, c in keep.items()])
+        keep["REF06"] = F.when(unknown, None).when(part % 53 == 0, "98").when(part % 59 == 0, None).otherwise(born)
+    silent = F.coalesce(part % 211 == 0, F.lit(False))  # refuses all questions on functioning
+    out = items.select(*[c.alias(n) for n, c in keep.items()], silent.alias("_silent"))
     wanted = MEMBER_ANSWERS if questions is None else set(questions)
     answers = [
-        answer("_index", salt, codes).alias(name)
-        for salt, (name, codes) in enumerate(MEMBER_ANSWERS.items(), start=101)
+        (F.when(F.col("_silent"), "98").otherwise(given) if name.startswith("DIS") else given).alias(name)
+        for name, given in ((n, answer("_index", salt, codes))
+                            for salt, (n, codes) in enumerate(MEMBER_ANSWERS.items(), start=101))
         if name in wanted
     ]
-    return out.select("*", *answers)
+    return out.select("*", *answers).drop("_silent")
 
 
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
-        F.col("n_name").alias("iso3"), F.col("r_name").alias("hcr_region")
-    )
+        F.col("n_name").alias("iso3"), F.col("r_name").alias("hcr_region"),
+        F.concat(F.lit("Country "), F.col("n_nationkey").cast("string")).alias("name"))
 
 
 def population(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,16 @@ def test_decode_keeps_unlabelled_codes(spark):
     assert L.level_order(out, "v") == ["No", "It's \\ yes"]
 
 
+def test_decode_from_a_table(spark):
+    table = spark.createDataFrame([("IRN", "Iran"), ("IRN", "Islamic Republic"), ("UKR", "Ukraine")], "iso string, name string")
+    df = spark.createDataFrame([("IRN", "UKR", 1), ("XX", None, 2), ("99", "IRN", 3)], "a string, b string, name int")
+    df = df.select(L.labelled(F.col("a"), "a", None, "Origin"), "b", "name")
+    out = L.decode_from(df, ["a", "b"], table, "iso", "name", {"99": "Unknown"})
+    assert out.columns == df.columns and L.variable_label(out, "a") == "Origin"
+    assert sorted(map(tuple, out.collect()), key=lambda r: r[2]) == [
+        ("Iran", "Ukraine", 1), ("XX", None, 2), ("Unknown", "Iran", 3)]
+
+
 def test_attach(spark):
     df = L.attach(spark.range(2).withColumn("x", F.lit(1)), "id", {0: "zero"}, "Id")
     assert df.columns == ["id", "x"] and L.value_labels(df, "id") == {"0": "zero"}
