@@ -52,9 +52,9 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 # --- shared inputs -----------------------------------------------------------
 
-def derived(spark: SparkSession, sf: str) -> DataFrame:
+def derived(spark: SparkSession, sf: str, items: DataFrame | None = None) -> DataFrame:
     """Derived member columns without the raw answers behind them."""
-    members = clean.derive_members(standin.members(spark, sf), PROFILE)
+    members = clean.derive_members(standin.members(spark, sf, items=items), PROFILE)
     return members.drop("R01", *FUNCTIONING, *DOCUMENTS)
 
 
@@ -63,9 +63,17 @@ def member_origin(spark: SparkSession, sf: str) -> DataFrame:
     return demographics.citizenship(standin.members(spark, sf, questions=()), PROFILE)
 
 
+def respondents(spark: SparkSession, sf: str) -> DataFrame:
+    """Household forms beside the respondent's age."""
+    items = standin.roster(spark, sf)
+    members = standin.members(spark, sf, questions=(), origins=False, items=items)
+    return linkage.link_respondent(standin.households(spark, sf, items=items), members, ["R03"])
+
+
 def base_and_members(spark: SparkSession, sf: str, missing: str = "strict") -> tuple[DataFrame, DataFrame]:
-    members = stage(derived(spark, sf), "members")
-    base = clean.household_base(standin.households(spark, sf), members, PROFILE, missing=missing)
+    items = standin.roster(spark, sf)
+    members = stage(derived(spark, sf, items), "members")
+    base = clean.household_base(standin.households(spark, sf, items=items), members, PROFILE, missing=missing)
     return base, members
 
 
@@ -178,7 +186,7 @@ def region_lookup(spark, sf):
 
 def two_roster_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
     """The roster as two repeat groups that share only name and age."""
-    members = standin.members(spark, sf, questions=FUNCTIONING, origins=False)
+    members = standin.members(spark, sf, questions=FUNCTIONING, origins=False, items=standin.roster(spark, sf))
     part_a = members.select("_index", "_parent_index", "member_no", "R01", "R02", "R03")
     part_b = members.select(
         "_parent_index", F.col("R01").alias("name_individual"), F.col("R03").alias("ind_age_year"),
@@ -196,8 +204,9 @@ def roster_merge(spark, sf):
 
 @query
 def respondent_attributes(spark, sf):
-    members = standin.members(spark, sf, questions=(), origins=False)
-    forms_ = standin.households(spark, sf).select("_index", "selected_adult")
+    items = standin.roster(spark, sf)
+    members = standin.members(spark, sf, questions=(), origins=False, items=items)
+    forms_ = standin.households(spark, sf, items=items).select("_index", "selected_adult")
     linked = linkage.link_respondent(forms_, members, ["R02", "R02_rel", "R03"])
     return linked.withColumn("indid", linkage.respondent_key("_index", "selected_adult")).drop("_found")
 
@@ -287,12 +296,13 @@ def submissions_flatten(spark, sf):
 
 def whole_submissions(spark: SparkSession, sf: str) -> DataFrame:
     """Every household's form with its members nested, as a form server would hand them out."""
-    members = standin.members(spark, sf).drop("_index")
+    items = standin.roster(spark, sf)
+    members = standin.members(spark, sf, items=items).drop("_index")
     names = [c for c in members.columns if c not in ("_parent_index", "member_no")]
     entry = F.struct("member_no", F.struct(*names).alias("answers"))
     rosters = members.groupBy(F.col("_parent_index").alias("_hh")).agg(
         F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["answers"]).alias("S1A"))
-    forms_ = standin.households(spark, sf)
+    forms_ = standin.households(spark, sf, items=items)
     return (forms_.join(rosters, F.col("_index") == F.col("_hh"), "left").drop("_hh")
             .withColumnRenamed("_index", "_id"))
 
@@ -325,8 +335,7 @@ def documents(spark, sf):
 
 @query
 def labour_force(spark, sf):
-    members = standin.members(spark, sf, questions=(), origins=False)
-    linked = linkage.link_respondent(standin.households(spark, sf), members, ["R03"])
+    linked = respondents(spark, sf)
     out = indicators.labour_force(indicators.working_age(linked, PROFILE))
     return out.select("_index", "workingAge", "employed", "unemployed", "labourForce", "employmentStatus")
 
@@ -415,8 +424,7 @@ def adult_sample_by_stratum(spark, sf):
 @query
 def eligible_age_range(spark, sf):
     """Youngest and oldest respondent."""
-    members = standin.members(spark, sf, questions=(), origins=False)
-    linked = linkage.link_respondent(standin.households(spark, sf), members, ["R03"])
+    linked = respondents(spark, sf)
     return linked.agg(F.min("R03").alias("youngest"), F.max("R03").alias("oldest"))
 
 
@@ -465,8 +473,7 @@ def freq_table(spark, sf):
 
 @query
 def crosstab(spark, sf):
-    members = standin.members(spark, sf, questions=(), origins=False)
-    linked = linkage.link_respondent(standin.households(spark, sf), members, ["R03"])
+    linked = respondents(spark, sf)
     out = indicators.labour_force(indicators.working_age(linked, PROFILE))
     return quality.crosstab(out, "labourForce", "employed")
 
@@ -474,8 +481,7 @@ def crosstab(spark, sf):
 @query
 def labour_crosstabs(spark, sf):
     """Labour force by unemployed, and employed by unemployed, in one long table."""
-    members = standin.members(spark, sf, questions=(), origins=False)
-    linked = linkage.link_respondent(standin.households(spark, sf), members, ["R03"])
+    linked = respondents(spark, sf)
     out = indicators.labour_force(indicators.working_age(linked, PROFILE))
     pairs = (("labourForce", "unemployed"), ("employed", "unemployed"))
     tables = [quality.crosstab(out, a, b).select(
@@ -750,8 +756,9 @@ def report_designs(spark: SparkSession, sf: str) -> weight.Designs:
     A missing age elsewhere in the household must not cost the respondent's
     weight, hence ``missing="skip"``.
     """
+    items = standin.roster(spark, sf)
     tables = clean.clean(
-        standin.households(spark, sf), standin.members(spark, sf), PROFILE, missing="skip",
+        standin.households(spark, sf, items=items), standin.members(spark, sf, items=items), PROFILE, missing="skip",
         keep_answers=False)
     used = ["_index", "_parent_index", "origin", "R03", "hhadults", "allNationals",
             *report.REPORT_COLUMNS]

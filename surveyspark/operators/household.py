@@ -1,9 +1,9 @@
 """Household roll-ups: head, size, nationals, modal origin.
 
 Everything a household needs from its members comes out of ordinary grouped
-aggregates. "The oldest member" is the maximum of a small struct rather than a
-ranked window, so members are combined on the map side and a household of any
-size never has to sit in one task.
+aggregates. "The oldest member" is the maximum of a packed key (or of a small
+struct, where answers travel with it) rather than a ranked window, so members are
+combined on the map side and a household of any size never has to sit in one task.
 """
 
 from __future__ import annotations
@@ -43,27 +43,38 @@ def top_one(value: Column, by: Column, tie: Column) -> Column:
     return F.max_by(value, F.struct(by, -tie))
 
 
+#: numbers of members below this many fit beside an age in one 64-bit key
+PLACES = 1 << 32
+
+
+def age_key(age: Column, number: Column) -> Column:
+    """One integer that rises with age and, on equal ages, falls with the member's number.
+
+    A missing age ranks last. Its maximum is a hash aggregate, unlike that of a struct.
+    """
+    older = F.coalesce(age.cast("long") + 1, F.lit(0))
+    return older * PLACES + (PLACES - 1 - number.cast("long"))
+
+
 def head_choice(missing: str = "strict") -> Column:
-    """Row key of the household head, as an aggregate over the members.
+    """Number of the household head, as an aggregate over the members.
 
     The oldest declared head, or the oldest member where none is declared.
     With ``missing="strict"`` one unanswered relation leaves the household
     without a head; ``"skip"`` ignores unanswered relations.
     """
     relation = F.col("R02_rel")
-    oldest = top_one(F.col("_index"), F.col("R03"), F.col("_index"))
-    declared = F.max_by(
-        F.when(relation == "1", F.col("_index")),
-        F.when(relation == "1", F.struct("R03", -F.col("_index"))))
-    head = F.coalesce(declared, oldest)
+    rank = age_key(F.col("R03"), F.col("member_no"))
+    best = F.coalesce(F.max(F.when(relation == "1", rank)), F.max(rank))
+    head = PLACES - 1 - best.bitwiseAND(F.lit(PLACES - 1))
     if missing == "skip":
         return head
     return F.when(F.count(relation) == F.count(F.lit(1)), head)
 
 
-def head_flag(head: str) -> Column:
+def head_flag(head: str, own: str = "_index") -> Column:
     """1 for the member whose key is ``head``, 0 for others, NULL without a head."""
-    flag = (F.col("_index") == F.col(head)).cast("int")
+    flag = (F.col(own) == F.col(head)).cast("int")
     return labelled(flag, "householdHead", HEAD_LABELS, "Head of household")
 
 
@@ -73,7 +84,7 @@ def mark_heads(members: DataFrame, missing: str = "strict") -> DataFrame:
         head_choice(missing).alias("_head"))
     return (
         members.join(heads, F.col("_parent_index") == F.col("_hh"), "left")
-        .withColumn("householdHead", head_flag("_head"))
+        .withColumn("householdHead", head_flag("_head", "member_no"))
         .drop("_hh", "_head")
     )
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from surveyspark.operators.linkage import number_within
 from surveyspark.sources.profile import Profile
+from surveyspark.sources.stages import stage
 
 # What the stand-in population looks like.
 PROFILE = Profile(
@@ -109,19 +110,20 @@ def answer(key: str, salt: int, codes: str) -> Column:
         f"element_at(array({choices}), cast(shiftright({mixed}, 16) % {len(entries)} + 1 AS int))")
 
 
-def adult_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def adult_numbers(items: DataFrame) -> DataFrame:
     """Per household the first adult at or after members 1, 2 and 3."""
-    adult = numbered_items(spark, sf_dir).filter(member_age() >= PROFILE.working_age)
+    adult = items.filter(member_age() >= PROFILE.working_age)
     return adult.groupBy(F.col("l_orderkey").alias("_hh")).agg(*[
         F.min(F.when(F.col("member_no") >= k, F.col("member_no"))).alias(f"_adult{k}") for k in (1, 2, 3)])
 
 
-def households(spark: SparkSession, sf_dir: str, respondent: bool = True) -> DataFrame:
+def households(spark: SparkSession, sf_dir: str, respondent: bool = True,
+               items: DataFrame | None = None) -> DataFrame:
     """One row per household form (order).
 
     The respondent is an adult: the first one from the drawn number on, or else the
     household's first. ``respondent=False`` leaves the drawn number as it is, which
-    spares reading the members.
+    spares reading the members. ``items`` is the ``roster``, if the caller has it.
     """
     answers = [
         answer("o_orderkey", salt, codes).alias(name)
@@ -137,7 +139,7 @@ def households(spark: SparkSession, sf_dir: str, respondent: bool = True) -> Dat
         drawn = F.col("selected_adult")
         adult = (F.when(drawn == 1, F.col("_adult1")).when(drawn == 2, F.coalesce("_adult2", "_adult1"))
                  .when(drawn == 3, F.coalesce("_adult3", "_adult1")))
-        numbers = adult_numbers(spark, sf_dir)
+        numbers = adult_numbers(numbered_items(spark, sf_dir) if items is None else items)
         forms = (forms.join(numbers, F.col("_index") == F.col("_hh"), "left")
                  .withColumn("selected_adult", adult).drop(*numbers.columns))
     return (
@@ -169,15 +171,22 @@ def numbered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbered line items, written, for jobs that take members and respondents from them."""
+    kept = ("l_orderkey", "member_no", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_linestatus")
+    return stage(numbered_items(spark, sf_dir).select(*kept), "roster")
+
+
 def members(
-    spark: SparkSession, sf_dir: str, questions: Iterable[str] | None = None, origins: bool = True
+    spark: SparkSession, sf_dir: str, questions: Iterable[str] | None = None, origins: bool = True,
+    items: DataFrame | None = None,
 ) -> DataFrame:
     """One row per household member (line item).
 
     ``origins=False`` leaves out the citizenship questions, which need four
-    more joins.
+    more joins. ``items`` is the ``roster``, if the caller has it.
     """
-    items = numbered_items(spark, sf_dir)
+    items = numbered_items(spark, sf_dir) if items is None else items
     part = F.col("l_partkey")
     keep = {
         "_index": F.col("l_orderkey") * MEMBER_STRIDE + F.col("member_no"),

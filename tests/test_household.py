@@ -20,7 +20,8 @@ HEADS = [
 
 def members(spark):
     data = [(p, i, a, r) for p, i, a, r, _ in HEADS]
-    return spark.createDataFrame(data, "_parent_index bigint, _index bigint, R03 int, R02_rel string")
+    df = spark.createDataFrame(data, "_parent_index bigint, _index bigint, R03 int, R02_rel string")
+    return df.withColumn("member_no", (F.col("_index") % 10).cast("int"))
 
 
 def test_head_of_household(spark):
@@ -44,7 +45,19 @@ def full_members(spark):
         (2, 23, "Male", 3, "2", 1, 1, "IRN", None, 0, "IRN"),
         (2, 24, "Male", 3, "2", 1, 1, "UKR", None, 0, "UKR"),
     ]
-    return spark.createDataFrame(data, schema)
+    return spark.createDataFrame(data, schema).withColumn("member_no", (F.col("_index") % 10).cast("int"))
+
+
+def test_heads_are_hash_aggregates(spark):
+    plan = H.mark_heads(members(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_keys_of_large_households(spark):
+    df = spark.createDataFrame(
+        [(2**62, n, a, "2") for n, a in ((1, 0), (4_000_000_000, 50), (3_999_999_999, 50), (2, None))],
+        "_parent_index bigint, member_no bigint, R03 int, R02_rel string")
+    assert [r.member_no for r in H.mark_heads(df).filter("householdHead = 1").collect()] == [3_999_999_999]
 
 
 def test_roll_up_and_head_attributes(spark):
