@@ -67,6 +67,17 @@ add("member_enriched", """
 SELECT s._index, s._parent_index, householdHead, cookingfuel, electricity, basicSanitation,
   basicDrinkingWater, basicFacilities, originAux2, hhadults, origin
 FROM s1_origin s JOIN s1_head h ON s._index = h._index""")
+add("join_checks", """
+SELECT 'households' AS measure, count(*) AS n FROM orders
+UNION ALL SELECT 'households_after', count(*) FROM orders
+UNION ALL SELECT 'without_members', count(*) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+UNION ALL SELECT 'members', count(*) FROM lineitem
+UNION ALL SELECT 'without_key', count(*) FROM lineitem WHERE l_orderkey IS NULL
+UNION ALL SELECT 'linked', count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+add("saved_tables", f"""
+SELECT {texts('R03cat', {i: t for i, t in enumerate(FINE, start=1)})} AS R03cat, count(*) AS n,
+  cast(sum({" + ".join(f"coalesce(DIS0{i} IN ('98', '99'), false)::int" for i in range(1, 7))}) AS bigint) AS refusals
+FROM s1_demo GROUP BY 1""")
 add("households_from_submissions", f"""
 SELECT h._index, hhsize, hhadults, hhdisability3, hhsizecat, allNationals,
   headHHR02, headHHR03, headHHR03cat, headHHcitizenship,
@@ -289,6 +300,8 @@ ORACLE["adult_proportion_ci"] = oe.cells_sql(
 _EMP = texts("employmentStatus", ind.EMPLOYMENT_LABELS)
 ORACLE["domain_unemployment"] = oe.cells_sql(
     oe.person_rows(oe.ADULT_PS, _EMP, "labourForce = 1"), oe.PERSON, _CELL + _CI)
+ORACLE["design_roundtrip"] = oe.cells_sql(
+    oe.person_rows(oe.ADULT_PS, _SAF, "labourForce = 1"), oe.SEX, _CELL + _SE + ", df")
 _BESIDE = """SELECT answer, round(p, 6) AS p, round(se, 6) AS se, unwn,
   round(unwn / sum(unwn) OVER (PARTITION BY tab), 6) AS p_unweighted,
   CASE tab WHEN 1 THEN 'SAF01SDG' ELSE 'documents' END AS question FROM est"""

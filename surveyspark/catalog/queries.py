@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveyspark.functions.labels import decode, decode_from
-from surveyspark.functions.reshape import any_of
+from surveyspark.functions.reshape import any_of, column_range
 from surveyspark.operators import demographics, household, indicators, linkage, margins, quality
 from surveyspark.operators.design import (
     SurveyDesign,
@@ -27,7 +28,7 @@ from surveyspark.sources.profile import (
     MEMBER_WORK_COLUMNS,
 )
 from surveyspark.sources.standin import PROFILE
-from surveyspark.sources.tables import stage
+from surveyspark.sources.tables import load_design, load_table, save_designs, save_tables, shared_dir, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -294,6 +295,38 @@ def submissions_flatten(spark, sf):
     return forms.flatten(parsed, ["S1A"])["S1A"]
 
 
+@query
+def join_checks(spark, sf):
+    """Rows on both sides of the household link, counted while the clean tables were written."""
+    items = standin.roster(spark, sf)
+    checks = clean.clean(
+        standin.households(spark, sf, items=items), standin.members(spark, sf, items=items), PROFILE,
+        missing="skip", keep_answers=False, unmatched="fail").checks
+    return spark.createDataFrame([(n, int(v)) for n, v in vars(checks).items()], "measure string, n long")
+
+
+@query
+def design_roundtrip(spark, sf):
+    """A table of an adult design with a domain that was written and loaded again."""
+    design = adult_design_ps(spark, sf).filter("labourForce = 'In the labour force'")
+    folder = f"{shared_dir(spark)}/designs-{uuid.uuid4().hex}"
+    save_designs({"adults": design}, folder)
+    back = load_design(spark, folder, "adults")
+    return _cells(estimate(back, "SAF01SDG", report.PERSON_BREAKDOWNS[:1]), "p", "se", "df")
+
+
+@query
+def saved_tables(spark, sf):
+    """Members written and read back: rows and refused questions by age band, whose labels came along."""
+    members = demographics.age_bands(standin.members(spark, sf, questions=FUNCTIONING, origins=False))
+    folder = f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}"
+    save_tables({"s1": members}, folder)
+    back = load_table(spark, folder, "s1")
+    asked = column_range(back, FUNCTIONING[0], FUNCTIONING[-1])
+    refused = sum((F.count_if(F.col(c).isin("98", "99")) for c in asked), F.lit(0))
+    return decode(back).groupBy("R03cat").agg(F.count(F.lit(1)).alias("n"), refused.cast("long").alias("refusals"))
+
+
 def whole_submissions(spark: SparkSession, sf: str) -> DataFrame:
     """Every household's form with its members nested, as a form server would hand them out."""
     items = standin.roster(spark, sf)

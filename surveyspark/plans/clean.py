@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from surveyspark.operators import demographics, household, indicators, linkage
@@ -16,7 +17,7 @@ from surveyspark.sources.profile import (
     MEMBER_WORK_COLUMNS,
     Profile,
 )
-from surveyspark.sources.tables import stage
+from surveyspark.sources.stages import stage_counted
 
 # What is carried between the two tables.
 HOUSEHOLD_TO_MEMBERS = (
@@ -31,10 +32,35 @@ MEMBER_TO_HOUSEHOLD = (
 )
 
 
+@dataclass(frozen=True)
+class LinkChecks:
+    """Rows on both sides of the link between households and members, counted while they were written.
+
+    ``linked`` adds up the members that each household has. It is below ``members``
+    where members have no household, above where a household key is repeated.
+    """
+
+    households: int
+    households_after: int
+    without_members: int
+    members: int
+    without_key: int
+    linked: int
+
+    @property
+    def complete(self) -> bool:
+        return self.households == self.households_after and self.members == self.linked
+
+    def require(self) -> None:
+        if not self.complete:
+            raise ValueError(f"members and households do not match: {self}")
+
+
 @dataclass(frozen=True)
 class CleanTables:
     hh: DataFrame
     s1: DataFrame
+    checks: LinkChecks | None = None
 
 
 def derive_members(members: DataFrame, profile: Profile) -> DataFrame:
@@ -81,26 +107,38 @@ def with_respondent(linked: DataFrame, profile: Profile) -> DataFrame:
 
 def clean(households: DataFrame, members: DataFrame, profile: Profile,
           origin_pick: str = "count", missing: str = "strict",
-          keep_answers: bool = True) -> CleanTables:
+          keep_answers: bool = True, unmatched: str = "report") -> CleanTables:
     """Both clean tables, identifiers and working columns removed.
 
     The derived members and the household base are read by several branches
     each, so they are written once and read back, without any identifier: names
     reach no file. ``keep_answers=False`` leaves out the raw answers that the
-    derived columns stand for.
+    derived columns stand for. Both writes count their rows and keys: ``checks`` holds
+    the counts, and ``unmatched="fail"`` stops on a repeated household key or on
+    members without a household.
     """
+    if unmatched not in ("report", "fail"):
+        raise ValueError(f"unmatched: {unmatched}")
     answers = () if keep_answers else (
         *demographics.FUNCTIONING, *demographics.DOCUMENTS_FROM_5, *demographics.DOCUMENTS_BELOW_5)
     members = members.drop(*MEMBER_IDENTIFIERS)
     households = households.drop(*HOUSEHOLD_IDENTIFIERS)
-    derived = stage(derive_members(members, profile).drop(*answers), "members")
-    base = household_base(households, derived, profile, origin_pick, missing)
+    rows = F.count(F.lit(1))
+    derived, of_members = stage_counted(derive_members(members, profile).drop(*answers), "members", {
+        "members": rows, "without_key": F.count_if(F.col("_parent_index").isNull())})
+    forms = Observation(f"forms-{uuid.uuid4().hex}")
+    base = household_base(households.observe(forms, rows.alias("households")), derived, profile, origin_pick, missing)
     if not keep_answers:
         base = base.drop(*indicators.SERVICE_ANSWERS)
-    base = stage(base, "households")
+    base, of_base = stage_counted(base, "households", {
+        "households_after": rows, "without_members": F.count_if(F.col("hhsize").isNull()), "linked": F.sum("hhsize")})
+    checks = LinkChecks(households=forms.get["households"], **of_members, **of_base)
+    if unmatched == "fail":
+        checks.require()
     hh = enrich_households(base, derived, profile)
     s1 = enrich_members(derived, base, profile)
     return CleanTables(
         hh=linkage.strip_identifiers(hh, HOUSEHOLD_IDENTIFIERS, HOUSEHOLD_WORK_COLUMNS),
         s1=linkage.strip_identifiers(s1, MEMBER_IDENTIFIERS, MEMBER_WORK_COLUMNS),
+        checks=checks,
     )

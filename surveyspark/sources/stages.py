@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _CHECKPOINT = "spark.checkpoint.dir"
 
@@ -39,6 +40,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_counted(df: DataFrame, name: str, measures: Mapping[str, Column]) -> tuple[DataFrame, dict[str, int]]:
+    """``stage``, and aggregates of the rows taken while they are written, without a job of their own."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    written = stage(df.observe(seen, *[c.alias(n) for n, c in measures.items()]), name)
+    return written, {n: seen.get[n] or 0 for n in measures}
+
+
 def _run_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/surveyspark/{spark.sparkContext.applicationId}"
 

@@ -77,8 +77,22 @@ def test_heads_respondents_and_keys(submissions):
     assert value_labels(out.s1, "documents") and value_labels(out.hh, "headHHR03cat") == value_labels(out.s1, "R03cat")
 
 
+def test_links_are_counted_while_written(submissions):
+    tables = forms.flatten(submissions, ["S1A"])
+    members = tables["S1A"].withColumn("_index", F.col("_parent_index") % 1000 * 100 + F.col("member_no"))
+    good = clean.clean(tables["main"], members, PROFILE, unmatched="fail").checks
+    assert good == clean.LinkChecks(7, 7, 2, 15, 0, 15) and good.complete
+    twice = tables["main"].union(tables["main"].filter("_index = 1"))
+    assert clean.clean(twice, members, PROFILE).checks.linked == 18
+    with pytest.raises(ValueError, match="do not match"):
+        clean.clean(twice, members, PROFILE, unmatched="fail")
+    gone = clean.clean(tables["main"].filter("_index <> 7"), members, PROFILE).checks
+    assert (gone.linked, gone.members, gone.complete) == (10, 15, False)
+
+
 def test_no_shuffle(submissions):
-    for df in vars(clean_from_submissions(submissions, PROFILE)).values():
+    tables = clean_from_submissions(submissions, PROFILE)
+    for df in (tables.hh, tables.s1):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Aggregate" not in plan and "Join" not in plan
 
