@@ -4,9 +4,9 @@ A piece goes to the open bin, or a new one, after which the sum over residual ga
 the squared number of open bins with that gap is smallest. Pieces are dealt at random
 over shards of about SHARD pieces; each shard packs its own, longest first, in one task.
 Bins that a shard leaves less than FULL full are opened again, and their pieces are
-packed in a second round with the leftovers of FAN shards together, and so on until one
-shard is left; what a shard passes on is a few bins for each length, however much it
-packed.
+packed in a second round, again in shards of about SHARD pieces, and so on until one
+shard is left. Where a round leaves hardly fewer pieces than it got, the lengths do not
+fill bins in any shard: these bins stay, so no task packs much more than SHARD pieces.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from surveyspark.llm import words as W
 from surveyspark.llm.scratch import Scratch
 from surveyspark.llm.tokens import Encoder
 
-SHARD, FAN, FULL = 20_000, 16, 0.98
+SHARD, FULL = 20_000, 0.98
 ROWS = 256  # texts encoded at once
 
 
@@ -91,7 +91,7 @@ def _pieces(docs: DataFrame, vocabulary: str, end_id: int, size: int) -> DataFra
 
 
 def _pack_round(pieces: DataFrame, round_no: int, shards: int, size: int) -> DataFrame:
-    """uid, length, round, shard, bin, offset, done of each piece; `done` bins stay."""
+    """uid, length, bin, offset, done of each piece; a bin is named by its first piece, `done` bins stay."""
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "uid"], ascending=[False, True], ignore_index=True)
         length = pdf["length"].to_numpy()
@@ -104,13 +104,15 @@ def _pack_round(pieces: DataFrame, round_no: int, shards: int, size: int) -> Dat
         offset[order] = filled - length[order] - base
         total = np.bincount(where, weights=length)
         done = np.ones(len(pdf), dtype=bool) if shards == 1 else total[where] >= FULL * size
-        return pd.DataFrame({"uid": pdf["uid"], "length": length, "round": round_no, "shard": pdf["shard"],
-                             "bin": where, "offset": offset, "done": done})
+        uid = pdf["uid"].to_numpy()
+        bin_of = np.empty(len(pdf), dtype=np.int64)
+        bin_of[order] = uid[order][first][np.cumsum(first) - 1]
+        return pd.DataFrame({"uid": uid, "length": length, "bin": bin_of, "offset": offset, "done": done})
 
     dealt = pieces.select("uid", "length").withColumn(
         "shard", F.pmod(F.xxhash64("uid", F.lit(round_no)), F.lit(shards)).cast("int"))
     return dealt.groupBy("shard").applyInPandas(
-        pack, "uid long, length long, round int, shard int, bin long, offset long, done boolean")
+        pack, "uid long, length long, bin long, offset long, done boolean")
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 0) -> DataFrame:
@@ -125,23 +127,24 @@ def pack_documents(docs: DataFrame, vocabulary: str, size: int = 2048, end_id: i
     pieces = scratch.stage(
         _pieces(docs, vocabulary, end_id, size).withColumn("uid", F.monotonically_increasing_id()), "pieces")
     full = pieces.filter(F.col("length") == size).select(
-        "uid", "length", F.lit(0).alias("round"), F.lit(0).alias("shard"), F.col("uid").alias("bin"),
-        F.lit(0).cast("long").alias("offset"), F.lit(True).alias("done"))
+        "uid", "length", F.col("uid").alias("bin"), F.lit(0).cast("long").alias("offset"), F.lit(True).alias("done"))
     rest = pieces.filter(F.col("length") < size)
     placed, shards, round_no = [full], max(1, math.ceil(rest.count() / SHARD)), 1
     while True:
         packed = scratch.stage(_pack_round(rest, round_no, shards, size), f"round{round_no}")
         placed.append(packed.filter("done"))
-        if shards == 1:
-            break
         rest = packed.filter("not done")
-        shards, round_no = math.ceil(shards / FAN), round_no + 1
+        fewer = math.ceil(rest.count() / SHARD)
+        if fewer > 0.9 * shards:  # these lengths do not fill bins better in any shard: they stay as they are
+            placed.append(rest)
+            break
+        if not fewer:
+            break
+        shards, round_no = fewer, round_no + 1
     everything = placed[0]
     for more in placed[1:]:
         everything = everything.unionByName(more)
-    # round, shard and bin in one number: a bin number is below 2**40, a shard below 2**17
-    sequence = (F.col("round").cast("long") * (1 << 58) + F.col("shard") * F.lit(1 << 40) + F.col("bin"))
-    sequence = F.when(F.col("round") == 0, F.col("bin")).otherwise(sequence)
-    where = everything.select("uid", sequence.alias("sequence_id"), "offset")
+    # a piece ends in one bin only, so its first piece names a sequence uniquely
+    where = everything.select("uid", F.col("bin").alias("sequence_id"), "offset")
     return pieces.join(where, "uid").select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -82,7 +82,6 @@ def test_round_trip_and_fill(documents, prose):
 
 def test_several_shards_and_rounds(documents, prose, monkeypatch):
     monkeypatch.setattr(packing, "SHARD", 20)
-    monkeypatch.setattr(packing, "FAN", 3)
     rows = [(k, prose(k, 5 + 37 * k % 300)) for k in range(250)]
     got = pack_documents(documents(rows), VOCABULARY, size=256).collect()
     used = check(rows, got, size=256)
