@@ -2,7 +2,8 @@
 
 Paragraphs pass points for their length and commas to their ancestors, less with each
 level; a container's points are discounted by its share of link text. The best container
-is kept, or the article or main element around it, with siblings that score well enough.
+is kept, or the article or main element around it, with siblings that score well enough
+or are articles, too.
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts and reader comments
 are cut from the tree before.
 """
@@ -24,10 +25,12 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary "
     "table tbody td tfoot th thead tr ul".split())
 CUT = frozenset(
-    "head title script style noscript template iframe object svg canvas audio video nav header footer aside "
-    "form button select textarea input option menu dialog fieldset search".split())
-CUT_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu "
-                      "menubar toolbar form".split())
+    "head title script style noscript template iframe object svg canvas audio video nav footer aside "
+    "button select textarea input option menu dialog search".split())
+CUT_ROLES = frozenset("navigation contentinfo complementary search alert alertdialog dialog menu "
+                      "menubar toolbar".split())
+#: elements and roles that are cut unless the page's text is inside them
+FORMS, HEADERS = frozenset("form fieldset".split()), frozenset("header banner".split())
 CUT_NAMES = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar footer ad ads adbox adslot advert adverts "
     "advertisement advertising sponsor sponsored cookie cookies consent gdpr comment comments commentlist "
@@ -35,14 +38,20 @@ CUT_NAMES = frozenset(
 DOUBTFUL_NAMES = frozenset(
     "header banner notice alert promo related recommended share sharing social popup modal overlay widget "
     "toolbar masthead teaser outbrain aside skip".split())
-KEEP = frozenset("html body article main".split())
+#: words that a name of such a part may hold besides; any other word makes it a name of the text's own
+BESIDES = frozenset(
+    "box bar block container wrapper wrap inner outer area section list links link buttons button icons icon "
+    "item items content main site page post posts article articles entry top bottom left right primary "
+    "secondary global mobile desktop law info warning form user users title body text col column row group "
+    "panel media wp my the".split())
+KEEP = frozenset("html body main".split())
 #: whole class names and ids that a wrapper around the page's text does not have
 READERS = frozenset("comment comments commentlist replies respond disqus".split())
 #: an open element that a start tag ends, and how far up it is looked for
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
          "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
          "option": ({"option"}, {"select"})}
-_WORDS = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+_WORDS, _CAMEL, _DIGIT = re.compile(r"[^a-z0-9]+"), re.compile(r"(?<=[a-z])(?=[A-Z])"), re.compile(r"[0-9]")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
@@ -52,7 +61,7 @@ class Node:
     def __init__(self, tag: str, parent: "Node | None", attrs: dict):
         self.tag, self.parent, self.inside = tag, parent, []
         text = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-        self.names = frozenset(_WORDS.split(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", text).lower())) if text != " " else ()
+        self.names = [frozenset(_WORDS.split(_CAMEL.sub(" ", name).lower())) for name in text.split()]
         self.readers = not READERS.isdisjoint(text.lower().split())
         self.role = (attrs.get("role") or "").lower()
         style = (attrs.get("style") or "").replace(" ", "").lower()
@@ -147,11 +156,20 @@ def _measure(root: Node) -> None:
                 item.parent.linked += item.linked
 
 
+def _named(node: Node, words: frozenset, whole: bool = True) -> bool:
+    """Whether a class name or the id is made of such words; not `whole`: holds one of them."""
+    for name in node.names:
+        if not words.isdisjoint(name) and (not whole or all(
+                w in CUT_NAMES or w in DOUBTFUL_NAMES or w in BESIDES or not w or _DIGIT.search(w) for w in name)):
+            return True
+    return False
+
+
 def _holders(root: Node) -> tuple[set[int], set[int]]:
     """Nodes around the largest article and main element by unlinked text, and those inside."""
     around, inside = set(), set()
     found = [x for x, opening in _walk(root) if opening and not isinstance(x, str)
-             and x.tag in ("article", "main") and CUT_NAMES.isdisjoint(x.names) and x.chars > x.linked]
+             and x.tag in ("article", "main") and x.chars > x.linked and not _named(x, CUT_NAMES)]
     for tag in ("article", "main"):
         best = max((x for x in found if x.tag == tag), key=lambda x: x.chars - x.linked, default=None)
         if best is not None:
@@ -162,30 +180,44 @@ def _holders(root: Node) -> tuple[set[int], set[int]]:
     return around, inside
 
 
+def _filter(root: Node, cut) -> None:
+    """Takes every element that `cut` names out of the tree."""
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        node.inside = [x for x in node.inside if isinstance(x, str) or not cut(x)]
+        stack += [x for x in node.inside if not isinstance(x, str)]
+
+
 def _prune(root: Node) -> None:
     """Cuts everything that is not part of a page's text.
 
-    A name cuts no container around the page's article or main element, and none with half
-    of the page's text, unless the article is elsewhere or the name is that of comments.
+    Some elements go at once. Forms, headers and elements with the names of such parts
+    stay if they are around the page's article or main element; forms and names also if
+    they have half of the page's unlinked text, unless the article is elsewhere or the
+    name is that of comments. Inside the article, and on pages without one, a name has to
+    consist of such words; elsewhere it is enough that it holds one.
     """
+    _filter(root, lambda x: x.tag in CUT or x.hidden or x.role in CUT_ROLES)
+    _measure(root)
     around, inside = _holders(root)
-    stack = [root]
-    while stack:
-        node = stack.pop()
-        kept = []
-        for x in node.inside:
-            if isinstance(x, Node):
-                if x.tag in CUT or x.hidden or x.role in CUT_ROLES:
-                    continue
-                if x.tag not in KEEP and x.names:
-                    if not CUT_NAMES.isdisjoint(x.names) and id(x) not in around and (
-                            x.readers or x.chars * 2 < root.chars or (inside and id(x) not in inside)):
-                        continue
-                    if not DOUBTFUL_NAMES.isdisjoint(x.names) and x.chars * 2 < root.chars:
-                        continue
-                stack.append(x)
-            kept.append(x)
-        node.inside = kept
+    half = (root.chars - root.linked) / 2
+
+    def cut(x: Node) -> bool:
+        if id(x) in around:
+            return False
+        if x.tag in HEADERS or x.role in HEADERS:
+            return True
+        small = x.chars - x.linked < half or not half
+        beside = bool(inside) and id(x) not in inside
+        if (x.tag in FORMS or x.role in FORMS) and (small or beside):
+            return True
+        if x.tag in KEEP or not x.names:
+            return False
+        return (_named(x, CUT_NAMES, not beside) and (x.readers or small or beside)
+                or _named(x, DOUBTFUL_NAMES, not beside) and small)
+
+    _filter(root, cut)
 
 
 def _paragraphs(root: Node):
@@ -225,22 +257,33 @@ def _score(root: Node) -> list[Node]:
 
 
 def _keep(best: Node) -> list[Node]:
-    """The best container, as wide as its article, and the siblings that belong to it."""
-    node = best
+    """The best container, as wide as its article, and the siblings that belong to it.
+
+    Beside an article these are the other articles, and the headings before the first
+    one if it has no heading of its own.
+    """
+    around, node = {}, best
     while node is not None:
-        if node.tag in ("article", "main"):
-            return [node]
+        around[node.tag] = node  # the outermost of each tag
         node = node.parent
-    if best.parent is None:
+    best = around.get("article") or around.get("main") or best
+    if best.parent is None or best.tag == "main":
         return [best]
     out = []
     for x in best.parent.inside:
         if isinstance(x, str):
             continue
         dense = x.chars > 0 and x.linked > 0.3 * x.chars
-        if x is best or (not dense and (x.points >= max(0.2 * best.points, 3) or x.tag in HEADINGS
-                                        or (x.tag in ("p", "pre", "blockquote") and x.chars > 0))):
+        if best.tag == "article":
+            if x is best or (x.tag == "article" and not dense) or (x.tag in HEADINGS and not any(
+                    n.tag == "article" for n in out)):
+                out.append(x)
+        elif x is best or (not dense and (x.points >= max(0.2 * best.points, 3) or x.tag in HEADINGS
+                                          or (x.tag in ("p", "pre", "blockquote") and x.chars > 0))):
             out.append(x)
+    first = next((n for n in out if n.tag == "article"), None)
+    if first is not None and any(not isinstance(x, str) and x.tag in HEADINGS for x, _ in _walk(first)):
+        out = [n for n in out if n.tag not in HEADINGS]
     return out
 
 
@@ -274,7 +317,6 @@ def main_text(html: str | None) -> str:
     tree.feed(html)
     tree.close()
     root = tree.root
-    _measure(root)
     _prune(root)
     _measure(root)
     scored = _score(root)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from html import unescape
 
 import pytest
 
@@ -85,6 +86,47 @@ def test_main_text(body, text):
     assert main_text(PAGE % (body, LONG * 20)) == text
 
 
+@pytest.mark.parametrize("page", [
+    "<form>%s</form>", "<form id=aspnetForm><div><nav>x</nav>%s</div><input name=a></form>", "<div role=form>%s</div>",
+    "<header>%s</header>", "<fieldset><div class=header>%s</div></fieldset>"])
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_an_article_is_kept_whole_wherever_it_is(page, tag):
+    blocks = [f"<p>{LONG}</p>", f'<div class="share-of-income"><p>{LONG}</p></div>',
+              f'<section id="social-policy">{LONG}</section>', f'<div class="ad-hoc menuOfTheDay">{LONG}</div>']
+    furniture = ('<div class="social-share-buttons">Share</div><div class="relatedPosts">More</div>'
+                 '<div class="ad ad-300x250">Buy</div><form>Sign up</form><header>Head</header>')
+    text = " ".join([LONG.strip()] * 4)
+    assert main_text(page % f"<{tag}>{''.join(blocks)}{furniture}</{tag}>") == text
+    assert main_text(PAGE % (page % f"<{tag}>{''.join(blocks)}{furniture}</{tag}>", LONG)) == text
+
+
+def test_sibling_articles_and_headings():
+    two = f"<article><p>{LONG * 3}</p></article><article><p>Short one.</p></article>"
+    text = (LONG * 3).strip() + " Short one."
+    assert main_text(two) == main_text(f"<main>{two}</main>") == text
+    assert main_text(PAGE % (two, LONG)) == text
+    assert main_text(f"<div><h1>Title</h1>{two}<h2>Related</h2></div>") == "Title " + text
+    comments = f'<article class="comment"><p>{LONG}</p></article>'
+    assert main_text(two + comments * 9) == text
+    assert main_text(f"<article><p>{LONG}</p><article><p>{LONG * 2}</p></article></article>") == (LONG * 3).strip()
+
+
+def plain_text(html):
+    """The text of pages whose blocks are all h1, p or li of one article, by patterns alone."""
+    body = re.search(r"<article>(.*)</article>", html, re.S).group(1)
+    blocks = re.split(r"</?(?:h1|p|li|ul)>|<br>", body)
+    texts = [" ".join(unescape(re.sub(r"<[^>]+>", "", b)).split()) for b in blocks]
+    return " ".join(t for t in texts if t)
+
+
+def test_pages_against_patterns(spark):
+    import duckdb
+    rows = duckdb.sql("select html from '/root/testdata/sf0.01/pages.parquet' where html is not null").fetchall()
+    simple = [h for h, in rows if h.count("<article>") == h.count("</article>") == 1]
+    assert len(simple) > 0.9 * len(rows)
+    assert [h for h in simple if main_text(h) != plain_text(h)] == []
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<html><nav>x</nav></html>") == ""
     assert main_text("plain words") == "plain words"
