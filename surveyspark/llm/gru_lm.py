@@ -30,7 +30,9 @@ from surveyspark.llm.scratch import Scratch
 SHORTLIST, CLASS, SHAPES = 1024, 32, 32
 HEAD = 1 << 17        # most words whose counts every task holds; the others are joined
 HIDDEN, WINDOW = 16, 32
-BATCH = 256           # texts that advance together
+BATCH = 512           # texts that advance together in scoring
+SEGMENT = 512         # symbols over which training carries a state; scoring carries it to the text's end
+HOLD = 1 << 21        # tokens that a task gathers, so that texts of like length advance together
 BLOCK = 1 << 22       # tokens of a task that are counted together
 END = np.uint64(0x9AE16A3B2F90404F)
 CLASSES = SHORTLIST // CLASS + SHAPES
@@ -172,9 +174,8 @@ def _step(p, symbols, h):
     a, b = p["x"][symbols], h @ p["u"]
     k = 2 * HIDDEN
     gates = _sigmoid(a[:, :k] + b[:, :k])
-    z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-    n = np.tanh(a[:, k:] + r * b[:, k:])
-    return n + z * (h - n), (z, r, n, b[:, k:])
+    n = np.tanh(a[:, k:] + gates[:, HIDDEN:] * b[:, k:])
+    return n + gates[:, :HIDDEN] * (h - n), (gates, n, b[:, k:])
 
 
 def _output(p, h, symbols, grads=None):
@@ -182,6 +183,7 @@ def _output(p, h, symbols, grads=None):
 
     With `grads`, the loss's gradients are added there and those of the states returned.
     """
+    symbols = symbols.astype(np.int64)
     cls = np.where(symbols < SHORTLIST, symbols // CLASS, SHORTLIST // CLASS + symbols - SHORTLIST)
     logit = h @ p["c"] + p["cb"]
     logit -= logit.max(axis=1, keepdims=True)
@@ -199,22 +201,24 @@ def _output(p, h, symbols, grads=None):
     own = np.flatnonzero(symbols < SHORTLIST)
     own = own[np.argsort(cls[own], kind="stable")]
     borders = np.searchsorted(cls[own], np.arange(SHORTLIST // CLASS + 1))
-    for k in range(SHORTLIST // CLASS):
-        at = own[borders[k]:borders[k + 1]]
-        if not len(at):
-            continue
-        logit = h[at] @ p["w"][k] + p["wb"][k]
-        logit -= logit.max(axis=1, keepdims=True)
-        e = np.exp(logit)
-        total = e.sum(axis=1)
-        word = symbols[at] % CLASS
-        logp[at] += logit[np.arange(len(at)), word] - np.log(total)
-        if grads is not None:
-            d = e / total[:, None]
-            d[np.arange(len(at)), word] -= 1
-            grads["w"][k] += h[at].T @ d
-            grads["wb"][k] += d.sum(axis=0)
-            dh[at] += d @ p["w"][k].T
+    spans = [(k, slice(borders[k], borders[k + 1])) for k in np.flatnonzero(np.diff(borders))]
+    mine, logit = h[own], p["wb"][cls[own]]
+    for k, at in spans:
+        logit[at] += mine[at] @ p["w"][k]
+    logit -= logit.max(axis=1, keepdims=True)
+    e = np.exp(logit)
+    total = e.sum(axis=1)
+    every, word = np.arange(len(own)), symbols[own] % CLASS
+    logp[own] += logit[every, word] - np.log(total)
+    if grads is not None:
+        d = e / total[:, None]
+        d[every, word] -= 1
+        back = np.empty_like(mine)
+        for k, at in spans:
+            grads["w"][k] += mine[at].T @ d[at]
+            grads["wb"][k] += d[at].sum(axis=0)
+            back[at] = d[at] @ p["w"][k].T
+        dh[own] += back
     return logp, dh
 
 
@@ -258,32 +262,38 @@ class Trainer:
         """One update from a window (texts x time); returns the state after it."""
         p, g = self.p, {k: np.zeros_like(v) for k, v in self.p.items()}
         n, length = symbols.shape
-        states, saved = [], []
+        k, symbols = 2 * HIDDEN, symbols.T
+        states = np.empty((length + 1, n, HIDDEN), dtype=np.float32)
+        gates = np.empty((length, n, k), dtype=np.float32)
+        new, bn = np.empty_like(states[1:]), np.empty_like(states[1:])
+        states[0] = h
         for t in range(length):
-            states.append(h)
-            h, keep = _step(p, symbols[:, t], h)
-            saved.append(keep)
+            states[t + 1], (gates[t], new[t], bn[t]) = _step(p, symbols[t], states[t])
         live = mask.T.ravel()
-        flat = np.concatenate(states)
+        before = states[:-1]
+        flat = before.reshape(-1, HIDDEN)
         d_out = np.zeros_like(flat)
-        _, d_live = _output(p, flat[live], symbols.T.ravel()[live], g)
+        _, d_live = _output(p, flat[live], symbols.ravel()[live], g)
         d_out[live] = d_live
         d_out = d_out.reshape(length, n, HIDDEN)
-        dh, inputs = np.zeros_like(h), []
+        # the derivatives of all steps at once; the loop back only carries dh through them
+        z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+        to_n, to_z, to_r = (1 - z) * (1 - new * new), (before - new) * z * (1 - z), bn * r * (1 - r)
+        da, db = np.empty((2, length, n, 3 * HIDDEN), dtype=np.float32)
+        dh = np.zeros_like(h)
         for t in range(length - 1, -1, -1):
-            z, r, new, bn = saved[t]
-            dn = dh * (1 - z) * (1 - new * new)
-            dz = dh * (states[t] - new) * z * (1 - z)
-            dr = dn * bn * r * (1 - r)
-            da = np.concatenate([dz, dr, dn], axis=1)
-            db = np.concatenate([dz, dr, dn * r], axis=1)
-            inputs.append(da)
-            g["u"] += states[t].T @ db
-            dh = dh * z + db @ p["u"].T + d_out[t]
-        which = symbols.T[::-1].ravel()
+            dn = dh * to_n[t]
+            da[t, :, :HIDDEN] = dh * to_z[t]
+            da[t, :, HIDDEN:k] = dn * to_r[t]
+            da[t, :, k:] = dn
+            db[t, :, :k] = da[t, :, :k]
+            db[t, :, k:] = dn * r[t]
+            dh = dh * z[t] + db[t] @ p["u"].T + d_out[t]
+        g["u"] += flat.T @ db.reshape(-1, 3 * HIDDEN)
+        which = symbols.ravel()
         order = np.argsort(which, kind="stable")
         first = np.flatnonzero(np.append(True, which[order][1:] != which[order][:-1]))
-        g["x"][which[order][first]] = np.add.reduceat(np.concatenate(inputs)[order], first, axis=0)
+        g["x"][which[order][first]] = np.add.reduceat(da.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
         count = max(int(live.sum()), 1)
         norm = math.sqrt(sum(float((v * v).sum()) for v in g.values())) / count
         scale = np.float32(min(1.0, 1.0 / max(norm, 1e-9)) / count)
@@ -294,20 +304,30 @@ class Trainer:
             self.m[k] += np.float32(0.1) * (v - self.m[k])
             self.v[k] += np.float32(0.001) * (v * v - self.v[k])
             p[k] -= np.float32(rate) * self.m[k] / (np.sqrt(self.v[k]) + np.float32(1e-8))
-        return h
+        return states[-1]
 
     def texts(self, symbols: np.ndarray, at: np.ndarray, batch: int) -> None:
+        """Windows over all texts; a long one is several sequences of SEGMENT symbols at most."""
         sizes = np.diff(at)
+        parts = -(-sizes // SEGMENT)
+        skip = (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)) * SEGMENT
+        begin, sizes = np.repeat(at[:-1], parts) + skip, np.minimum(np.repeat(sizes, parts) - skip, SEGMENT)
         for group in _ranked(sizes, batch):
             size, h = sizes[group], np.zeros((len(group), HIDDEN), dtype=np.float32)
             for t0 in range(0, int(size[0]), WINDOW):
                 live = int(np.searchsorted(-size, -t0, side="left"))
                 span = np.arange(t0, t0 + WINDOW)
                 mask = span[None, :] < size[:live, None]
-                place = np.minimum(at[group[:live], None] + span[None, :], len(symbols) - 1)
+                place = np.minimum(begin[group[:live], None] + span[None, :], len(symbols) - 1)
                 h = self.window(symbols[place], mask, h[:live])
 
 
+def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols and row offsets of several slices as one."""
+    sizes = np.concatenate([np.diff(at) for _, at in parts])
+    return np.concatenate([x for x, _ in parts]), np.append(0, np.cumsum(sizes))
+
+
 def train(docs: DataFrame, vocabulary: Vocabulary, s: Settings) -> dict[str, np.ndarray]:
     """Parameters after s.rounds rounds of training in the tasks and averaging.
 
@@ -327,16 +347,15 @@ def train(docs: DataFrame, vocabulary: Vocabulary, s: Settings) -> dict[str, np.
             trainer, held, size, seen = None, [], 0, 0
 
             def learn():
-                column = pa.concat_arrays(held)
-                h, shape, at = tokens(column)
-                trainer.texts(known.value.look_up(h, shape)[0], at, s.train_batch)
-                return len(h)
+                trainer.texts(*_joined(held), s.train_batch)
+                return size
 
-            for batch in batches:
+            for batch in W.slices(batches, 1024):
                 trainer = trainer or Trainer({n: v.copy() for n, v in shared.value.items()}, rate)
-                held.append(W.strings(batch.column("text")))
-                size += held[-1].nbytes
-                if size > 1 << 22:
+                h, shape, at = tokens(batch.column("text"))
+                held.append((known.value.look_up(h, shape)[0].astype(np.uint16), at))
+                size += len(h)
+                if size >= HOLD:
                     seen += learn()
                     held, size = [], 0
             if held:
@@ -377,12 +396,24 @@ def score_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     shared = spark.sparkContext.broadcast((vocabulary, p))
     room = np.log10(vocabulary.shape_n + vocabulary.shape_v + 1)
 
+    names = ["doc_id", "held_out", "n_tokens", "known", "logs", "model", "words", "times"]
+
     def rows(batches):
         vocabulary, p = shared.value
+        held, size = [], 0
+
+        def scored():
+            symbols, at = _joined([x for x, _, _ in held])
+            model, a = score_texts(p, symbols, at) / math.log(10), 0
+            for _, columns, rest in held:
+                b = a + len(rest)
+                yield pa.RecordBatch.from_arrays(
+                    [*columns[:5], pa.array(model[a:b] + rest), *columns[5:]], names)
+                a = b
+
         for batch in W.slices(batches, 1024):
             h, shape, at = tokens(batch.column("text"))
             symbols, n = vocabulary.look_up(h, shape)
-            model = score_texts(p, symbols, at) / math.log(10)
             row = np.repeat(np.arange(batch.num_rows), np.diff(at))
             total = lambda x: np.bincount(row, x, minlength=batch.num_rows)
             log_n, other = np.log10(np.maximum(n, 0) + 1.0), symbols >= SHORTLIST
@@ -392,15 +423,20 @@ def score_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFra
             key = key[:, order]
             first = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0))) if len(away) else away
             times = np.diff(np.append(first, len(away)))
-            size = np.bincount(key[0, first], minlength=batch.num_rows)
-            offsets = pa.array(np.append(0, np.cumsum(size)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([
+            offsets = pa.array(np.append(0, np.cumsum(
+                np.bincount(key[0, first], minlength=batch.num_rows))).astype(np.int32))
+            held.append(((symbols.astype(np.uint16), at), [
                 batch.column("doc_id"), batch.column("held_out"), pa.array(np.diff(at)),
                 pa.array(total(n > 0).astype(np.int64)), pa.array(total(log_n)),
-                pa.array(model + total(np.where(other, log_n - room[np.where(other, symbols - SHORTLIST, 0)], 0.0))),
                 pa.ListArray.from_arrays(offsets, pa.array(key[1, first])),
                 pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int64))),
-            ], ["doc_id", "held_out", "n_tokens", "known", "logs", "model", "words", "times"])
+            ], total(np.where(other, log_n - room[np.where(other, symbols - SHORTLIST, 0)], 0.0))))
+            size += len(h)
+            if size >= HOLD:
+                yield from scored()
+                held, size = [], 0
+        if held:
+            yield from scored()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     local = scratch.stage(
