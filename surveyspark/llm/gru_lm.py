@@ -35,6 +35,7 @@ SEGMENT = 512         # symbols over which training carries a state; scoring car
 HOLD = 1 << 21        # tokens that a task gathers, so that texts of like length advance together
 BLOCK = 1 << 22       # tokens of a task that are counted together
 END = np.uint64(0x9AE16A3B2F90404F)
+LOW = np.uint64((1 << 20) - 1)
 CLASSES = SHORTLIST // CLASS + SHAPES
 
 
@@ -125,12 +126,22 @@ class Vocabulary:
             self.shape_n[s], self.shape_v[s] = n_all, v
         np.subtract.at(self.shape_n, shape[rank], self.n[rank])
         np.subtract.at(self.shape_v, shape[rank], 1)
+        self.index()
+
+    def index(self) -> None:
+        """A place in the head for the low bits of a hash, and where several words share them."""
+        low = (self.h & LOW).astype(np.int64)
+        self.place = np.zeros(int(LOW) + 1, dtype=np.int32)
+        self.place[low] = np.arange(len(low))
+        self.shared = np.bincount(low, minlength=int(LOW) + 1) > 1
 
     def look_up(self, h: np.ndarray, shape: np.ndarray) -> tuple[np.ndarray, ...]:
         """Symbol and head count (-1: not in the head) of every token."""
         if not len(self.h):
             return SHORTLIST + shape, np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        low = (h & LOW).astype(np.int64)
+        at, again = self.place[low], np.flatnonzero(self.shared[low])
+        at[again] = np.minimum(np.searchsorted(self.h, h[again]), len(self.h) - 1)
         hit = self.h[at] == h
         slot = np.where(hit, self.slot[at], -1)
         return np.where(slot >= 0, slot, SHORTLIST + shape), np.where(hit, self.n[at], -1)
@@ -185,39 +196,42 @@ def _output(p, h, symbols, grads=None):
     """
     symbols = symbols.astype(np.int64)
     cls = np.where(symbols < SHORTLIST, symbols // CLASS, SHORTLIST // CLASS + symbols - SHORTLIST)
-    logit = h @ p["c"] + p["cb"]
-    logit -= logit.max(axis=1, keepdims=True)
-    e = np.exp(logit)
-    total = e.sum(axis=1)
+    logit = p["c"].T @ h.T + p["cb"][:, None]  # a row for each class: sums down the columns are quick
+    logit -= logit.max(axis=0)
     every = np.arange(len(h))
-    logp = (logit[every, cls] - np.log(total)).astype(np.float64)
+    chosen = logit[cls, every]
+    e = np.exp(logit, out=logit)
+    total = e.sum(axis=0)
+    logp = (chosen - np.log(total)).astype(np.float64)
     dh = None
     if grads is not None:
-        d = e / total[:, None]
-        d[every, cls] -= 1
-        grads["c"] += h.T @ d
-        grads["cb"] += d.sum(axis=0)
-        dh = d @ p["c"].T
+        d = e / total
+        d[cls, every] -= 1
+        grads["c"] += (d @ h).T
+        grads["cb"] += d.sum(axis=1)
+        dh = (p["c"] @ d).T
     own = np.flatnonzero(symbols < SHORTLIST)
     own = own[np.argsort(cls[own], kind="stable")]
     borders = np.searchsorted(cls[own], np.arange(SHORTLIST // CLASS + 1))
     spans = [(k, slice(borders[k], borders[k + 1])) for k in np.flatnonzero(np.diff(borders))]
-    mine, logit = h[own], p["wb"][cls[own]]
+    mine, logit = h[own], p["wb"].T[:, cls[own]]
     for k, at in spans:
-        logit[at] += mine[at] @ p["w"][k]
-    logit -= logit.max(axis=1, keepdims=True)
-    e = np.exp(logit)
-    total = e.sum(axis=1)
+        logit[:, at] += p["w"][k].T @ mine[at].T
+    logit -= logit.max(axis=0)
     every, word = np.arange(len(own)), symbols[own] % CLASS
-    logp[own] += logit[every, word] - np.log(total)
+    chosen = logit[word, every]
+    e = np.exp(logit, out=logit)
+    total = e.sum(axis=0)
+    logp[own] += chosen - np.log(total)
     if grads is not None:
-        d = e / total[:, None]
-        d[every, word] -= 1
+        d = e / total
+        d[word, every] -= 1
         back = np.empty_like(mine)
         for k, at in spans:
-            grads["w"][k] += mine[at].T @ d[at]
-            grads["wb"][k] += d[at].sum(axis=0)
-            back[at] = d[at] @ p["w"][k].T
+            part = d[:, at]
+            grads["w"][k] += (part @ mine[at]).T
+            grads["wb"][k] += part.sum(axis=1)
+            back[at] = (p["w"][k] @ part).T
         dh[own] += back
     return logp, dh
 
