@@ -292,7 +292,9 @@ SUBMISSION_SCHEMA = "_id bigint, S1A array<struct<R02_rel: string, R03: int>>"
 def submissions_flatten(spark, sf):
     parsed = submissions(spark, sf).select(
         F.from_json("value", SUBMISSION_SCHEMA).alias("s")).select("s.*")
-    return forms.flatten(parsed, ["S1A"])["S1A"]
+    flat = forms.flatten(parsed, ["S1A"])["S1A"]
+    key = F.col("_parent_index") * standin.MEMBER_STRIDE + F.col("member_no")
+    return flat.select(key.alias("_index"), "*")
 
 
 @query

@@ -179,3 +179,11 @@ def test_submissions_from_json(spark, tmp_path):
 def test_derived_column_on_a_design(designs):
     design: SurveyDesign = designs.foreign_members.with_columns({"R02x": F.col("R02")})
     assert {r.answer for r in estimate(design, "R02x").collect()} == {"Female", "Male"}
+
+
+def test_flattened_submissions_have_the_keys_of_the_members(spark):
+    flat = Q.submissions_flatten(spark, SF)
+    assert flat.columns == ["_index", "_parent_index", "member_no", "R02_rel", "R03"]
+    keys = ["_index", "_parent_index", "member_no"]
+    members = standin.members(spark, SF, questions=(), origins=False).select(keys)
+    assert flat.count() == 6000 and flat.select(keys).exceptAll(members).isEmpty()
