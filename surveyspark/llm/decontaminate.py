@@ -2,22 +2,22 @@
 
 Texts become sequences of the benchmark's words (case and outer punctuation ignored; any
 other word is 0, as it can match nothing). Passages of WINDOW words, one every STEP, get
-TF-IDF weights with document counts over all documents. A distributed randomised SVD
-gives latent axes; every passage of every document is compared with every benchmark
-passage by its cosine on them. Candidates are then checked word by word: the longest
-common subsequence with the item, and how much of the item's answer (its last words)
-the passage holds.
+TF-IDF weights with document counts over all documents. A distributed randomised SVD of
+all passages gives latent axes; every passage of every document is compared with every
+benchmark passage by its cosine on them. Candidates are then checked word by word: the
+longest common subsequence with the item, and how much of the item's answer (its last
+words) the passage holds.
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,12 +26,13 @@ from surveyspark.llm.scratch import Scratch
 
 WINDOW, STEP = 32, 16   # words of a passage, words between passages
 ROWS = 1024             # rows of STEP words whose vectors are added at once
+ROUNDS = 3              # products with all passages that the axes come from
 
 
 @dataclass(frozen=True)
 class Settings:
     rank: int = 128              # latent axes
-    fit_passages: int = 50_000  # most document passages that the axes are fitted on
+    gram_words: int = 4096       # up to so many words one pass sums a matrix of word pairs
     cosine: float = 0.5          # least cosine of a candidate ...
     energy: float = 0.2          # ... that accounts for this share of the benchmark passage;
     held: float = 0.5            # a larger share makes a candidate at any cosine
@@ -72,30 +73,37 @@ def starts(n: int) -> range:
     return range(0, max(n - WINDOW + STEP, 1), STEP) if n else range(0)
 
 
-def passage_sums(vectors: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sums of the word vectors (row 0: no word, all zeros) of all passages of some texts.
+def step_rows(texts: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """The words laid out STEP to a row, and a last row without any; two rows make a passage.
 
-    The words are laid out STEP to a row; the vectors of one column after the other are
-    added to the rows' sums, and neighbouring rows make a passage. Returns the sums and
-    each passage's text and place in it.
+    Returns the rows and each passage's text, place in it, first and second row.
     """
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     steps = -(-sizes // STEP)
     begin = np.append(0, np.cumsum(steps))
     ids = np.concatenate(texts)
-    grid = np.zeros(begin[-1] * STEP, dtype=np.int64)
+    grid = np.zeros((begin[-1] + 1) * STEP, dtype=np.int64)
     grid[np.arange(len(ids)) + np.repeat(begin[:-1] * STEP - (np.cumsum(sizes) - sizes), sizes)] = ids
-    grid = grid.reshape(-1, STEP)
-    sums = np.zeros((begin[-1] + 1, vectors.shape[1]), dtype=np.float32)
-    for a in range(0, len(grid), ROWS):
-        part, out = grid[a:a + ROWS], sums[a:min(a + ROWS, len(grid))]
-        for j in range(STEP):
-            out += vectors[part[:, j]]
     passages = np.array([len(starts(n)) for n in sizes], dtype=np.int64)
     text = np.repeat(np.arange(len(texts)), passages)
     place = np.arange(len(text)) - np.repeat(np.cumsum(passages) - passages, passages)
     one = begin[text] + place
-    two = np.where(place + 1 < steps[text], one + 1, begin[-1])  # the last row stays 0
+    two = np.where(place + 1 < steps[text], one + 1, begin[-1])
+    return grid.reshape(-1, STEP), text, place, one, two
+
+
+def passage_sums(vectors: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of the word vectors (row 0: no word, all zeros) of all passages of some texts.
+
+    The vectors of one column of the rows after the other are added to the rows' sums, and
+    neighbouring rows make a passage. Returns the sums and each passage's text and place in it.
+    """
+    grid, text, place, one, two = step_rows(texts)
+    sums = np.zeros((len(grid), vectors.shape[1]), dtype=np.float32)
+    for a in range(0, len(grid), ROWS):
+        part, out = grid[a:a + ROWS], sums[a:a + ROWS]
+        for j in range(STEP):
+            out += vectors[part[:, j]]
     return sums[one] + sums[two], text, place
 
 
@@ -163,74 +171,173 @@ def _weights(df: np.ndarray, docs: int) -> np.ndarray:
     return weight.astype(np.float32)
 
 
-def _tfidf(weight: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Passage, word and weight of the unit TF-IDF rows of one text's passages."""
-    used = np.flatnonzero(weight[ids])
-    size, block, n = len(weight), used // STEP, len(starts(len(ids)))
-    both = np.concatenate([block, block - 1]) * size + np.tile(ids[used].astype(np.int64), 2)
-    row_word, times = np.unique(both, return_counts=True)
-    row, word = row_word // size, row_word % size
-    ok = (row >= 0) & (row < n)
-    row, word, times = row[ok], word[ok], times[ok]
+def _tfidf(weight: np.ndarray, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Passage, word (ascending in it) and value of the unit TF-IDF rows of all passages of some texts."""
+    grid, _, _, one, two = step_rows(texts)
+    words = np.concatenate([grid[one], grid[two]], axis=1).astype(np.int32)
+    words.sort(axis=1)
+    new = words > 0
+    new[:, 1:] &= words[:, 1:] != words[:, :-1]
+    at = np.flatnonzero(new)
+    row, word = at // (2 * STEP), words.ravel()[at]
+    times = np.minimum(np.append(at[1:], words.size), (row + 1) * 2 * STEP) - at
     value = (1 + np.log(times)) * weight[word]
-    norm = np.sqrt(np.bincount(row, value * value, minlength=n))
+    norm = np.sqrt(np.bincount(row, value * value, minlength=len(one)))
+    ok = norm[row] > 0
+    row, word, value = row[ok], word[ok], value[ok]
     return row, word, (value / norm[row]).astype(np.float32)
 
 
-def _times(texts: list[tuple[np.ndarray, ...]], omega: np.ndarray) -> tuple[np.ndarray, int]:
-    """A'A times omega for the sparse rows of some texts, and their number of rows."""
-    out, n = np.zeros_like(omega), 0
-    for row, word, value in texts:
-        if not len(row):
-            continue
-        first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-        product = np.add.reduceat(value[:, None] * omega[word], first, axis=0)
-        which = np.cumsum(np.append(False, row[1:] != row[:-1]))
-        order = np.argsort(word, kind="stable")
-        begin = np.flatnonzero(np.append(True, word[order][1:] != word[order][:-1]))
-        out[word[order][begin]] += np.add.reduceat((value[:, None] * product[which])[order], begin, axis=0)
-        n += len(first)
-    return out, n
+def _times(rows: tuple[np.ndarray, ...], omega: np.ndarray) -> tuple[np.ndarray, int]:
+    """A'A times omega for sparse rows, and their number."""
+    row, word, value = rows
+    out = np.zeros_like(omega)
+    if not len(row):
+        return out, 0
+    change = np.append(True, row[1:] != row[:-1])
+    product = np.add.reduceat(value[:, None] * omega[word], np.flatnonzero(change), axis=0)
+    which = np.cumsum(change) - 1
+    order = np.argsort(word, kind="stable")
+    begin = np.flatnonzero(np.append(True, word[order][1:] != word[order][:-1]))
+    out[word[order][begin]] = np.add.reduceat((value[:, None] * product[which])[order], begin, axis=0)
+    return out, len(product)
+
+
+def _add_pairs(total: np.ndarray, rows: tuple[np.ndarray, ...]) -> int:
+    """Add sparse rows to A'A (only cells on and above the diagonal); returns the number of rows."""
+    row, word, value = rows
+    flat, size, word, value = total.reshape(-1), len(total), word.astype(np.int64), value.astype(np.float64)
+    np.add.at(flat, word * (size + 1), value * value)
+    for d in range(1, 2 * STEP):
+        at = np.flatnonzero(row[d:] == row[:-d])
+        if not len(at):
+            break
+        np.add.at(flat, word[at] * size + word[at + d], value[at] * value[at + d])
+    return int(np.count_nonzero(row[1:] != row[:-1])) + 1 if len(row) else 0
+
+
+def _lines(matrix: np.ndarray, n: int, upper: bool = False) -> Iterator[pa.RecordBatch]:
+    """A matrix line by line (line -1: n), those without any value left out."""
+    def batch(place: list[int], lines: list[bytes], counts: list[int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(place, pa.int32()), pa.array(lines, pa.binary()), pa.array(counts, pa.int64())],
+            ["i", "y", "n"])
+
+    yield batch([-1], [b""], [n])
+    for a in range(0, len(matrix), 64):
+        some = [k for k in range(a, min(a + 64, len(matrix))) if matrix[k].any()]
+        if some:
+            yield batch(some, [matrix[k, k if upper else 0:].astype(np.float32).tobytes() for k in some],
+                        [0] * len(some))
+
+
+def _line_sums(parts: DataFrame) -> DataFrame:
+    """Sums of the lines that tasks have of one matrix."""
+    def rows(batches):
+        total: dict[int, np.ndarray] = {}
+        n = 0
+        for batch in batches:
+            n += sum(batch.column("n").to_pylist())
+            for i, y in zip(batch.column("i").to_pylist(), batch.column("y")):
+                line = np.frombuffer(y.as_buffer(), np.float32)
+                if i in total:
+                    total[i] += line
+                else:
+                    total[i] = line.astype(np.float64)
+        place = sorted(total)
+        for a in range(0, len(place), 64):
+            some = place[a:a + 64]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int32()),
+                 pa.array([total[i].astype(np.float32).tobytes() for i in some], pa.binary()),
+                 pa.array([n if i == -1 else 0 for i in some], pa.int64())], ["i", "y", "n"])
+
+    return parts.repartition(16, "i").mapInArrow(rows, parts.schema)
 
 
-def latent_axes(coded: DataFrame, bench, weight: np.ndarray, passages: int, s: Settings) -> np.ndarray:
+def latent_axes(coded: DataFrame, bench, weight: np.ndarray, passages: int, s: Settings,
+                scratch: Scratch) -> np.ndarray:
     """Orthonormal latent axes (words x rank) by randomised subspace iteration.
 
-    The rows are the benchmark's passages and a sample, by a hash, of at most about
-    `fit_passages` document passages; both halves get the same total weight, so that the
-    axes describe the benchmark even where nothing leaked. Each step is one distributed
-    product with the sample.
+    The rows are all passages of the benchmark and of the documents; both halves get the
+    same total weight, so that the axes describe the benchmark even where nothing leaked.
+    Up to `gram_words` words, one pass over the documents sums the products of all pairs
+    of words of a passage, and the rounds multiply with that matrix; with more words each
+    round is a distributed product with all passages.
     """
     size = len(weight)
     rank = min(s.rank, size)
-    own = [_tfidf(weight, item) for item in bench.value.items]
-    share = max(1, math.ceil(passages / s.fit_passages))
-    sample = coded.filter(F.pmod(F.xxhash64("mark"), F.lit(share)) == 0).select("ids").repartition(8).persist()
+    # words by falling number of documents, so that most pairs fall into few lines
+    order = np.append(0, 1 + np.argsort(weight[1:], kind="stable"))
+    place = np.empty(size, dtype=np.int32)
+    place[order] = np.arange(size)
+    small = size <= s.gram_words + 1
+    tasks = max(8, passages >> 20)  # about a million passages a task, as each task's sums are shuffled
+    sc = coded.sparkSession.sparkContext
+    table = sc.broadcast((place, weight[order]))
+
+    def rows_of(batches) -> Iterator[tuple[np.ndarray, ...]]:
+        place, weight = table.value
+        for batch in W.slices(batches, 256):
+            yield _tfidf(weight, [place[np.frombuffer(x.as_buffer(), dtype=bench.value.dtype)]
+                                  for x in batch.column("ids")])
+
+    def pairs(batches):
+        total, n = np.zeros((size, size)), 0
+        for rows in rows_of(batches):
+            n += _add_pairs(total, rows)
+        yield from _lines(total, n, upper=True)
+
+    kind = "i int, y binary, n long"
+    ids = coded.select("ids")
+    if small:
+        gram = scratch.stage(_line_sums(ids.coalesce(tasks).mapInArrow(pairs, kind)), "pairs")
+    own = _tfidf(weight[order], [place[item] for item in bench.value.items])
     rng = np.random.default_rng(7)
-    basis = np.linalg.qr(rng.standard_normal((size, rank)))[0].astype(np.float32)
-    for _ in range(3):
-        shared = coded.sparkSession.sparkContext.broadcast((basis, weight))
+    basis = np.linalg.qr(rng.standard_normal((size, rank)))[0].astype(np.float32)[order]
+    for _ in range(ROUNDS):
+        shared = sc.broadcast(basis)
 
-        def rows(batches, shared=shared):
-            omega, weight = shared.value
-            total, n = np.zeros_like(omega), 0
+        def from_gram(batches, shared=shared):
+            omega, n = shared.value, 0
+            total = np.zeros_like(omega)
             for batch in batches:
-                texts = (np.frombuffer(x.as_buffer(), dtype=bench.value.dtype) for x in batch.column("ids"))
-                more, count = _times([_tfidf(weight, ids) for ids in texts], omega)
+                n += sum(batch.column("n").to_pylist())
+                batch = batch.filter(pc.greater_equal(batch.column("i"), 0))
+                at = batch.column("i").to_numpy()
+                lines = np.zeros((len(at), len(omega)), dtype=np.float32)
+                for k, (i, y) in enumerate(zip(at, batch.column("y"))):
+                    lines[k, i:] = np.frombuffer(y.as_buffer(), np.float32)
+                total[at] += lines @ omega  # no line comes twice
+                lines[np.arange(len(at)), at] = 0
+                total += lines.T @ omega[at]
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([n])], ["y", "n"])
+
+        def from_passages(batches, shared=shared):
+            omega, n = shared.value, 0
+            total = np.zeros_like(omega)
+            for rows in rows_of(batches):
+                more, count = _times(rows, omega)
                 total += more
                 n += count
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([total.tobytes()], pa.binary()), pa.array([n])], ["y", "n"])
-
-        parts = sample.mapInArrow(rows, "y binary, n long").collect()  # one small matrix a task, 8 at most
-        theirs = sum((np.frombuffer(r.y, np.float32).reshape(basis.shape) for r in parts), np.zeros_like(basis))
-        n = sum(r.n for r in parts)
+            yield from _lines(total, n)
+
+        theirs, n = np.zeros_like(basis), 0
+        if small:
+            for r in gram.coalesce(8).mapInArrow(from_gram, "y binary, n long").collect():  # a small matrix a task
+                theirs += np.frombuffer(r.y, np.float32).reshape(basis.shape)
+                n += r.n
+        else:
+            for r in _line_sums(ids.mapInArrow(from_passages, kind)).collect():  # one small matrix in all
+                n += r.n
+                if r.i >= 0:
+                    theirs[r.i] = np.frombuffer(r.y, np.float32)
         ours, m = _times(own, basis)
-        ours /= max(m, 1)
-        basis = np.linalg.qr(ours + theirs / max(n, 1))[0].astype(np.float32)
+        basis = np.linalg.qr(ours / max(m, 1) + theirs / max(n, 1))[0].astype(np.float32)
         shared.unpersist()
-    sample.unpersist()
-    return basis
+    if small:
+        scratch.drop("pairs")
+    return basis[place]
 
 
 def _compare(coded: DataFrame, bench, vectors: np.ndarray, s: Settings) -> DataFrame:
@@ -330,7 +437,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Setti
         coded = scratch.stage(_coded(docs, bench), f"coded{b}")
         df, n_docs, passages = _document_counts(coded, bench)
         weight = _weights(df, n_docs)
-        vectors = weight[:, None] * latent_axes(coded, bench, weight, passages, s)
+        vectors = weight[:, None] * latent_axes(coded, bench, weight, passages, s, scratch)
         found = scratch.stage(_compare(coded, bench, vectors.astype(np.float32), s), f"found{b}")
         scratch.drop(f"coded{b}")
         out = found if out is None else out.union(found)

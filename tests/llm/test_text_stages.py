@@ -237,3 +237,38 @@ def test_no_language_is_too_large_or_too_rare_to_be_learned(spark):
                                              "if(id % 150000 = 7, 'de', 'en') lang")
     model = fit(docs, 2)
     assert model.langs == ["de", "en"]
+
+
+@pytest.mark.parametrize("gram_words", [4096, 0])
+def test_latent_axes_are_those_of_all_passages(spark, tmp_path, gram_words):
+    """More passages than any sample: the axes equal those of all passages, computed at once."""
+    from surveyspark.llm.decontaminate import Settings, _coded, _document_counts, _weights, latent_axes
+    from surveyspark.llm.scratch import Scratch
+
+    rnd = np.random.default_rng(5)
+    vocabulary = [f"w{k}" for k in range(12)]
+    texts = [" ".join(rnd.choice(vocabulary, 3)) for _ in range(64_000)] + [" ".join(vocabulary * 4), "other", ""]
+    b = Benchmark([1, 2], ["w0 w1 w2 w3 w4 w5 w6", "w7 w8 w9 w10 w11 w0"])
+    bench = spark.sparkContext.broadcast(b)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    coded = _coded(docs, bench)
+    df, n, passages = _document_counts(coded, bench)
+    assert n == len(texts) and passages > 64_000
+    weight = _weights(df, n)
+    axes = latent_axes(coded, bench, weight, passages, Settings(rank=3, gram_words=gram_words), Scratch(spark, "axes"))
+
+    def rows(ids):
+        for s in starts(len(ids)):
+            count = np.bincount(ids[s:s + 32], minlength=13).astype(float)
+            v = np.where(count > 0, 1 + np.log(np.maximum(count, 1)), 0) * weight
+            if v.any():
+                yield v / np.linalg.norm(v)
+
+    coded_texts = [np.array([vocabulary.index(w) for w in t.split() if w in vocabulary], int) for t in texts]
+    at = b.code(W.words(pa.array([" ".join(vocabulary)], pa.large_string()), bare=True)[0])
+    theirs = np.array([v for t in coded_texts for v in rows(at[t])])
+    ours = np.array([v for item in b.items for v in rows(item)])
+    basis = np.linalg.qr(np.random.default_rng(7).standard_normal((13, 3)))[0]
+    for _ in range(3):
+        basis = np.linalg.qr(ours.T @ (ours @ basis) / len(ours) + theirs.T @ (theirs @ basis) / len(theirs))[0]
+    assert np.abs(axes @ axes.T - basis @ basis.T).max() < 1e-4
