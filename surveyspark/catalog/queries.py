@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -20,6 +21,7 @@ from surveyspark.operators.design import (
 from surveyspark.operators.estimate import Breakdown, design_total, estimate, with_limits
 from surveyspark.plans import clean, report, weight
 from surveyspark.plans.submissions import clean_from_submissions
+from surveyspark.session import tune
 from surveyspark.sources import forms, standin
 from surveyspark.sources.profile import (
     HOUSEHOLD_IDENTIFIERS,
@@ -43,8 +45,13 @@ DOCUMENTS = [*demographics.DOCUMENTS_FROM_5, *demographics.DOCUMENTS_BELOW_5]
 
 
 def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
-    return f
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        tune(spark)
+        return f(spark, sf)
+
+    QUERIES[f.__name__] = run
+    return run
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
@@ -88,38 +95,50 @@ def households_clean(spark: SparkSession, sf: str, missing: str = "strict") -> D
     return clean.enrich_households(base, members, PROFILE)
 
 
-def members_with_origin(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    """Members with imputed origin, for tables that need nothing of the household form."""
-    source = derived(spark, sf) if columns else member_origin(spark, sf)
-    members = stage(source.select(
-        "_index", "_parent_index", "R02", "R03", "REF06", "citizenship", "originAux", *columns), "members")
+def members_with_origin(spark: SparkSession, sf: str, *columns: str, members: DataFrame | None = None) -> DataFrame:
+    """Members with imputed origin, for tables that need nothing of the household form.
+
+    ``members`` are the written ones of ``base_and_members``, if the caller has them.
+    """
+    if members is None:
+        source = derived(spark, sf) if columns else member_origin(spark, sf)
+        members = stage(source.select(
+            "_index", "_parent_index", "R02", "R03", "REF06", "citizenship", "originAux", *columns), "members")
     modal = household.household_origin(members, PROFILE).withColumnRenamed("_parent_index", "_index")
     return demographics.impute_origin(linkage.push_down(members, modal, ["originAux2"]), PROFILE)
 
 
-def member_design_base(spark: SparkSession, sf: str, *columns: str) -> tuple[SurveyDesign, DataFrame]:
+def member_design_base(spark: SparkSession, sf: str, *columns: str,
+                       members: DataFrame | None = None) -> tuple[SurveyDesign, DataFrame]:
     """Member design before post-stratification, with its margin."""
     margin = stage(margins.member_margin(origins(spark, sf), PROFILE), "member-margin")
-    s1 = members_with_origin(spark, sf, *columns).select(
+    s1 = members_with_origin(spark, sf, *columns, members=members).select(
         "_index", "_parent_index", "origin", "R02", "R03", *columns)
     rows = weight.member_rows(s1, standin.countries(spark, sf), PROFILE, missing_age="leave_out")
     return weight.member_base_design(stage(rows, "member-rows"), margin), margin
 
 
-def adult_design_base(spark: SparkSession, sf: str) -> tuple[SurveyDesign, DataFrame]:
+def adult_design_base(spark: SparkSession, sf: str,
+                      tables: tuple[DataFrame, DataFrame] | None = None) -> tuple[SurveyDesign, DataFrame]:
+    """Adult design before post-stratification, with its margin.
+
+    ``tables`` are those of ``base_and_members`` with missing="skip", if the caller has them.
+    """
     margin = stage(margins.adult_margin(origins(spark, sf), PROFILE), "adult-margin")
-    hh = households_clean(spark, sf, "skip").select("_index", "origin", *ADULT_COLUMNS)
+    base, members = base_and_members(spark, sf, "skip") if tables is None else tables
+    hh = clean.enrich_households(base, members, PROFILE).select("_index", "origin", *ADULT_COLUMNS)
     rows = weight.adult_rows(hh, standin.countries(spark, sf), PROFILE)
     return weight.adult_base_design(stage(rows, "adult-rows"), margin), margin
 
 
-def member_design_ps(spark: SparkSession, sf: str, *columns: str) -> SurveyDesign:
-    design, margin = member_design_base(spark, sf, *columns)
+def member_design_ps(spark: SparkSession, sf: str, *columns: str, members: DataFrame | None = None) -> SurveyDesign:
+    design, margin = member_design_base(spark, sf, *columns, members=members)
     return poststratify(design, "originAgeSex_ps", margin)
 
 
-def adult_design_ps(spark: SparkSession, sf: str) -> SurveyDesign:
-    design, margin = adult_design_base(spark, sf)
+def adult_design_ps(spark: SparkSession, sf: str,
+                    tables: tuple[DataFrame, DataFrame] | None = None) -> SurveyDesign:
+    design, margin = adult_design_base(spark, sf, tables)
     return poststratify(design, "originSex_ps", margin)
 
 
@@ -379,7 +398,7 @@ def _forms_query(name: str, step: Callable[[DataFrame], DataFrame], *columns: st
     def run(spark: SparkSession, sf: str) -> DataFrame:
         return step(standin.households(spark, sf, respondent=False)).select("_index", *columns)
     run.__name__ = name
-    QUERIES[name] = run
+    query(run)
 
 
 _forms_query("banking", indicators.banking, "banking")
@@ -667,8 +686,9 @@ def weighted_total_se(spark, sf):
 
 @query
 def design_totals(spark, sf):
-    adult, _ = adult_design_base(spark, sf)
-    member, _ = member_design_base(spark, sf)
+    tables = base_and_members(spark, sf, "skip")
+    adult, _ = adult_design_base(spark, sf, tables)
+    member, _ = member_design_base(spark, sf, members=tables[1])
     out = design_total(adult).withColumn("design", F.lit("adults")).unionByName(
         design_total(member).withColumn("design", F.lit("members")))
     return rounded(out, 4, "n", "se")
@@ -717,8 +737,9 @@ def _beside_unweighted(design: SurveyDesign, x: str) -> DataFrame:
 
 @query
 def weighted_vs_unweighted(spark, sf):
-    adult = _beside_unweighted(adult_design_ps(spark, sf), "SAF01SDG")
-    member = member_design_ps(spark, sf, "documents")
+    tables = base_and_members(spark, sf, "skip")
+    adult = _beside_unweighted(adult_design_ps(spark, sf, tables), "SAF01SDG")
+    member = member_design_ps(spark, sf, "documents", members=tables[1])
     return adult.unionByName(_beside_unweighted(member, "documents"))
 
 

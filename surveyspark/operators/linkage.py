@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 
 from surveyspark.functions.nulls import unite
 from surveyspark.functions.reshape import only_in_right
+from surveyspark.sources.stages import stage
+
+
+#: parents with more rows than this are numbered band by band, over many tasks
+CROWD = 10_000
 
 
 def number_within(
@@ -17,12 +22,27 @@ def number_within(
 ) -> DataFrame:
     """Position of each row inside its parent, by ``order``.
 
-    ``band`` is a coarse value that never falls along ``order``. Rows are
-    numbered inside (parent, band), and the rows in earlier bands, counted
-    with map-side combine, are added. A parent with very many rows is thus
-    spread over as many tasks as it has bands.
+    ``band`` is a coarse value that comes before ``order``. Rows are numbered in one
+    window over the parent. The parents with more than ``CROWD`` rows are counted and
+    listed first; their rows are numbered inside (parent, band), and the rows in earlier
+    bands, counted with map-side combine, are added. A parent with very many rows is
+    thus spread over as many tasks as it has bands. Rows without parent or band have
+    no position and are left out.
     """
-    banded = df.withColumn("_band", band)
+    banded = df.withColumn("_band", band).filter(F.col(parent).isNotNull() & F.col("_band").isNotNull())
+    place = F.row_number().over(Window.partitionBy(parent).orderBy("_band", *order))
+    crowds = stage(
+        banded.groupBy(F.col(parent).alias("_crowd")).agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > CROWD).select("_crowd"), "crowds")
+    if crowds.isEmpty():
+        return banded.withColumn(name, place.cast("int")).drop("_band")
+    of_crowd = F.col(parent) == F.col("_crowd")
+    usual = banded.join(crowds, of_crowd, "left_anti").withColumn(name, place.cast("int"))
+    crowded = _number_by_bands(banded.join(crowds, of_crowd, "left_semi"), parent, order, name)
+    return usual.unionByName(crowded).drop("_band")
+
+
+def _number_by_bands(banded: DataFrame, parent: str, order: Sequence[str], name: str) -> DataFrame:
     sizes = banded.groupBy(parent, "_band").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(parent).orderBy("_band").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -33,7 +53,7 @@ def number_within(
         banded.withColumn("_place", F.row_number().over(inside))
         .join(offsets, [parent, "_band"])
         .withColumn(name, (F.col("_place") + F.col("_offset")).cast("int"))
-        .drop("_band", "_place", "_offset")
+        .drop("_place", "_offset")
     )
 
 

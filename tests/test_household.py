@@ -146,3 +146,34 @@ def test_checked_join_matches_missing_keys_and_keeps_labels(spark):
 def test_identifiers_are_stripped(spark):
     df = spark.createDataFrame([(1, "a", "b")], "k int, R01 string, adult_name string")
     assert K.strip_identifiers(df, ["R01", "adult_name", "absent"]).columns == ["k"]
+
+
+def test_only_crowded_parents_are_numbered_by_bands(spark, monkeypatch):
+    """Usual parents take one shuffle and no join; both ways give the same positions."""
+    from surveyspark.operators import linkage
+
+    rows = [(k % 5 if k % 3 else 9, k % 7, k % 50 if k % 11 else None) for k in range(400)] + [(None, 1, 1), (1, None, 2)]
+    df = spark.createDataFrame(rows, "parent long, line int, part int")
+
+    def number():
+        return linkage.number_within(df, "parent", ["line", "part"], F.col("line") * 10, "no")
+
+    one_window = number()
+    plan = one_window._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    want = sorted(map(str, one_window.collect()))
+    assert len(want) == 400
+    for crowd in (0, 50, 100):
+        monkeypatch.setattr(linkage, "CROWD", crowd)
+        assert sorted(map(str, number().collect())) == want
+
+
+def test_designs_over_one_set_of_members_number_the_roster_once(spark, monkeypatch):
+    from surveyspark.catalog import queries as Q
+
+    numbered = []
+    plain = Q.standin.numbered_items
+    monkeypatch.setattr(Q.standin, "numbered_items", lambda *a: numbered.append(a) or plain(*a))
+    assert Q.QUERIES["design_totals"](spark, "/root/testdata/sf0.001").count() == 2
+    assert len(numbered) == 1
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
