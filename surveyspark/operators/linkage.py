@@ -26,18 +26,19 @@ def number_within(
     window over the parent. The parents with more than ``CROWD`` rows are counted and
     listed first; their rows are numbered inside (parent, band), and the rows in earlier
     bands, counted with map-side combine, are added. A parent with very many rows is
-    thus spread over as many tasks as it has bands. Rows without parent or band have
-    no position and are left out.
+    thus spread over as many tasks as it has bands. Rows without parent are left out, and
+    so are rows without band, which take the first positions of their parent.
     """
-    banded = df.withColumn("_band", band).filter(F.col(parent).isNotNull() & F.col("_band").isNotNull())
+    banded = df.withColumn("_band", band).filter(F.col(parent).isNotNull())
+    has_band = F.col("_band").isNotNull()
     place = F.row_number().over(Window.partitionBy(parent).orderBy("_band", *order))
     crowds = stage(
         banded.groupBy(F.col(parent).alias("_crowd")).agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > CROWD).select("_crowd"), "crowds")
     if crowds.isEmpty():
-        return banded.withColumn(name, place.cast("int")).drop("_band")
+        return banded.withColumn(name, place.cast("int")).filter(has_band).drop("_band")
     of_crowd = F.col(parent) == F.col("_crowd")
-    usual = banded.join(crowds, of_crowd, "left_anti").withColumn(name, place.cast("int"))
+    usual = banded.join(crowds, of_crowd, "left_anti").withColumn(name, place.cast("int")).filter(has_band)
     crowded = _number_by_bands(banded.join(crowds, of_crowd, "left_semi"), parent, order, name)
     return usual.unionByName(crowded).drop("_band")
 

@@ -152,7 +152,7 @@ def test_only_crowded_parents_are_numbered_by_bands(spark, monkeypatch):
     """Usual parents take one shuffle and no join; both ways give the same positions."""
     from surveyspark.operators import linkage
 
-    rows = [(k % 5 if k % 3 else 9, k % 7, k % 50 if k % 11 else None) for k in range(400)] + [(None, 1, 1), (1, None, 2)]
+    rows = [(k % 5 if k % 3 else 9, k % 7, k % 50 if k % 11 else None) for k in range(400)] + [(None, 1, 1), (1, None, 2), (9, None, 3)]
     df = spark.createDataFrame(rows, "parent long, line int, part int")
 
     def number():
@@ -163,6 +163,8 @@ def test_only_crowded_parents_are_numbered_by_bands(spark, monkeypatch):
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
     want = sorted(map(str, one_window.collect()))
     assert len(want) == 400
+    assert {r.parent: r.low for r in one_window.groupBy("parent").agg(F.min("no").alias("low")).collect()} == {
+        0: 1, 1: 2, 2: 1, 3: 1, 4: 1, 9: 2}
     for crowd in (0, 50, 100):
         monkeypatch.setattr(linkage, "CROWD", crowd)
         assert sorted(map(str, number().collect())) == want
