@@ -102,16 +102,23 @@ def functioning_flags(df: DataFrame) -> DataFrame:
     return df.withColumns(flags)
 
 
-def disability_rules(get: Get) -> dict[str, Column]:
+def functioning_sums(get: Get) -> dict[str, Column]:
+    """Domains with some, and with severe, difficulty, and whether no domain was answered."""
+    answers = [get(q) for q in FUNCTIONING]
+    return {"disSum234": count_in(answers, SOME_DIFFICULTY), "disSum34": count_in(answers, SEVERE_DIFFICULTY),
+            "undisclosed": all_in(answers, NO_ANSWER)}
+
+
+def disability_rules(get: Get, sums: Get | None = None) -> dict[str, Column]:
     """Counts of affected domains and the four disability identifiers.
 
     Identifiers 1 to 3 read a missing answer as "not affected"; identifier 4
     compares directly and so stays missing where the answers do not decide it.
+    ``sums`` gives the ``functioning_sums`` by name, if the caller has them.
     """
-    answers = [get(q) for q in FUNCTIONING]
-    some, severe = count_in(answers, SOME_DIFFICULTY), count_in(answers, SEVERE_DIFFICULTY)
-    undisclosed = all_in(answers, NO_ANSWER)
-    unable = any_equal(answers, CANNOT_DO)
+    known = sums or functioning_sums(get).__getitem__
+    some, severe, undisclosed = known("disSum234"), known("disSum34"), known("undisclosed")
+    unable = any_equal([get(q) for q in FUNCTIONING], CANNOT_DO)
 
     def counted(hit: Column) -> Column:
         return F.when(hit, 1).when(undisclosed, 98).otherwise(0)

@@ -34,11 +34,11 @@ from surveyspark.sources.profile import (
 ROSTER = "_roster"
 
 
-def _rules(get: demographics.Get, profile: Profile) -> dict[str, Column]:
+def _rules(get: demographics.Get, sums: demographics.Get, profile: Profile) -> dict[str, Column]:
     """All derived answers of a member that leave the stage."""
     rules = {
         **demographics.age_band_rules(get), **demographics.citizenship_rules(get, profile),
-        **demographics.disability_rules(get), **demographics.document_rules(get)}
+        **demographics.disability_rules(get, sums), **demographics.document_rules(get)}
     return {n: c for n, c in rules.items() if n not in ("disSum234", "disSum34", "doc5plus", "doc04")}
 
 
@@ -52,12 +52,18 @@ def derived_roster(submissions: DataFrame, roster: str, profile: Profile) -> Dat
         raise ValueError(f"{roster} is not a repeat group")
     asked = [n for n in kind.elementType.names if n not in MEMBER_IDENTIFIERS]
 
-    def entry(member: Column, place: Column) -> Column:
-        derived = _rules(lambda n: member[n], profile)
+    def summed(member: Column) -> Column:
+        sums = demographics.functioning_sums(lambda n: member[n])
+        return F.struct(member.alias("answers"), *[c.alias(n) for n, c in sums.items()])
+
+    def entry(known: Column, place: Column) -> Column:
+        member = known["answers"]
+        derived = _rules(lambda n: member[n], lambda n: known[n], profile)
         return F.struct((place + 1).alias("member_no"), *[member[n].alias(n) for n in asked],
                         *[c.alias(n) for n, c in derived.items()])
 
-    entries = F.transform(F.coalesce(F.col(roster), F.array()), entry)
+    # expressions on entries are not shared: the sums, read by several rules, get a pass of their own
+    entries = F.transform(F.transform(F.coalesce(F.col(roster), F.array()), summed), entry)
     return submissions.withColumn(ROSTER, entries).drop(roster)
 
 
@@ -140,7 +146,10 @@ def clean_from_submissions(submissions: DataFrame, profile: Profile, roster: str
 
     names = full.schema[ROSTER].dataType.elementType.names
     carried = [c for c in HOUSEHOLD_TO_MEMBERS if c in full.columns]
-    exploded = full.select(F.col("_index").alias("_parent_index"), "headHHno", *carried, F.inline(ROSTER))
+    # from an inner inline Spark infers a filter that derives the whole roster once more
+    exploded = full.select(
+        F.col("_index").alias("_parent_index"), "headHHno", *carried, F.inline_outer(ROSTER)
+    ).filter(F.col("member_no").isNotNull())
     flag = labelled((F.col("member_no") == F.col("headHHno")).cast("int"), "householdHead",
                     household.HEAD_LABELS, "Head of household")
     derived = {n: demographics.with_labels(F.col(n), n) for n in demographics.MEMBER_LABELS}

@@ -77,6 +77,13 @@ def test_heads_respondents_and_keys(submissions):
     assert value_labels(out.s1, "documents") and value_labels(out.hh, "headHHR03cat") == value_labels(out.s1, "R03cat")
 
 
+def test_rosters_are_derived_once(submissions):
+    s1 = clean_from_submissions(submissions, PROFILE).s1
+    plan = s1._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Filter" in line and "transform(" in line for line in plan.splitlines())
+    assert s1.filter("member_no IS NULL").isEmpty()
+
+
 def test_links_are_counted_while_written(submissions):
     tables = forms.flatten(submissions, ["S1A"])
     members = tables["S1A"].withColumn("_index", F.col("_parent_index") % 1000 * 100 + F.col("member_no"))
