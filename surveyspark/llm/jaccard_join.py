@@ -7,6 +7,10 @@ one order of all shingles, two similar sets share a shingle among the first
 n - ceil(t * n) + 1 of each. Where light ends is the size at which the subsets to write
 would cost more than the list entries to scan, from counts over all sets.
 
+Lists of the same sets are kept once, with their number. Sets that share a list are
+compared by parity bitmaps first: each shingle flips a bit, so bitmaps that differ in more
+bits than the two sets may differ in shingles rule the link out, and no row is made.
+
 Links are never listed for whole groups. A list is first compared with a few leaders per
 round, drawn from its largest component; what they link becomes one component, and only
 pairs of different components remain to be compared. The last round compares all of
@@ -34,6 +38,7 @@ COMMON = 1 << 20    # most shingles whose place in the order is moved to the end
 BLOCK = 1 << 22     # shingles of a task that are counted together
 ROUNDS = 4          # most leader rounds before the exact last one
 LEADERS = 4         # sets of a list that the others are compared with in a round
+PARITY = 8          # 64-bit words of a set's parity bitmap
 
 
 def need(n: int, percent: int) -> int:
@@ -47,6 +52,12 @@ def set_hash(items: np.ndarray) -> np.uint64:
     return W.mix(size + W.mix(items).sum(dtype=np.uint64))[0]
 
 
+def parity(items: np.ndarray) -> np.ndarray:
+    """Bitmap of a set: bit i tells whether an odd number of its shingles has i in its low bits."""
+    odd = np.bincount((items & np.uint64(64 * PARITY - 1)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _sets(batch: pa.RecordBatch, width: int) -> Iterator[np.ndarray]:
     """The shingle set of each row's text, as sorted hashes."""
     hashes, at = W.words(batch.column("text"))
@@ -120,29 +131,39 @@ def _ordered_head(items: np.ndarray, common: np.ndarray, counts: np.ndarray, siz
 
 
 def _set_table(docs: DataFrame, width: int, percent: int, common, counts) -> DataFrame:
-    """doc_id, sig, n and the shingles that lists need (all of them up to SMALL)."""
+    """doc_id, sig, n, the shingles that lists need (all of them up to SMALL), parity bitmap, hash of the text."""
     shared = docs.sparkSession.sparkContext.broadcast((common, counts))
 
     def rows(batches):
         common, counts = shared.value
         for batch in W.slices(batches):
-            sigs, sizes, heads = [], [], []
+            sigs, sizes, heads, bits = [], [], [], []
             for items in _sets(batch, width):
                 n = len(items)
                 sigs.append(set_hash(items) if n else 0)
                 sizes.append(n)
                 take = n if n <= SMALL else n - need(n, percent) + 1
                 heads.append(_ordered_head(items, common, counts, take))
+                bits.append(parity(items))
+            bits = np.stack(bits)
             flat = np.concatenate(heads) if heads else np.empty(0, np.uint64)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"),
                 pa.array(np.array(sigs, dtype=np.uint64).view(np.int64)),
                 pa.array(np.array(sizes, dtype=np.int64)),
                 W.list_column(W.as_long(flat), np.array([len(x) for x in heads], dtype=np.int64)),
-            ], ["doc_id", "sig", "n", "items"])
+                *[pa.array(np.ascontiguousarray(bits[:, k])) for k in range(PARITY)],
+                batch.column("mark"),
+            ], ["doc_id", "sig", "n", "items", *_bits(), "mark"])
+
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(
+        rows, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, sig long, n long, items array<long>, "
+              + ", ".join(f"{c} long" for c in (*_bits(), "mark")))
+
 
-    return docs.select("doc_id", "text").mapInArrow(
-        rows, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, sig long, n long, items array<long>")
+def _bits(side: str = "") -> list[str]:
+    """Columns of the parity bitmap, of one side of a pair."""
+    return [f"{side}bits{k}" for k in range(PARITY)]
 
 
 def subset_sizes(n: int, percent: int) -> range:
@@ -175,12 +196,17 @@ def _subset_keys(sets: DataFrame, percent: int) -> DataFrame:
 def _shared_lists(postings: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """The postings (key, sig, n) of keys that two different sets have, with the list's length.
 
-    Both sides of the join are written before: it then has a shuffle on each side, and a
+    Keys with the same sets are one list, under the least of them; `weight` is their number.
+    Whether two lists hold the same sets is told by their lengths and two sums of hashes. Both sides of the join are written before: it then has a shuffle on each side, and a
     key of very many sets can be split.
     """
     distinct = scratch.stage(postings.dropDuplicates(["key", "sig"]), f"{name}-postings")
-    keys = scratch.stage(distinct.groupBy("key").agg(F.count("*").alias("length")).filter("length > 1"),
-                         f"{name}-keys")
+    lists = (distinct.groupBy("key")
+             .agg(F.count("*").alias("length"), F.bit_xor(F.xxhash64("sig")).alias("one"),
+                  F.bit_xor(F.xxhash64(F.lit(1), "sig")).alias("two")).filter("length > 1"))
+    keys = scratch.stage(lists.groupBy("length", "one", "two")
+                         .agg(F.min("key").alias("key"), F.count("*").alias("weight"))
+                         .select("key", "length", "weight"), f"{name}-keys")
     return distinct.join(keys, "key")
 
 
@@ -235,8 +261,14 @@ def _in_place(percent: int) -> F.Column:
     return F.least("apos", "bpos") + F.least(F.col("an") - F.col("apos"), F.col("bn") - F.col("bpos")) >= wanted
 
 
+def _near_bits(percent: int) -> F.Column:
+    """Whether the parity bitmaps differ in no more bits than linked sets may differ in shingles."""
+    apart = sum(F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(_bits("a"), _bits("b")))
+    return apart * (100 + percent) <= (F.col("an") + F.col("bn")) * (100 - percent)
+
+
 def _promising(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, an, bn, one row for each shared key) whose shared keys allow a link.
+    """Pairs (a, b, an, bn, one row for each shared list) whose shared keys allow a link.
 
     A shared shingle outside both list prefixes comes from the rest of one set, so the
     overlap is at most the shared list keys plus the larger rest. Subset keys always count.
@@ -246,30 +278,34 @@ def _promising(pairs: DataFrame, percent: int) -> DataFrame:
 
     wanted = F.ceil((F.col("an") + F.col("bn")) * percent / F.lit(100 + percent))
     return (pairs.groupBy("a", "b", "an", "bn")
-            .agg(F.sum(F.col("scan").cast("long")).alias("lists"), F.min("scan").alias("only_lists"))
+            .agg(F.sum("weight").alias("lists"), F.min("scan").alias("only_lists"))
             .filter(~F.col("only_lists") | (F.col("lists") + F.greatest(rest("an"), rest("bn")) >= wanted))
             .select("a", "b"))
 
 
-def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(sig, items) of the wanted sets, from a second reading of the texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(bloom.build(wanted, "sig"))
+def _whole_sets(docs: DataFrame, marks: DataFrame, width: int) -> DataFrame:
+    """(sig, items) of the sets of the texts with these hashes, from a second reading of the texts.
+
+    Texts that share a bit of the filter by chance come along; the join by sig drops them.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(bloom.build(marks, "mark"))
 
     def rows(batches):
         seen: set[int] = set()
         for batch in W.slices(batches):
-            sets = [items for items in _sets(batch, width) if len(items)]
-            sigs = np.array([set_hash(items) for items in sets], dtype=np.uint64)
-            hit = [i for i in np.flatnonzero(bloom.passes(*shared.value, sigs)) if int(sigs[i]) not in seen]
-            if hit:
+            marks = batch.column("mark").to_numpy()
+            hit = [i for i in np.flatnonzero(bloom.passes(*shared.value, marks.view(np.uint64)))
+                   if int(marks[i]) not in seen]
+            sets = [items for items in _sets(batch.take(pa.array(hit, pa.int64())), width) if len(items)] if hit else []
+            if sets:
                 if len(seen) < 1 << 20:  # copies in one task come once; others are dropped later
-                    seen.update(int(sigs[i]) for i in hit)
+                    seen.update(int(marks[i]) for i in hit)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(W.as_long(sigs[hit])),
-                     W.list_column(W.as_long(np.concatenate([sets[i] for i in hit])),
-                                   np.array([len(sets[i]) for i in hit]))], ["sig", "items"])
+                    [pa.array(W.as_long(np.array([set_hash(items) for items in sets], dtype=np.uint64))),
+                     W.list_column(W.as_long(np.concatenate(sets)), np.array([len(x) for x in sets]))],
+                    ["sig", "items"])
 
-    return docs.select("text").mapInArrow(rows, "sig long, items array<long>")
+    return docs.select("text", F.xxhash64("text").alias("mark")).mapInArrow(rows, "sig long, items array<long>")
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -304,10 +340,12 @@ def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85,
     scans = {n: scans.get(n, 0) + m * (n - need(n, percent) + 1) for n, m in sizes.items()}
     light = light_boundary(sizes, scans, percent)
     subsets = _shared_lists(_subset_keys(small.filter(F.col("n").between(1, light)), percent), scratch, "subset")
+    scanned = lists.filter(F.col("n") >= need(light + 1, percent)).withColumn("scan", F.lit(True))
+    subsets = subsets.withColumns({"pos": F.lit(0).cast("long"), "scan": F.lit(False)})
+    names = ["key", "sig", "n", "pos", "scan", "weight"]
     entries = scratch.stage(
-        lists.filter(F.col("n") >= need(light + 1, percent)).select("key", "sig", "n", "pos", F.lit(True).alias("scan"))
-        .union(subsets.select("key", "sig", "n", F.lit(0).cast("long").alias("pos"), F.lit(False).alias("scan"))),
-        "entries")
+        scanned.select(*names).union(subsets.select(*names))
+        .join(filled.select("sig", *_bits()).dropDuplicates(["sig"]), "sig"), "entries")
     scratch.drop("lists", "often", "scan-postings", "scan-keys", "subset-postings", "subset-keys")
 
     groups, rows, before = None, entries.count(), None
@@ -332,20 +370,21 @@ def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85,
         last = spared <= rows / 4 or turn == ROUNDS or (before is not None and spared > 0.7 * before)
         before = spared
         one = now.select("key", "scan", F.col("sig").alias("a"), F.col("n").alias("an"), F.col("part").alias("ap"),
-                         F.col("pos").alias("apos"))
+                         F.col("pos").alias("apos"), *[F.col(c).alias(f"a{c}") for c in _bits()])
         if not last:
             sized = one.join(parts.select("key", "scan", F.col("part").alias("ap"), "m"), ["key", "scan", "ap"])
-            drawn = [F.min_by(F.struct("a", "an", "ap", "apos"),
+            drawn = [F.min_by(F.struct("a", "an", "ap", "apos", *_bits("a")),
                               F.struct(-F.col("m"), F.xxhash64("a", F.lit(turn * LEADERS + j))))
                      for j in range(LEADERS)]
             one = (sized.groupBy("key", "scan").agg(F.array_distinct(F.array(*drawn)).alias("leaders"))
                    .select("key", "scan", F.explode("leaders").alias("leader")).select("key", "scan", "leader.*"))
         other = now.select("key", "scan", F.col("sig").alias("b"), F.col("n").alias("bn"), F.col("part").alias("bp"),
-                           F.col("pos").alias("bpos"))
+                           F.col("pos").alias("bpos"), "weight", *[F.col(c).alias(f"b{c}") for c in _bits()])
         pairs = one.join(other, ["key", "scan"]).filter(
             (F.col("a") < F.col("b") if last else F.lit(True)) & (F.col("ap") != F.col("bp"))
             & _similar("an", "bn", percent)
-            & (~F.col("scan") | ((F.greatest("an", "bn") > light) & _in_place(percent))))
+            & (~F.col("scan") | ((F.greatest("an", "bn") > light) & _in_place(percent)))
+            & _near_bits(percent)).drop(*_bits("a"), *_bits("b"))
         if not last:  # two leaders of a list are one pair
             pairs = pairs.withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b"),
                                        "an": F.when(F.col("a") < F.col("b"), F.col("an")).otherwise(F.col("bn")),
@@ -353,7 +392,8 @@ def similar_sets(docs: DataFrame, width: int = 4, percent: int = 85,
             pairs = pairs.dropDuplicates(["key", "scan", "a", "b"])
         pairs = scratch.stage(_promising(pairs, percent), f"pairs{turn}")
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-        whole = scratch.stage(_whole_sets(docs, wanted, width), f"whole{turn}")
+        marks = filled.join(wanted, "sig").groupBy("sig").agg(F.min("mark").alias("mark"))  # one text of each set
+        whole = scratch.stage(_whole_sets(docs, marks, width), f"whole{turn}")
         found = _links(pairs, whole, percent)
         if groups is not None:  # links between components known so far join those
             found = found.union(groups.select("node", "component"))

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from surveyspark.llm.components import components
+from surveyspark.llm import jaccard_join as J
 from surveyspark.llm.jaccard_join import jaccard_join, light_boundary, need, one_of_each_group, subset_sizes
 from surveyspark.llm.scratch import Scratch
 
@@ -120,3 +121,41 @@ def test_prefixes_of_a_chain_across_the_light_boundary(documents, prose, percent
 
 def test_brute_force_helper_counts_sets():
     assert Counter(brute([(1, "a b c d e"), (2, "a b c d e")]).values()) == {(2, 1): 2}
+
+
+@pytest.fixture
+def stages(monkeypatch):
+    """Rows of each table that the join writes, by name."""
+    rows, write = {}, Scratch.stage
+
+    def stage(self, df, name):
+        out = write(self, df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Scratch, "stage", stage)
+    return rows
+
+
+def test_lists_of_the_same_sets_are_one(documents, prose, stages):
+    rows = [(10 * k + j, prose(300 + k, 400) + f" tail{j}") for k in range(3) for j in range(2)]
+    assert found(jaccard_join(documents(rows))) == brute(rows)
+    assert stages["scan-postings"] > 100  # a list for each of many shingles
+    assert stages["entries"] == 6         # one for each two texts
+
+
+def test_texts_below_the_threshold_make_no_pairs(documents, prose, stages):
+    words = prose(400, 60).split()  # copies with one word changed each: 49 of 65 shingles in common
+    rows = [(k, " ".join([*words[:5 * k + 4], f"x{k}", *words[5 * k + 5:]])) for k in range(11)]
+    rows += [(100, rows[0][1]), (101, rows[0][1] + " more")]
+    assert found(jaccard_join(documents(rows))) == brute(rows)
+    assert sum(n for name, n in stages.items() if name.startswith("pairs")) <= 2
+
+
+def test_parity_bitmaps_differ_in_at_most_the_shingles_that_differ():
+    rnd = np.random.default_rng(1)
+    for _ in range(200):
+        a = np.unique(rnd.integers(0, 1 << 62, rnd.integers(1, 900)).astype(np.uint64))
+        b = np.union1d(a[rnd.random(len(a)) < 0.9], rnd.integers(0, 1 << 62, 40).astype(np.uint64))
+        apart = sum(int(x).bit_count() for x in (J.parity(a) ^ J.parity(b)).view(np.uint64))
+        assert apart <= len(np.setxor1d(a, b))
