@@ -32,6 +32,7 @@ HEAD = 1 << 17        # most words whose counts every task holds; the others are
 HIDDEN, WINDOW = 16, 32
 BATCH = 512           # texts that advance together in scoring
 SEGMENT = 512         # symbols over which training carries a state; scoring carries it to the text's end
+ROWS = 2048           # states whose output layer is computed at once in scoring: they stay in cache
 HOLD = 1 << 21        # tokens that a task gathers, so that texts of like length advance together
 BLOCK = 1 << 22       # tokens of a task that are counted together
 END = np.uint64(0x9AE16A3B2F90404F)
@@ -176,17 +177,43 @@ def _unpack(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
     return out
 
 
-def _sigmoid(x):
-    return 1 / (1 + np.exp(-x))
+class Recurrence:
+    """The recurrent step of some parameters; gates are kept as their negatives until the logistic function."""
+
+    def __init__(self, p):
+        self.x = p["x"]
+        self.u = p["u"].copy()
+        self.u[:, :2 * HIDDEN] *= -1
+
+    def inputs(self, symbols: np.ndarray) -> np.ndarray:
+        a = self.x.take(symbols, axis=0)
+        np.negative(a[..., :2 * HIDDEN], out=a[..., :2 * HIDDEN])
+        return a
+
+    def step(self, a, h, b, gates, new, out) -> None:
+        """State after symbols of the inputs a into `out`; b, gates and new are what the backward pass needs."""
+        k = 2 * HIDDEN
+        np.matmul(h, self.u, out=b)
+        np.add(a[:, :k], b[:, :k], out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        np.multiply(gates[:, HIDDEN:], b[:, k:], out=new)
+        new += a[:, k:]
+        np.tanh(new, out=new)
+        np.subtract(h, new, out=out)
+        out *= gates[:, :HIDDEN]
+        out += new
 
 
 def _step(p, symbols, h):
     """State after the symbols, and what the backward pass needs."""
-    a, b = p["x"][symbols], h @ p["u"]
-    k = 2 * HIDDEN
-    gates = _sigmoid(a[:, :k] + b[:, :k])
-    n = np.tanh(a[:, k:] + gates[:, HIDDEN:] * b[:, k:])
-    return n + gates[:, :HIDDEN] * (h - n), (gates, n, b[:, k:])
+    n, kind = len(symbols), p["u"].dtype
+    b, gates = np.empty((n, 3 * HIDDEN), kind), np.empty((n, 2 * HIDDEN), kind)
+    new, out = np.empty((2, n, HIDDEN), kind)
+    recurrence = Recurrence(p)
+    recurrence.step(recurrence.inputs(symbols), h, b, gates, new, out)
+    return out, (gates, new, b[:, 2 * HIDDEN:])
 
 
 def _output(p, h, symbols, grads=None):
@@ -196,7 +223,8 @@ def _output(p, h, symbols, grads=None):
     """
     symbols = symbols.astype(np.int64)
     cls = np.where(symbols < SHORTLIST, symbols // CLASS, SHORTLIST // CLASS + symbols - SHORTLIST)
-    logit = p["c"].T @ h.T + p["cb"][:, None]  # a row for each class: sums down the columns are quick
+    logit = p["c"].T @ h.T  # a row for each class: sums down the columns are quick
+    logit += p["cb"][:, None]
     logit -= logit.max(axis=0)
     every = np.arange(len(h))
     chosen = logit[cls, every]
@@ -205,18 +233,21 @@ def _output(p, h, symbols, grads=None):
     logp = (chosen - np.log(total)).astype(np.float64)
     dh = None
     if grads is not None:
-        d = e / total
-        d[cls, every] -= 1
-        grads["c"] += (d @ h).T
-        grads["cb"] += d.sum(axis=1)
-        dh = (p["c"] @ d).T
+        e /= total
+        e[cls, every] -= 1
+        grads["c"] += (e @ h).T
+        grads["cb"] += e.sum(axis=1)
+        dh = (p["c"] @ e).T
     own = np.flatnonzero(symbols < SHORTLIST)
-    own = own[np.argsort(cls[own], kind="stable")]
-    borders = np.searchsorted(cls[own], np.arange(SHORTLIST // CLASS + 1))
-    spans = [(k, slice(borders[k], borders[k + 1])) for k in np.flatnonzero(np.diff(borders))]
-    mine, logit = h[own], p["wb"].T[:, cls[own]]
+    own = own[np.argsort(cls[own].astype(np.int16), kind="stable")]  # by class, a radix sort
+    borders = np.searchsorted(cls[own], np.arange(SHORTLIST // CLASS + 1)).tolist()
+    spans = [(k, slice(a, b)) for k, (a, b) in enumerate(zip(borders, borders[1:])) if b > a]
+    mine = h.take(own, axis=0)
+    by_row = np.empty((len(own), CLASS), dtype=p["w"].dtype)
     for k, at in spans:
-        logit[:, at] += p["w"][k].T @ mine[at].T
+        np.matmul(mine[at], p["w"][k], out=by_row[at])
+    by_row += p["wb"].take(cls[own], axis=0)
+    logit = by_row.T.copy()  # a row for each word of a class
     logit -= logit.max(axis=0)
     every, word = np.arange(len(own)), symbols[own] % CLASS
     chosen = logit[word, every]
@@ -224,14 +255,16 @@ def _output(p, h, symbols, grads=None):
     total = e.sum(axis=0)
     logp[own] += chosen - np.log(total)
     if grads is not None:
-        d = e / total
-        d[word, every] -= 1
+        e /= total
+        e[word, every] -= 1
+        by_row[...] = e.T
         back = np.empty_like(mine)
         for k, at in spans:
-            part = d[:, at]
-            grads["w"][k] += (part @ mine[at]).T
-            grads["wb"][k] += part.sum(axis=1)
-            back[at] = (p["w"][k] @ part).T
+            part = by_row[at]
+            grads["w"][k] += mine[at].T @ part
+            np.matmul(part, p["w"][k].T, out=back[at])
+        if spans:
+            grads["wb"][[k for k, _ in spans]] += np.add.reduceat(by_row, [at.start for _, at in spans], axis=0)
         dh[own] += back
     return logp, dh
 
@@ -247,20 +280,28 @@ def score_texts(p, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Natural log-probability of each text's symbols, the state carried to its end."""
     sizes = np.diff(at)
     out = np.zeros(len(sizes))
+    recurrence = Recurrence(p)
     for group in _ranked(sizes, BATCH):
         size, begin = sizes[group], at[group]
-        h = np.zeros((len(group), HIDDEN), dtype=np.float32)
-        for t0 in range(0, int(size[0]) if len(size) else 0, WINDOW):
-            states, targets, who = [], [], []
-            for t in range(t0, min(t0 + WINDOW, int(size[0]))):
-                live = int(np.searchsorted(-size, -t, side="left"))  # texts longer than t
-                now = symbols[begin[:live] + t]
-                states.append(h[:live])
-                targets.append(now)
-                who.append(np.arange(live))
-                h = _step(p, now, h[:live])[0]
-            logp, _ = _output(p, np.concatenate(states), np.concatenate(targets))
-            out[group] += np.bincount(np.concatenate(who), logp, minlength=len(group))
+        longest = int(size[0]) if len(size) else 0
+        h, after, new = np.zeros((3, len(group), HIDDEN), dtype=np.float32)
+        b, gates = np.empty((len(group), 3 * HIDDEN), np.float32), np.empty((len(group), 2 * HIDDEN), np.float32)
+        lives = np.searchsorted(-size, -np.arange(longest), side="left")  # texts longer than t
+        states, targets, who, rows = [], [], [], 0
+        for t in range(longest):
+            live = int(lives[t])
+            now = symbols[begin[:live] + t]
+            states.append(h[:live].copy())
+            targets.append(now)
+            who.append(live)
+            rows += live
+            recurrence.step(recurrence.inputs(now), h[:live], b[:live], gates[:live], new[:live], after[:live])
+            h, after = after, h
+            if rows >= ROWS or t == longest - 1:
+                logp, _ = _output(p, np.concatenate(states), np.concatenate(targets))
+                whose = np.concatenate([np.arange(n) for n in who])
+                out[group] += np.bincount(whose, logp, minlength=len(group))
+                states, targets, who, rows = [], [], [], 0
     return out
 
 
@@ -276,38 +317,47 @@ class Trainer:
         """One update from a window (texts x time); returns the state after it."""
         p, g = self.p, {k: np.zeros_like(v) for k, v in self.p.items()}
         n, length = symbols.shape
-        k, symbols = 2 * HIDDEN, symbols.T
-        states = np.empty((length + 1, n, HIDDEN), dtype=np.float32)
-        gates = np.empty((length, n, k), dtype=np.float32)
-        new, bn = np.empty_like(states[1:]), np.empty_like(states[1:])
+        k, kind, symbols = 2 * HIDDEN, p["u"].dtype, symbols.T
+        recurrence = Recurrence(p)
+        inputs = recurrence.inputs(symbols)
+        states = np.empty((length + 1, n, HIDDEN), kind)
+        gates = np.empty((length, n, k), kind)
+        b, new = np.empty((length, n, 3 * HIDDEN), kind), np.empty_like(states[1:])
         states[0] = h
         for t in range(length):
-            states[t + 1], (gates[t], new[t], bn[t]) = _step(p, symbols[t], states[t])
+            recurrence.step(inputs[t], states[t], b[t], gates[t], new[t], states[t + 1])
         live = mask.T.ravel()
         before = states[:-1]
         flat = before.reshape(-1, HIDDEN)
         d_out = np.zeros_like(flat)
-        _, d_live = _output(p, flat[live], symbols.ravel()[live], g)
-        d_out[live] = d_live
+        at = np.flatnonzero(live)
+        _, d_live = _output(p, flat.take(at, axis=0), symbols.ravel()[at], g)
+        d_out[at] = d_live
         d_out = d_out.reshape(length, n, HIDDEN)
         # the derivatives of all steps at once; the loop back only carries dh through them
         z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
-        to_n, to_z, to_r = (1 - z) * (1 - new * new), (before - new) * z * (1 - z), bn * r * (1 - r)
-        da, db = np.empty((2, length, n, 3 * HIDDEN), dtype=np.float32)
-        dh = np.zeros_like(h)
+        to_n = (1 - z) * (1 - new * new)
+        to_b = np.empty((length, n, 3, HIDDEN), kind)  # from dh to the gradient of h @ u
+        np.multiply((before - new) * z, 1 - z, out=to_b[:, :, 0])
+        np.multiply(to_n * b[:, :, k:], r * (1 - r), out=to_b[:, :, 1])
+        np.multiply(to_n, r, out=to_b[:, :, 2])
+        db = to_b
+        dh, back = np.zeros((2, n, HIDDEN), kind)
+        u, dhs = p["u"].T.copy(), np.empty_like(new)
         for t in range(length - 1, -1, -1):
-            dn = dh * to_n[t]
-            da[t, :, :HIDDEN] = dh * to_z[t]
-            da[t, :, HIDDEN:k] = dn * to_r[t]
-            da[t, :, k:] = dn
-            db[t, :, :k] = da[t, :, :k]
-            db[t, :, k:] = dn * r[t]
-            dh = dh * z[t] + db[t] @ p["u"].T + d_out[t]
-        g["u"] += flat.T @ db.reshape(-1, 3 * HIDDEN)
+            dhs[t] = dh
+            db[t] *= dh[:, None, :]
+            np.matmul(db[t].reshape(n, 3 * HIDDEN), u, out=back)
+            dh *= z[t]
+            dh += back
+            dh += d_out[t]
+        db = db.reshape(-1, 3 * HIDDEN)
+        g["u"] += flat.T @ db
+        db[:, k:] = (dhs * to_n).reshape(-1, HIDDEN)  # now the gradient of the inputs
         which = symbols.ravel()
         order = np.argsort(which, kind="stable")
         first = np.flatnonzero(np.append(True, which[order][1:] != which[order][:-1]))
-        g["x"][which[order][first]] = np.add.reduceat(da.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+        g["x"][which[order][first]] = np.add.reduceat(db.take(order, axis=0), first, axis=0)
         count = max(int(live.sum()), 1)
         norm = math.sqrt(sum(float((v * v).sum()) for v in g.values())) / count
         scale = np.float32(min(1.0, 1.0 / max(norm, 1e-9)) / count)
