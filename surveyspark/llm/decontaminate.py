@@ -12,7 +12,7 @@ words) the passage holds.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -203,20 +203,25 @@ def _times(rows: tuple[np.ndarray, ...], omega: np.ndarray) -> tuple[np.ndarray,
     return out, len(product)
 
 
-def _add_pairs(total: np.ndarray, rows: tuple[np.ndarray, ...]) -> int:
-    """Add sparse rows to A'A (only cells on and above the diagonal); returns the number of rows."""
+def line_starts(size: int) -> np.ndarray:
+    """Where the lines of a matrix begin that is kept from the diagonal on, line after line, and the end."""
+    return np.append(0, np.cumsum(np.arange(size, 0, -1)))
+
+
+def _add_pairs(total: np.ndarray, begin: np.ndarray, rows: tuple[np.ndarray, ...]) -> int:
+    """Add sparse rows to A'A (its lines from the diagonal on); returns the number of rows."""
     row, word, value = rows
-    flat, size, word, value = total.reshape(-1), len(total), word.astype(np.int64), value.astype(np.float64)
-    np.add.at(flat, word * (size + 1), value * value)
+    word, value = word.astype(np.int64), value.astype(np.float64)
+    np.add.at(total, begin[word], value * value)
     for d in range(1, 2 * STEP):
         at = np.flatnonzero(row[d:] == row[:-d])
         if not len(at):
             break
-        np.add.at(flat, word[at] * size + word[at + d], value[at] * value[at + d])
+        np.add.at(total, begin[word[at]] + word[at + d] - word[at], value[at] * value[at + d])
     return int(np.count_nonzero(row[1:] != row[:-1])) + 1 if len(row) else 0
 
 
-def _lines(matrix: np.ndarray, n: int, upper: bool = False) -> Iterator[pa.RecordBatch]:
+def _lines(matrix: Sequence[np.ndarray], n: int) -> Iterator[pa.RecordBatch]:
     """A matrix line by line (line -1: n), those without any value left out."""
     def batch(place: list[int], lines: list[bytes], counts: list[int]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -227,8 +232,7 @@ def _lines(matrix: np.ndarray, n: int, upper: bool = False) -> Iterator[pa.Recor
     for a in range(0, len(matrix), 64):
         some = [k for k in range(a, min(a + 64, len(matrix))) if matrix[k].any()]
         if some:
-            yield batch(some, [matrix[k, k if upper else 0:].astype(np.float32).tobytes() for k in some],
-                        [0] * len(some))
+            yield batch(some, [matrix[k].astype(np.float32).tobytes() for k in some], [0] * len(some))
 
 
 def _line_sums(parts: DataFrame) -> DataFrame:
@@ -283,10 +287,11 @@ def latent_axes(coded: DataFrame, bench, weight: np.ndarray, passages: int, s: S
                                   for x in batch.column("ids")])
 
     def pairs(batches):
-        total, n = np.zeros((size, size)), 0
+        begin = line_starts(size)
+        total, n = np.zeros(begin[-1]), 0
         for rows in rows_of(batches):
-            n += _add_pairs(total, rows)
-        yield from _lines(total, n, upper=True)
+            n += _add_pairs(total, begin, rows)
+        yield from _lines([total[a:b] for a, b in zip(begin, begin[1:])], n)
 
     kind = "i int, y binary, n long"
     ids = coded.select("ids")

@@ -272,3 +272,16 @@ def test_latent_axes_are_those_of_all_passages(spark, tmp_path, gram_words):
     for _ in range(3):
         basis = np.linalg.qr(ours.T @ (ours @ basis) / len(ours) + theirs.T @ (theirs @ basis) / len(theirs))[0]
     assert np.abs(axes @ axes.T - basis @ basis.T).max() < 1e-4
+
+
+def test_pair_sums_are_kept_without_the_mirrored_half():
+    from surveyspark.llm.decontaminate import _add_pairs, _tfidf, line_starts
+
+    rnd = np.random.default_rng(2)
+    rows = _tfidf(np.append(0, rnd.random(40)).astype(np.float32), [rnd.integers(0, 41, 300) for _ in range(5)])
+    begin = line_starts(41)
+    total = np.zeros(begin[-1])
+    a = np.zeros((rows[0].max() + 1, 41))
+    a[rows[0], rows[1]] = rows[2]
+    assert len(total) == 41 * 42 // 2 and _add_pairs(total, begin, rows) == len(a)
+    assert np.allclose(total, (a.T @ a)[np.triu_indices(41)])
