@@ -73,7 +73,7 @@ def member_origin(spark: SparkSession, sf: str) -> DataFrame:
 
 def respondents(spark: SparkSession, sf: str) -> DataFrame:
     """Household forms beside the respondent's age."""
-    items = standin.roster(spark, sf)
+    items = standin.roster(spark, sf, origins=False)
     members = standin.members(spark, sf, questions=(), origins=False, items=items)
     return linkage.link_respondent(standin.households(spark, sf, items=items), members, ["R03"])
 
@@ -206,7 +206,8 @@ def region_lookup(spark, sf):
 
 def two_roster_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
     """The roster as two repeat groups that share only name and age."""
-    members = standin.members(spark, sf, questions=FUNCTIONING, origins=False, items=standin.roster(spark, sf))
+    members = standin.members(spark, sf, questions=FUNCTIONING, origins=False,
+                              items=standin.roster(spark, sf, origins=False))
     part_a = members.select("_index", "_parent_index", "member_no", "R01", "R02", "R03")
     part_b = members.select(
         "_parent_index", F.col("R01").alias("name_individual"), F.col("R03").alias("ind_age_year"),
@@ -224,7 +225,7 @@ def roster_merge(spark, sf):
 
 @query
 def respondent_attributes(spark, sf):
-    items = standin.roster(spark, sf)
+    items = standin.roster(spark, sf, origins=False)
     members = standin.members(spark, sf, questions=(), origins=False, items=items)
     forms_ = standin.households(spark, sf, items=items).select("_index", "selected_adult")
     linked = linkage.link_respondent(forms_, members, ["R02", "R02_rel", "R03"])
@@ -813,15 +814,12 @@ def report_designs(spark: SparkSession, sf: str) -> weight.Designs:
     weight, hence ``missing="skip"``.
     """
     items = standin.roster(spark, sf)
+    used = ["_parent_index", "origin", "R03", "hhadults", "allNationals", *report.REPORT_COLUMNS]
     tables = clean.clean(
         standin.households(spark, sf, items=items), standin.members(spark, sf, items=items), PROFILE, missing="skip",
-        keep_answers=False)
-    used = ["_index", "_parent_index", "origin", "R03", "hhadults", "allNationals",
-            *report.REPORT_COLUMNS]
-    hh = stage(tables.hh.select(*any_of(tables.hh, used)), "hh")
-    s1 = stage(tables.s1.select(*any_of(tables.s1, used)), "s1")
+        keep_answers=False, columns=used)
     return weight.build_designs(
-        hh, s1, standin.population(spark, sf), standin.countries(spark, sf), PROFILE,
+        stage(tables.hh, "hh"), tables.s1, standin.population(spark, sf), standin.countries(spark, sf), PROFILE,
         columns=report.REPORT_COLUMNS, missing_age="leave_out")
 
 

@@ -149,17 +149,27 @@ def documents(df: DataFrame, age: str = "R03") -> DataFrame:
     return df.withColumns(document_rules(F.col, age))
 
 
-def impute_origin(df: DataFrame, profile: Profile) -> DataFrame:
-    """Origin: own, else the household's, else birth country or citizenship.
+def own_origin(df: DataFrame, profile: Profile) -> DataFrame:
+    """The origin by a member's own answers, and whether it goes before the household's.
 
-    Expects ``originAux`` and, per household, ``originAux2``.
+    A join that brings the household's origin carries these two in place of three answers.
     """
     born = F.col("REF06").cast("string")
     last_resort = F.when(born == profile.host, F.col("citizenship")).otherwise(born)
-    origin = F.coalesce("originAux", "originAux2", last_resort)
+    return df.withColumns({"_own": F.coalesce("originAux", last_resort), "_sure": F.col("originAux").isNotNull()})
+
+
+def impute_origin(df: DataFrame, profile: Profile) -> DataFrame:
+    """Origin: own, else the household's, else birth country or citizenship.
+
+    Expects ``originAux`` or what ``own_origin`` makes of it and, per household, ``originAux2``.
+    """
+    if "_own" not in df.columns:
+        df = own_origin(df, profile)
+    origin = F.coalesce(F.when(F.col("_sure"), F.col("_own")), "originAux2", "_own")
     return df.withColumn("origin", labelled(
         origin, "origin", None,
-        "Origin (nationality where available, country of birth for foreign-born stateless persons)"))
+        "Origin (nationality where available, country of birth for foreign-born stateless persons)")).drop("_own", "_sure")
 
 
 def collapse_origin(df: DataFrame, profile: Profile, origin: str = "origin",

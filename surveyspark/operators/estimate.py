@@ -11,7 +11,11 @@ its rows, however many tables there are:
 2. In clustered designs every row adds its score to its sampling unit, one
    column per group. Scores depend on the type only and come from a written
    lookup, so this is one join, whose strategy the planner picks by the lookup's
-   bytes, and one grouping by unit. Partial sums are formed before the shuffle, hence a unit of any size is safe. Where each row
+   bytes, and one grouping by unit. The rows are dealt by unit before they are copied
+   for the tables, with levels and answers as small numbers in one word, so that the sums
+   of a unit, many times wider than its rows, are formed where they are needed and never
+   shuffled. Units of more than ``CROWD`` rows are listed first; for them partial sums are
+   formed before the shuffle, hence a unit of any size is safe. Where each row
    is its own unit, the sums of squares follow from the type table as well.
 
 The score of a row is its linearised contribution ``(hit - p) / W`` to a cell,
@@ -21,7 +25,8 @@ in the domain or not). The variance is that of the unit totals.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,6 +39,15 @@ from surveyspark.sources.stages import stage
 
 TOTAL = "Total"
 
+#: sampling units with more rows than this are summed over many tasks
+CROWD = 10_000
+
+#: rows of a task that sums units; the sums of that many units fit its memory
+UNIT_ROWS = 100_000
+
+#: numbers are packed into words below this
+WORD = 1 << 62
+
 
 @dataclass(frozen=True)
 class Breakdown:
@@ -56,11 +70,11 @@ def _groups(by: Sequence[Breakdown]) -> list[tuple[str, str]]:
     return [(TOTAL, TOTAL)] + [(b.column, level) for b in by for level in b.levels]
 
 
-def _rows(design: SurveyDesign, questions: Sequence[Question], by: Sequence[Breakdown]) -> DataFrame:
-    """Design rows, once per table: unit, weight, stratum, groups and answer.
+def _people(design: SurveyDesign, questions: Sequence[Question], by: Sequence[Breakdown]) -> DataFrame:
+    """Design rows: unit, weight, stratum, groups, and the answer to every table's question.
 
     ``_b0``, ``_b1``, ... hold the row's group number per breakdown (0: none),
-    ``_x`` the answer, empty for a row outside the table's domain.
+    ``_x1``, ``_x2``, ... the answers by table, empty for a row outside the table's domain.
     """
     numbers = {group: n for n, group in enumerate(_groups(by))}
     out = {
@@ -74,17 +88,58 @@ def _rows(design: SurveyDesign, questions: Sequence[Question], by: Sequence[Brea
         whens = " ".join(
             f"WHEN {quoted(level)} THEN {numbers[b.column, level]}" for level in b.levels)
         out[f"_b{i}"] = F.expr(f"CASE CAST(`{b.column}` AS STRING) {whens} ELSE 0 END")
-    entries = []
     for no, q in enumerate(questions, start=1):
         answer = F.col(q.x).cast("string")
         inside = answer.isNotNull()
         for condition in (design.domain, q.domain and F.expr(q.domain)):
             inside = inside if condition is None else inside & F.coalesce(condition, F.lit(False))
-        entries.append(F.struct(
-            F.lit(no).alias("_tab"),
-            F.when(inside, F.concat(F.lit("="), answer)).otherwise("").alias("_x")))
-    return design.df.select(
-        *[c.alias(n) for n, c in out.items()], F.inline(F.array(*entries)))
+        out[f"_x{no}"] = F.when(inside, F.concat(F.lit("="), answer)).otherwise("")
+    return design.df.select(*[c.alias(n) for n, c in out.items()])
+
+
+def _by_table(people: DataFrame, tables: int) -> DataFrame:
+    """The rows once per table, with its number ``_tab`` and the answer ``_x``."""
+    answers = [f"_x{no}" for no in range(1, tables + 1)]
+    entries = F.array(*[F.struct(F.lit(no).alias("_tab"), F.col(x).alias("_x"))
+                        for no, x in enumerate(answers, start=1)])
+    return people.select(*[c for c in people.columns if c not in answers], F.inline(entries))
+
+
+def _packed(values: Mapping[str, tuple[Column, int]]) -> tuple[dict[str, Column], dict[str, Column]]:
+    """Numbers from 0 to below their size in as few 64-bit words as hold them, and how to read them."""
+    words: dict[str, Column] = {}
+    read: dict[str, Column] = {}
+    room = WORD
+    for name, (value, size) in values.items():
+        if not words or room * size > WORD:
+            word, room = f"_c{len(words)}", 1
+            words[word] = F.lit(0).cast("long")
+        words[word] = words[word] + value.cast("long") * F.lit(room).cast("long")
+        read[name] = F.expr(f"cast({word} div {room} % {size} as int)")
+        room *= size
+    return words, read
+
+
+def _dealt_by_unit(people: DataFrame, types: DataFrame, tables: int, by: Sequence[Breakdown]) -> DataFrame:
+    """``_people`` without ``_fpc``, all rows of a unit in one partition.
+
+    Groups and answers travel as numbers. The type table gives the answers and the
+    rows, hence the number of partitions, so that the sums of a partition's units fit a task.
+    """
+    answers: dict[int, list[str]] = {no: [] for no in range(1, tables + 1)}
+    count = 0
+    for tab, x, n in types.groupBy("_tab", "_x").agg(F.sum("_n")).orderBy("_tab", "_x").collect():
+        answers[tab].append(x)
+        count += n if tab == 1 else 0
+    texts = {f"_x{no}": F.array(*[F.lit(x) for x in found or [""]]) for no, found in answers.items()}
+    values = {f"_b{i}": (F.col(f"_b{i}"), len(_groups(by))) for i in range(len(by))}
+    values |= {f"_x{no}": (F.array_position(texts[f"_x{no}"], F.col(f"_x{no}")) - 1, len(found) or 1)
+               for no, found in answers.items()}
+    words, read = _packed(values)
+    dealt = people.select("_psu", "_w", "_h", *[c.alias(n) for n, c in words.items()]).repartition(
+        max(1, math.ceil(count / UNIT_ROWS)), "_psu")
+    back = {x: F.get(texts[x], c) if x in texts else c for x, c in read.items()}
+    return dealt.select("_psu", "_w", "_h", *[c.alias(n) for n, c in back.items()])
 
 
 def type_table(rows: DataFrame, by: Sequence[Breakdown]) -> DataFrame:
@@ -180,25 +235,44 @@ def _score_lookup(types: DataFrame, cells: DataFrame, scores: DataFrame, size: i
         "_tab", "_h", F.col("_x").alias("_k"), "_p", "_iw", F.coalesce("_zb", none).alias("_zb"))
 
 
-def _units_of_clusters(rows: DataFrame, lookup: DataFrame, by: Sequence[Breakdown],
-                       df_from: str) -> DataFrame:
+def _units_of_clusters(people: DataFrame, types: DataFrame, lookup: DataFrame, tables: int,
+                       by: Sequence[Breakdown], df_from: str) -> DataFrame:
     """Sums over sampling units, each the total of its rows' scores."""
+    crowds = stage(
+        people.groupBy(F.col("_psu").alias("_crowd")).agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > CROWD).select("_crowd"), "crowded-units")
+    if crowds.isEmpty():
+        units = _unit_sums(_dealt_by_unit(people, types, tables, by), lookup, tables, by, df_from)
+    else:
+        of_crowd = F.col("_psu").eqNullSafe(F.col("_crowd"))
+        usual = _dealt_by_unit(people.join(crowds, of_crowd, "left_anti"), types, tables, by)
+        crowded = people.join(crowds, of_crowd, "left_semi")
+        units = _unit_sums(usual, lookup, tables, by, df_from).unionByName(
+            _unit_sums(crowded, lookup, tables, by, df_from))
+    size = len(_groups(by))
+    flagged = range(size) if df_from == "group" else range(1)
+    sums = units.groupBy("_tab", "_k").agg(
+        F.count(F.lit(1)).alias("_m"),
+        *[F.expr(f"struct({g} as _g, sum(_f{g if g in flagged else 0}) as _seen, "
+                 f"sum(_t{g}) as _s, sum(_t{g} * _t{g}) as _ss) as _r{g}") for g in range(size)])
+    every = ", ".join(f"_r{g}" for g in range(size))
+    return sums.select("_tab", F.col("_k").alias("_from"), "_m", F.expr(f"inline(array({every}))"))
+
+
+def _unit_sums(people: DataFrame, lookup: DataFrame, tables: int, by: Sequence[Breakdown],
+               df_from: str) -> DataFrame:
+    """Per unit, table and answer: the score by group, and whether the unit is in the group."""
     inside = ["_x <> ''"] + [
         f"(_x <> '' and _b{i} = {{g}})" for i, b in enumerate(by) for _ in b.levels]
     inside = [text.format(g=g) for g, text in enumerate(inside)]
+    rows = _by_table(people, tables)
     scored = rows.join(lookup, ["_tab", "_h"]).withColumn("_hit", F.expr("if(_x = _k, 1D, 0D)"))
     score = "sum(_w * (if({i}, (_hit - _p[{g}]) * _iw[{g}], 0D) - _zb[{g}])) as _t{g}"
     size = len(inside)
     flagged = range(size) if df_from == "group" else range(1)
-    units = scored.groupBy("_psu", "_tab", "_k").agg(
+    return scored.groupBy("_psu", "_tab", "_k").agg(
         *[F.expr(score.format(i=inside[g], g=g)) for g in range(size)],
         *[F.expr(f"max(if({inside[g]}, 1, 0)) as _f{g}") for g in flagged])
-    sums = units.groupBy("_tab", "_k").agg(
-        F.count(F.lit(1)).alias("_m"),
-        *[F.expr(f"struct({g} as _g, sum(_f{g if g in flagged else 0}) as _seen, "
-                 f"sum(_t{g}) as _s, sum(_t{g} * _t{g}) as _ss) as _r{g}") for g in range(size)])
-    every = ", ".join(f"_r{g}" for g in range(size))
-    return sums.select("_tab", F.col("_k").alias("_from"), "_m", F.expr(f"inline(array({every}))"))
 
 
 def _mirror(units: DataFrame, cells: DataFrame) -> DataFrame:
@@ -232,8 +306,8 @@ def estimate_many(
     ``df_from="group"`` counts the sampling units of each group for the
     degrees of freedom instead of those of the whole domain.
     """
-    rows = _rows(design, questions, by)
-    types = stage(type_table(rows, by), "types")
+    people = _people(design, questions, by)
+    types = stage(type_table(_by_table(people, len(questions)), by), "types")
     grouped = _by_group(types, by)
     cells = _cells(grouped, stat)
     scores = _stratum_scores(grouped, cells, types, design.stratum is not None)
@@ -246,7 +320,7 @@ def estimate_many(
             units = units.join(whole, "_tab").withColumn("_seen", F.col("_all")).drop("_all")
     else:
         lookup = stage(_score_lookup(types, cells, scores, len(groups), stat), "scores")
-        units = _units_of_clusters(rows, lookup, by, df_from)
+        units = _units_of_clusters(people, types, lookup, len(questions), by, df_from)
         if stat == "proportion":
             units = _mirror(units, cells)
         else:

@@ -8,7 +8,7 @@ combined on the map side and a household of any size never has to sit in one tas
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,24 +113,26 @@ def roll_up(members: DataFrame, profile: Profile, missing: str = "strict",
     }).drop("_disabled")
 
 
-def roll_up_with_head(members: DataFrame, profile: Profile, missing: str = "strict") -> DataFrame:
+def roll_up_with_head(members: DataFrame, profile: Profile, missing: str = "strict",
+                      attributes: Mapping[str, str] = HEAD_ATTRIBUTES) -> DataFrame:
     """Household roll-up together with the head's attributes, in one grouping.
 
     The same rows as joining the members marked as head, but without marking
-    or joining: the head's columns travel in the aggregate that picks the head.
+    or joining: the head's columns travel behind the rank in the struct whose maximum
+    is the head, once for declared heads and oldest members alike.
     """
     relation = F.col("R02_rel")
-    attributes = F.struct(*[F.col(a).alias(n) for a, n in HEAD_ATTRIBUTES.items()])
-    rank = F.struct("R03", -F.col("_index"))
-    declared = F.max_by(F.when(relation == "1", attributes), F.when(relation == "1", rank))
-    head = F.coalesce(declared, F.max_by(attributes, rank))
+    behind = [F.col(a).alias(a) for a in attributes if a not in ("R03", "_index")]
+    top = F.max(F.struct(
+        F.coalesce(relation == "1", F.lit(False)).alias("declared"), "R03", (-F.col("_index")).alias("before"), *behind))
+    head = F.struct(*[(-top["before"] if a == "_index" else top[a]).alias(n) for a, n in attributes.items()])
     if missing == "strict":
         head = F.when(F.count(relation) == F.count(F.lit(1)), head)
     rolled = roll_up(members, profile, missing, extra=[head.alias("_head")])
-    meta = {n: members.schema[a].metadata for a, n in HEAD_ATTRIBUTES.items()}
+    meta = {n: members.schema[a].metadata for a, n in attributes.items()}
     return rolled.select(
         *[c for c in rolled.columns if c != "_head"],
-        *[F.col(f"_head.{n}").alias(n, metadata=meta[n]) for n in HEAD_ATTRIBUTES.values()],
+        *[F.col(f"_head.{n}").alias(n, metadata=meta[n]) for n in attributes.values()],
     )
 
 
@@ -155,9 +157,9 @@ def household_origin(members: DataFrame, profile: Profile, pick: str = "count")
     if pick == "value":
         return foreign.groupBy("_parent_index").agg(
             F.max("originAux2").alias("originAux2"))
-    counted = foreign.groupBy("_parent_index", "originAux2").agg(F.count(F.lit(1)).alias("n"))
-    return counted.groupBy("_parent_index").agg(
-        F.max_by("originAux2", F.struct("n", "originAux2")).alias("originAux2"))
+    # counts by origin travel in the household's one row; descending: the last code on ties
+    return foreign.groupBy("_parent_index").agg(
+        F.expr("mode() WITHIN GROUP (ORDER BY originAux2 DESC)").alias("originAux2"))
 
 
 def not_host(df: DataFrame, profile: Profile, column: str = "origin") -> DataFrame:

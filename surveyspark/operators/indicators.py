@@ -70,8 +70,8 @@ def working_age(df: DataFrame, profile: Profile, age: str = "R03") -> DataFrame:
         old_enough, "workingAge", WORKING_AGE_LABELS, "Working-age population"))
 
 
-def labour_force(df: DataFrame) -> DataFrame:
-    """Employment status and labour force participation, expects ``workingAge``.
+def employment(df: DataFrame) -> DataFrame:
+    """Whether the respondent is employed, by the household form alone.
 
     The questionnaire walks from paid work, over own business or family job
     and temporary absence, to farming, and asks what farm produce is for.
@@ -100,8 +100,16 @@ def labour_force(df: DataFrame) -> DataFrame:
     unpaid = (F.col("agriFishDest") == 0) | (F.col("agriFish") == 0)
     paid = any_equal(["atWork", "tempAbs", "agriFish", "agriFishDest"], 1)
     looking = (q[9] == yes) & (q[10] == yes)
-    df = df.withColumn("employed", F.when(unpaid & looking, 0).when(paid, 1))
+    return df.withColumn("employed", F.when(unpaid & looking, 0).when(paid, 1))
 
+
+def labour_force(df: DataFrame) -> DataFrame:
+    """Employment status and labour force participation, expects ``workingAge``.
+
+    Takes ``employed`` as it is where ``employment`` went before.
+    """
+    if "employed" not in df.columns:
+        df = employment(df)
     participates = F.when(F.col("workingAge") == 1, F.col("employed").isNotNull().cast("int"))
     return df.withColumns({
         "unemployed": 1 - F.col("employed"),

@@ -105,15 +105,13 @@ def staged(design: SurveyDesign, name: str, columns: Sequence[str] | None = None
     """The design over its written rows, for many tables to read.
 
     ``columns`` limits the write to what the tables need beside the design's own.
-    Clustered designs are written unit by unit, so that every later pass sums a
-    unit before it shuffles; a rebalance may split an outsized unit over files.
+    Rows keep their order: they are dealt by sampling unit where units are summed, once,
+    as a written table does not keep how it was dealt.
     """
     df = design.df
     if columns is not None:
         own = [v for n, v in design.settings().items() if v and n != "fpc_kind"]
         df = df.select(*any_of(df, dict.fromkeys([*own, *columns])))
-    if design.psu:
-        df = df.hint("rebalance", F.col(design.psu)).sortWithinPartitions(design.psu)
     return design.replace(df=stage(df, name))
 
 
@@ -124,8 +122,11 @@ def build_designs(hh: DataFrame, s1: DataFrame, dem: DataFrame, countries: DataF
 
     The tables must be stored ones: each design scans them a few times, with
     few columns. Post-stratified rows are written once more, because every
-    table would otherwise repeat the weighting.
+    table would otherwise repeat the weighting. The countries are written, so that the
+    planner knows their bytes; by those of the plan behind them it would shuffle the
+    interviews by origin.
     """
+    countries = stage(countries, "countries")
     origins = stage(population_by_origin(dem, countries, profile), "origins")
     members = member_design(s1, origins, countries, profile, missing_age)
     adults = adult_design(hh, origins, countries, profile)

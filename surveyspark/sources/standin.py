@@ -126,22 +126,24 @@ def households(spark: SparkSession, sf_dir: str, respondent: bool = True,
     spares reading the members. ``items`` is the ``roster``, if the caller has it.
     """
     answers = [
-        answer("o_orderkey", salt, codes).alias(name)
+        answer("_index", salt, codes).alias(name)
         for salt, (name, codes) in enumerate(HOUSEHOLD_ANSWERS.items(), start=1)
     ]
     person = F.concat(F.lit("person "), F.col("o_custkey").cast("string"))
+    forms = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("_index"), "o_custkey")
+    adults: list[str] = []
+    if respondent:  # before the answers are laid out, so that the join deals out keys only
+        numbers = adult_numbers(numbered_items(spark, sf_dir) if items is None else items)
+        forms, adults = forms.join(numbers, F.col("_index") == F.col("_hh"), "left"), numbers.columns
     forms = (
-        table(spark, sf_dir, "orders")
-        .select(F.col("o_orderkey").alias("_index"), person.alias("adult_name"), person.alias("fam_name1"), *answers)
+        forms.select("_index", person.alias("adult_name"), person.alias("fam_name1"), *answers, *adults)
         .withColumn("selected_adult", F.col("selected_adult").cast("int"))
     )
     if respondent:
         drawn = F.col("selected_adult")
         adult = (F.when(drawn == 1, F.col("_adult1")).when(drawn == 2, F.coalesce("_adult2", "_adult1"))
                  .when(drawn == 3, F.coalesce("_adult3", "_adult1")))
-        numbers = adult_numbers(numbered_items(spark, sf_dir) if items is None else items)
-        forms = (forms.join(numbers, F.col("_index") == F.col("_hh"), "left")
-                 .withColumn("selected_adult", adult).drop(*numbers.columns))
+        forms = forms.withColumn("selected_adult", adult).drop(*adults)
     return (
         forms
         .withColumn("INC01", F.col("INC01").alias(
@@ -171,10 +173,44 @@ def numbered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The numbered line items, written, for jobs that take members and respondents from them."""
-    kept = ("l_orderkey", "member_no", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_linestatus")
-    return stage(numbered_items(spark, sf_dir).select(*kept), "roster")
+def with_nations(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFrame:
+    """Line items with the nations of their seller and their buyer.
+
+    The sellers' nations are written, so the planner knows their bytes: where it broadcasts
+    them, items that were numbered in the same plan are not dealt out again for the buyers,
+    who are joined by the order.
+    """
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    seller = stage(
+        table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+        .join(nation.withColumnsRenamed({"n_nationkey": "s_nationkey", "n_name": "seller_nation"}),
+              "s_nationkey", "left").select("s_suppkey", "seller_nation"), "sellers")
+    buyer = (
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        .join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
+              F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(nation.withColumnsRenamed({"n_nationkey": "c_nationkey", "n_name": "buyer_nation"}),
+              "c_nationkey", "left")
+        .select("o_orderkey", "buyer_nation")
+    )
+    return (
+        items.join(seller, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+        .join(buyer, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        .drop("s_suppkey", "o_orderkey")
+    )
+
+
+def roster(spark: SparkSession, sf_dir: str, origins: bool = True) -> DataFrame:
+    """The numbered line items, written, for jobs that take members and respondents from them.
+
+    With ``origins`` they have their nations, which cost the least while the items lie
+    dealt by order for their numbers.
+    """
+    kept = ["l_orderkey", "member_no", "l_linenumber", "l_partkey", "l_quantity", "l_linestatus"]
+    items = numbered_items(spark, sf_dir)
+    if origins:
+        items = with_nations(spark, sf_dir, items)
+    return stage(items.select(*kept, *(("seller_nation", "buyer_nation") if origins else ("l_suppkey",))), "roster")
 
 
 def members(
@@ -184,7 +220,7 @@ def members(
     """One row per household member (line item).
 
     ``origins=False`` leaves out the citizenship questions, which need four
-    more joins. ``items`` is the ``roster``, if the caller has it.
+    more joins. ``items`` is the ``roster``, if the caller has it; one with origins spares these joins.
     """
     items = numbered_items(spark, sf_dir) if items is None else items
     part = F.col("l_partkey")
@@ -198,24 +234,8 @@ def members(
         "R02_rel": F.when(part % 193 == 0, None).when(F.col("l_linenumber") == 1, "1").otherwise("2"),
     }
     if origins:
-        nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-        seller = (
-            table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-            .join(nation.withColumnsRenamed({"n_nationkey": "s_nationkey", "n_name": "seller_nation"}),
-                  "s_nationkey", "left")
-        )
-        buyer = (
-            table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-            .join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
-                  F.col("o_custkey") == F.col("c_custkey"), "left")
-            .join(nation.withColumnsRenamed({"n_nationkey": "c_nationkey", "n_name": "buyer_nation"}),
-                  "c_nationkey", "left")
-            .select("o_orderkey", "buyer_nation")
-        )
-        items = (
-            items.join(seller, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-            .join(buyer, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        )
+        if "seller_nation" not in items.columns:
+            items = with_nations(spark, sf_dir, items)
         born = F.col("buyer_nation")
         held = F.col("seller_nation")
         unknown = F.col("l_orderkey") % 307 == 0  # nobody of the household says where they are from

@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -6,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from surveyspark.functions import stats
+from surveyspark.operators import estimate as E
 from surveyspark.operators.design import SurveyDesign, calibration, equal_probability, poststratify
 from surveyspark.operators.estimate import Breakdown, Question, estimate, estimate_many, with_limits
 
@@ -111,6 +113,39 @@ def test_giant_cluster(spark):
     check(got_cells(estimate(design, "x", BY)), brute(pdf, "x", "psu", weight, "h"))
 
 
+@pytest.mark.parametrize("df_from", ["design", "group"])
+def test_crowded_units_beside_others(spark, monkeypatch, df_from):
+    monkeypatch.setattr(E, "CROWD", 20)
+    monkeypatch.setattr(E, "UNIT_ROWS", 100)
+    design, pdf, weight, f = design_of(spark, sample(giant=True, n=900), True, True, None)
+    want = brute(pdf, "x3", "psu", weight, "h", "inside", df_from=df_from)
+    check(got_cells(estimate(design.filter("inside"), "x3", BY, df_from=df_from)), want)
+
+
+def test_sums_of_units_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(E, "UNIT_ROWS", 100)
+    design, _, _, _ = design_of(spark, sample(), True, True, None)
+    cells = estimate_many(design, [Question("x"), Question("x3")], BY)
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(_psu#\d+L?, \d+\)", plan)
+    assert not re.search(r"hashpartitioning\(_psu#\d+L?, _tab", plan)
+
+
+def test_numbers_in_words(spark):
+    sizes = [3, 10**9, 1, 10**9, 7, 10**15, 2]
+    rows = [[0] * 7, [s - 1 for s in sizes], [1, 5, 0, 123456789, 6, 10**14 + 1, 1]]
+    df = spark.createDataFrame(rows, ", ".join(f"v{i} long" for i in range(7)))
+    words, read = E._packed({f"v{i}": (F.col(f"v{i}"), s) for i, s in enumerate(sizes) if s < 2**31})
+    assert len(words) == 2
+    back = df.select("v5", *[c.alias(n) for n, c in words.items()]).select(*[c.alias(n) for n, c in read.items()])
+    assert [list(r) for r in back.collect()] == [[v for v, s in zip(r, sizes) if s < 2**31] for r in rows]
+
+
+def test_no_rows_no_cells(spark):
+    design, _, _, _ = design_of(spark, sample(), True, False, None)
+    assert estimate(design.replace(df=design.df.filter("false")), "x", BY).collect() == []
+
+
 @pytest.mark.parametrize("clustered", [True, False])
 def test_degrees_of_freedom_by_group(spark, clustered):
     design, pdf, weight, f = design_of(spark, sample(), clustered, True, None)

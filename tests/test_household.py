@@ -84,6 +84,22 @@ def test_household_origin(spark):
     assert by_count == {2: "IRN"} and by_value == {2: "UKR"}
 
 
+def test_household_origin_of_ties_in_one_shuffle(spark):
+    schema = "_parent_index bigint, originAux string"
+    df = spark.createDataFrame([(1, "IRN"), (1, "UKR"), (2, "UKR"), (2, "IRN"), (2, "IRN"), (2, "GEO"), (2, "GEO"),
+                                (3, None), (4, "GEO"), (None, "RUS"), (5, "A"), (5, "C"), (5, "B"), (5, None)], schema)
+    modal = H.household_origin(df, PROFILE)
+    assert modal._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert dict(map(tuple, modal.collect())) == {1: "UKR", 2: "IRN", None: "RUS", 5: "C"}
+
+
+def test_head_with_some_attributes(spark):
+    some = {a: n for a, n in H.HEAD_ATTRIBUTES.items() if a in ("_index", "R02")}
+    whole, part = (H.roll_up_with_head(full_members(spark), PROFILE, "skip", a) for a in (H.HEAD_ATTRIBUTES, some))
+    assert set(whole.columns) - set(part.columns) == set(H.HEAD_ATTRIBUTES.values()) - set(some.values())
+    assert sorted(map(repr, whole.select(*part.columns).collect())) == sorted(map(repr, part.collect()))
+
+
 def test_blank_rows_for_missing_origin(spark):
     df = spark.createDataFrame([("GEO", 1), ("IRN", 2), (None, 3)], "origin string, v int")
     assert [tuple(r) for r in H.not_host(df, PROFILE).collect()] == [("IRN", 2)]

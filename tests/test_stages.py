@@ -69,6 +69,44 @@ def test_members_without_age_fail_unless_left_out(spark):
     assert weight.member_rows(s1.filter("_index <> 2"), lands, PROFILE).count() == 1
 
 
+def test_respondents_join_needs_keys_of_the_forms_only(spark):
+    plan = standin.households(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "BANK01" in plan and "BANK01" not in plan.split("Join LeftOuter", 1)[1]
+
+
+def test_roster_has_nations_without_another_shuffle(spark, monkeypatch):
+    plans = {}
+    plain = standin.stage
+
+    def stage(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(df, name)
+
+    monkeypatch.setattr(standin, "stage", stage)
+    items = standin.roster(spark, SF)
+    assert plans["roster"].count("hashpartitioning(l_orderkey") == 1 and "hashpartitioning(l_suppkey" not in plans["roster"]
+    whole = standin.members(spark, SF)
+    assert sorted(map(repr, standin.members(spark, SF, items=items).collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_interviews_are_not_shuffled_by_origin(spark, monkeypatch):
+    plans = {}
+    plain = weight.stage
+
+    def stage(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(df, name)
+
+    monkeypatch.setattr(weight, "stage", stage)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")
+    try:
+        Q.report_designs(spark, SF)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for name in ("foreign-members", "foreign-adults"):
+        assert "Exchange" in plans[name] and "hashpartitioning" not in plans[name]
+
+
 def test_every_respondent_is_an_adult(spark):
     hh = standin.households(spark, SF)
     members = standin.members(spark, SF, questions=(), origins=False)

@@ -38,6 +38,25 @@ RECORDS = [
 ]
 
 
+def test_named_columns_are_the_same_by_one_join(spark, submissions):
+    tables = forms.flatten(submissions, ["S1A"])
+    twice = tables["main"].filter("_index = 7 or _index = 4").withColumn("selected_adult", F.lit(3))
+    unkeyed = tables["main"].filter("_index = 1").withColumn("_index", F.lit(None).cast("long"))
+    main = tables["main"].unionByName(twice).unionByName(unkeyed)
+    members = tables["S1A"].withColumn("_index", F.col("_parent_index") % 1000 * 100 + F.col("member_no"))
+    lost = members.filter("_parent_index = 1").withColumn("_parent_index", F.lit(None).cast("long"))
+    members = members.unionByName(members.filter("_parent_index = 4")).unionByName(lost)
+    columns = ["_index", "_parent_index", "origin", "R02", "R03", "DISABILITY3", "hhadults", "allNationals", "headHHR03cat",
+               "headHHcitizenship", "basicFacilities", "banking", "labourForce", "employmentStatus", "workingAge"]
+    plain = clean.clean(main, members, PROFILE, missing="skip", keep_answers=False)
+    named = clean.clean(main, members, PROFILE, missing="skip", keep_answers=False, columns=columns)
+    assert named.checks == plain.checks
+    for one, two in ((plain.hh, named.hh), (plain.s1, named.s1)):
+        assert two.columns == [c for c in columns if c in one.columns]
+        assert two.schema == one.select(*two.columns).schema
+        assert sorted(map(repr, one.select(*two.columns).collect())) == sorted(map(repr, two.collect()))
+
+
 @pytest.fixture(scope="module")
 def submissions(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("forms")
